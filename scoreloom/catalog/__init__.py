@@ -1,6 +1,8 @@
 """Registered queries over the given tables, each beside its SQL counterpart."""
 
-from . import match_queries, standing_queries  # noqa: F401  (importing registers them)
+from . import (  # noqa: F401  (importing registers them)
+    bracket_queries, match_queries, model_queries, standing_queries,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

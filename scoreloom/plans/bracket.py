@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
+from ..config import materialise
 from ..functions.poisson import goal_rates, outcome_probs
 from ..functions.scores import winner_id
 from ..operators.ranking import top_k_per_key
@@ -66,8 +67,13 @@ def bracket_edges(nodes: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def title_tree(nodes: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Matches below the final, with the match and slot each one feeds (NULL for the final)."""
+    """Matches below the final, with the match and slot each one feeds (NULL for the final).
+
+    The walk reads the nodes once per round and its result is read once per round again, so
+    both are cut off from the match facts behind them.
+    """
     by = list(by)
+    nodes = materialise(nodes)
     last = len(V.TITLE_PATH) - 1
     finals = nodes.where(F.col("round_idx") == last)
     level = top_k_per_key(finals, by, [F.col("match_id").asc()], 1, "_n").drop("_n") if by else (
@@ -82,7 +88,7 @@ def title_tree(nodes: DataFrame, by: Sequence[str]) -> DataFrame:
         )
         level = nodes.join(links, [*by, "match_id"]).select(*level.columns)
         tree = tree.unionByName(level)
-    return tree
+    return materialise(tree)
 
 
 def neutral_win_probability(
@@ -132,8 +138,9 @@ def advancement(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> Data
     Competitions without a final give no rows.
     """
     by = list(by)
+    nodes = materialise(nodes)
     tree = title_tree(nodes, by)
-    leaves = _entrants(tree, ratings, by)
+    leaves = materialise(_entrants(tree, ratings, by))
     last = len(V.TITLE_PATH)
     reach = [f"reach_{k}" for k in range(1, last + 1)]
     links = tree.select(*by, "match_id", "parent", F.col("slot").alias("_slot"))
@@ -188,9 +195,9 @@ def win_table(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> DataFr
     by = list(by)
     tree = title_tree(nodes, by)
     links = tree.select(*by, "match_id", "parent", F.col("slot").alias("_slot"))
-    here = _entrants(tree, ratings, by).select(
+    here = materialise(_entrants(tree, ratings, by).select(
         *by, "match_id", "slot", "team_id", "attack", "defense", F.lit(1.0).alias("p")
-    )
+    ))
     levels = [here]
     for _ in range(len(V.TITLE_PATH) - 1):
         here = here.join(links, [*by, "match_id"]).where(F.col("parent").isNotNull()).select(

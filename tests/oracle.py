@@ -73,7 +73,7 @@ def main() -> int:
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = args or list(QUERIES)
     spark = session(
-        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                  "spark.driver.memory": "8g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
