@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import materialise
 from ..operators.ranking import top_k_per_key
 from ..operators.reshape import goal_legs
 from ..plans import bracket as B
@@ -27,12 +28,11 @@ def seeds(spark, sf):
         F.sum("scored").alias("gf"),
     )
     order = [F.col("points").desc(), F.col("gd").desc(), F.col("gf").desc(), F.col("team_id").asc()]
-    return top_k_per_key(totals, BY, order, 16, "seed").select(*BY, "seed", "team_id")
+    return materialise(top_k_per_key(totals, BY, order, 16, "seed").select(*BY, "seed", "team_id"))
 
 
-def knockout(spark, sf):
+def knockout(best):
     """Four rounds in which the better seed always goes through (seed i meets n + 1 - i)."""
-    best = seeds(spark, sf)
     rounds = F.array(*[
         F.struct(F.lit(i).alias("no"), F.lit(stage).alias("stage"), F.lit(n).alias("field"))
         for i, (stage, n) in enumerate(ROUNDS)
@@ -98,7 +98,7 @@ DISTRIBUTIONS = SEEDS + WIN + "".join(_round_sql(i, n) for i, (_, n) in enumerat
     case when no > 0 then competition * 100 + (no - 1) * 10 + hs end as home_feeder,
     case when no > 0 then competition * 100 + (no - 1) * 10 + field + 1 - hs end as away_feeder from knockout""")
 def q_bracket_nodes(spark, sf):
-    return B.bracket_nodes(knockout(spark, sf), BY)
+    return B.bracket_nodes(knockout(seeds(spark, sf)), BY)
 
 
 @query("bracket_edges", SEEDS + """ select competition, match_id as parent_match_id, cast(no + 1 as integer) as round_idx,
@@ -107,12 +107,12 @@ def q_bracket_nodes(spark, sf):
   select competition, match_id, cast(no + 1 as integer), 1, competition * 100 + (no - 1) * 10 + field + 1 - hs
   from knockout where no > 0""")
 def q_bracket_edges(spark, sf):
-    return B.bracket_edges(B.bracket_nodes(knockout(spark, sf), BY), BY)
+    return B.bracket_edges(B.bracket_nodes(knockout(seeds(spark, sf)), BY), BY)
 
 
-def advance(spark, sf):
-    nodes = B.bracket_nodes(knockout(spark, sf), BY)
-    return B.advancement(nodes, fixed_ratings(seeds(spark, sf), *BY), BY)
+def advance(best):
+    nodes = B.bracket_nodes(knockout(best), BY)
+    return B.advancement(nodes, fixed_ratings(best, *BY), BY)
 
 
 @query("advancement", DISTRIBUTIONS + """ select s.competition, s.team_id, 1.0::double as reach_0,
@@ -121,7 +121,7 @@ def advance(spark, sf):
   from seeds s left join dist0 d0 using (competition, team_id) left join dist1 d1 using (competition, team_id)
   left join dist2 d2 using (competition, team_id) left join dist3 d3 using (competition, team_id)""")
 def q_advancement(spark, sf):
-    return advance(spark, sf).select(
+    return advance(seeds(spark, sf)).select(
         *BY, "team_id", *[F.round(F.get("reach", F.lit(i)), 6).alias(f"reach_{i}") for i in range(6)]
     )
 
@@ -131,15 +131,16 @@ def q_advancement(spark, sf):
   select r.competition, r.team_id, t.team_name, t.team_tla, t.team_crest_url as crest, round(p, 4) as title_prob,
     cast(n as integer) as title_rank from ranked r join teams t using (team_id) where n <= 12""")
 def q_title_odds(spark, sf):
-    named = seeds(spark, sf).join(teams(spark, sf), "team_id")
-    return B.title_odds(advance(spark, sf), named, BY).drop("reach")
+    best = seeds(spark, sf)
+    return B.title_odds(advance(best), best.join(teams(spark, sf), "team_id"), BY).drop("reach")
 
 
 @query("win_table", SEEDS + WIN + """ select a.competition, w.i as team_id, w.j as opponent_id, round(w.w, 6) as win_prob
   from win w join seeds a on a.team_id = w.i join seeds b on b.team_id = w.j and b.competition = a.competition""")
 def q_win_table(spark, sf):
-    nodes = B.bracket_nodes(knockout(spark, sf), BY)
-    rows = B.win_table(nodes, fixed_ratings(seeds(spark, sf), *BY), BY)
+    best = seeds(spark, sf)
+    nodes = B.bracket_nodes(knockout(best), BY)
+    rows = B.win_table(nodes, fixed_ratings(best, *BY), BY)
     return rows.withColumn("win_prob", F.round("win_prob", 6))
 
 
@@ -148,4 +149,4 @@ def q_win_table(spark, sf):
   select a.competition, cast(round(a.p / b.p) as bigint) as ratio from ranked a join ranked b using (competition)
   where a.n = 1 and b.n = 2""")
 def q_runner_up(spark, sf):
-    return P.runner_up_ratio(advance(spark, sf), BY)
+    return P.runner_up_ratio(advance(seeds(spark, sf)), BY)

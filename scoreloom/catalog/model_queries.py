@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.ranking import chronological, ranked
 from ..operators.reshape import match_sides
 from ..plans import profiles as P
 from ..plans import ratings as R
@@ -154,8 +155,6 @@ def q_paths(spark, sf):
 @query("entity_path", PATHS + """ select *, row_number() over (partition by competition
     order by kickoff_at, match_id) as step from paths where team_id = 7""")
 def q_entity_path(spark, sf):
-    from ..operators.ranking import chronological
-
     return chronological(paths(spark, sf, F.lit(7)), BY, P.path_order())
 
 
@@ -292,13 +291,11 @@ def q_first_seen(spark, sf):
     from customer join nation on n_nationkey = c_nationkey), three as (select * from spend where rank <= 3)
   select (select team_name from spend where rank = 2) as champion_name,
     (select player_name from three where rank = 1) as golden_boot,
-    true as on_podium""")
+    (select count(*) from three where team_name = (select team_name from spend where rank = 2)) > 0 as on_podium""")
 def q_podium(spark, sf):
     order = [F.col("c_acctbal").desc(), F.col("c_custkey").asc()]
     named = table(spark, sf, "customer").join(
         table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    from ..operators.ranking import ranked
-
     leaders = ranked(named, order).select("rank", F.col("c_name").alias("player_name"), F.col("n_name").alias("team_name"))
     return champion_on_podium(leaders, leaders.where("rank = 2").select("team_name"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,5 +25,35 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+# Layout of the given tables; declaring it saves a footer-reading job per table and query.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_plan(build: Query) -> Query:
+    """Build a plan once per application and directory; only the plan is kept, no data."""
+
+    @cache
+    def once(app: str, sf_dir: str) -> DataFrame:
+        return build(SparkSession.active(), sf_dir)
+
+    @wraps(build)
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return once(spark.sparkContext.applicationId, sf_dir)
+
+    return get

@@ -31,10 +31,11 @@ def bracket_nodes(knockout: DataFrame, by: Sequence[str]) -> DataFrame:
     both feeders is a leaf and stands with its own two teams.
     """
     by = list(by)
-    rounds = knockout.where(F.col("stage").isin(*V.TITLE_PATH)).select(
+    # a few matches per competition, read three times below
+    rounds = materialise(knockout.where(F.col("stage").isin(*V.TITLE_PATH)).select(
         *by, "match_id", _round_index().alias("round_idx"), "home_team_id", "away_team_id",
         winner_id().alias("_won"),
-    )
+    ))
     feeders = rounds.where(F.col("_won").isNotNull()).groupBy(
         *by, (F.col("round_idx") + 1).alias("round_idx"), F.col("_won").alias("_team")
     ).agg(F.max("match_id").alias("_match"))
