@@ -14,35 +14,23 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 
 
-def _state(**values: Column) -> Column:
-    return F.struct(*[v.alias(k) for k, v in values.items()])
-
-
-def _one_goal_more(s: Column, k: Column) -> Column:
-    home, away = s["home"] * s["home_rate"] / k, s["away"] * s["away_rate"] / k
-    return _state(
-        home_rate=s["home_rate"], away_rate=s["away_rate"], home=home, away=away,
-        home_below=s["home_below"] + home, away_below=s["away_below"] + away,
-        win=s["win"] + home * s["away_below"],
-        draw=s["draw"] + home * away,
-        loss=s["loss"] + away * s["home_below"],
-    )
-
-
-def _shares(s: Column) -> Column:
-    mass = s["win"] + s["draw"] + s["loss"]
-    return _state(p_home=s["win"] / mass, p_draw=s["draw"] / mass, p_away=s["loss"] / mass)
-
-
-def outcome_probs(home_rate: Column, away_rate: Column, max_goals: int = V.MAX_GOALS) -> Column:
-    """Struct (p_home, p_draw, p_away); the three sum to one."""
-    home, away, zero = F.exp(-home_rate), F.exp(-away_rate), F.lit(0.0)
-    nil_nil = _state(
-        home_rate=home_rate, away_rate=away_rate, home=home, away=away,
-        home_below=home, away_below=away, win=zero, draw=home * away, loss=zero,
-    )
-    goals = F.transform(F.sequence(F.lit(1), F.lit(max_goals)), lambda k: k.cast("double"))
-    return F.aggregate(goals, nil_nil, _one_goal_more, _shares)
+def outcome_probs(home_rate: str, away_rate: str, max_goals: int = V.MAX_GOALS) -> Column:
+    """Struct (p_home, p_draw, p_away) from two rate columns; the three sum to one."""
+    home, away = f"(s.home * {home_rate} / k)", f"(s.away * {away_rate} / k)"
+    mass = "(s.win + s.draw + s.loss)"
+    return F.expr(f"""
+        aggregate(
+          sequence(1, {max_goals}),
+          named_struct('home', exp(-{home_rate}), 'away', exp(-{away_rate}),
+                       'home_below', exp(-{home_rate}), 'away_below', exp(-{away_rate}),
+                       'win', 0D, 'draw', exp(-{home_rate} - {away_rate}), 'loss', 0D),
+          (s, k) -> named_struct('home', {home}, 'away', {away},
+                       'home_below', s.home_below + {home}, 'away_below', s.away_below + {away},
+                       'win', s.win + {home} * s.away_below, 'draw', s.draw + {home} * {away},
+                       'loss', s.loss + {away} * s.home_below),
+          s -> named_struct('p_home', s.win / {mass}, 'p_draw', s.draw / {mass},
+                            'p_away', s.loss / {mass}))
+    """)
 
 
 def goal_rates(

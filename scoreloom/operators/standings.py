@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
+from ..config import materialise
 from .ranking import ranked
 
 CRITERIA = ("points", "goal_diff", "goals_for")
@@ -90,7 +91,8 @@ def ranked_standings(
     position comes from a distributed sort instead.
     """
     by = list(by)
-    pairs = pair_records(legs, by)
+    # totals, tie groups and direct matches all come from these rows; the matches are read once
+    pairs = materialise(pair_records(legs, by))
     totals = team_totals(pairs, by)
     names = list(CRITERIA)
     if criteria:

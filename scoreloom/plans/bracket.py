@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..config import materialise
-from ..functions.poisson import goal_rates, outcome_probs
+from ..functions.poisson import outcome_probs
 from ..functions.scores import winner_id
 from ..operators.ranking import top_k_per_key
 
@@ -92,17 +92,6 @@ def title_tree(nodes: DataFrame, by: Sequence[str]) -> DataFrame:
     return materialise(tree)
 
 
-def neutral_win_probability(
-    attack: Column, defense: Column, other_attack: Column, other_defense: Column
-) -> Column:
-    """P(first beats second) without venue advantage; a draw counts half for either."""
-    mine, theirs = goal_rates(
-        attack, defense, other_attack, other_defense, F.lit(0.0), F.lit(True)
-    )
-    p = outcome_probs(mine, theirs)
-    return F.coalesce(p["p_home"] + p["p_draw"] / 2, F.lit(V.UNKNOWN_PAIR_PROBABILITY))
-
-
 def _entrants(tree: DataFrame, ratings: DataFrame, by: list[str]) -> DataFrame:
     """Teams of the leaves, each certain to be in its slot, with their ratings."""
     places = F.array(
@@ -116,75 +105,79 @@ def _entrants(tree: DataFrame, ratings: DataFrame, by: list[str]) -> DataFrame:
     return leaves.join(params, [*by, "team_id"], "left")
 
 
-def _meetings(here: DataFrame, by: list[str], carried: list[str]) -> DataFrame:
-    """Every pair that can meet in a match, with how likely the first side beats the second."""
-    who = F.struct("team_id", "attack", "defense", "p", *carried)
+def _entrants(tree: DataFrame, ratings: DataFrame, by: list[str]) -> DataFrame:
+    """Teams of the leaves, each certain to be in its slot, with their ratings."""
+    places = "inline(array(struct(0 as slot, home_team_id as team_id), struct(1 as slot, away_team_id as team_id)))"
+    leaves = tree.where("home_feeder is null").selectExpr(*by, "match_id", "round_idx", places)
+    params = ratings.select(*by, "team_id", "attack", "defense")
+    return leaves.join(params, [*by, "team_id"], "left")
+
+
+def _meetings(here: DataFrame, by: list[str]) -> DataFrame:
+    """Every pair (a, b) that can meet in a match, and ``beats``: P(a beats b).
+
+    The venue is neutral and a draw counts half for either; a pair with an unrated team is even.
+    """
     sides = here.groupBy(*by, "match_id").agg(
-        F.collect_list(F.when(F.col("slot") == 0, who)).alias("first"),
-        F.collect_list(F.when(F.col("slot") == 1, who)).alias("second"),
+        F.expr("collect_list(who) filter (where slot = 0)").alias("first"),
+        F.expr("collect_list(who) filter (where slot = 1)").alias("second"),
     )
-    pairs = sides.select(*by, "match_id", F.explode("first").alias("a"), "second").select(
-        *by, "match_id", "a", F.explode("second").alias("b")
+    pairs = sides.selectExpr(*by, "match_id", "explode(first) as a", "second").selectExpr(
+        *by, "match_id", "a", "explode(second) as b"
+    )
+    rates = pairs.selectExpr(
+        "*", "exp(a.attack - b.defense) as _mine", "exp(b.attack - a.defense) as _theirs"
+    )
+    return rates.select("*", outcome_probs("_mine", "_theirs").alias("_p")).selectExpr(
+        *by, "match_id", "a", "b",
+        f"coalesce(_p.p_home + _p.p_draw / 2, {V.UNKNOWN_PAIR_PROBABILITY}D) as beats",
     )
-    return pairs.withColumn("beats", neutral_win_probability(
-        F.col("a.attack"), F.col("a.defense"), F.col("b.attack"), F.col("b.defense")
-    ))
 
 
 def advancement(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> DataFrame:
     """Probability of every bracket team to reach each round; ``reach[5]`` is the title.
 
     Round by round each team keeps one row with its chance to be there, times the chance to
-    beat whoever comes out of the other slot. The result is exact; nothing is sampled.
-    Competitions without a final give no rows.
+    beat whoever comes out of the other slot. The result is exact; nothing is sampled. The
+    rows are at most 32 per competition, and cutting them off after each round keeps the five
+    plans small. Competitions without a final give no rows.
     """
     by = list(by)
     nodes = materialise(nodes)
     tree = title_tree(nodes, by)
-    leaves = materialise(_entrants(tree, ratings, by))
+    leaves = materialise(_entrants(tree, ratings, by).selectExpr(
+        *by, "match_id", "slot", "round_idx",
+        "struct(team_id, attack, defense, 1D as p, cast(array() as array<double>) as reach) as who",
+    ))
     last = len(V.TITLE_PATH)
-    reach = [f"reach_{k}" for k in range(1, last + 1)]
-    links = tree.select(*by, "match_id", "parent", F.col("slot").alias("_slot"))
+    links = tree.selectExpr(*by, "match_id", "parent", "slot")
+    # a team that enters late is as sure of the earlier rounds as of its first match
+    reached = "if(size(who.reach) = 0, array_repeat(p, {n}), array_append(who.reach, p))"
     state = None
     for r in range(last):
-        here = leaves.where(F.col("round_idx") == r).select(
-            *by, "match_id", "slot", "team_id", "attack", "defense", F.lit(1.0).alias("p"),
-            *[F.lit(None).cast("double").alias(c) for c in reach],
-        )
+        here = leaves.where(f"round_idx = {r}").select(*by, "match_id", "slot", "who")
         if state is not None:
-            moved = state.join(links, [*by, "match_id"]).select(
-                *by, F.col("parent").alias("match_id"), F.col("_slot").alias("slot"),
-                "team_id", "attack", "defense", "p", *reach,
-            )
+            moved = state.join(links, [*by, "match_id"]).selectExpr(*by, "parent as match_id", "slot", "who")
             here = here.unionByName(moved)
-
-        def outcome(me: str, chance: Column, carried: list[str]) -> Column:
-            fields = ["team_id", "attack", "defense", "p", *carried]
-            return F.struct(*[F.col(f"{me}.{c}").alias(c) for c in fields], chance.alias("_beat"))
-
-        met = _meetings(here, by, reach)
-        both = F.array(
-            outcome("a", F.col("b.p") * F.col("beats"), reach),
-            outcome("b", F.col("a.p") * (1 - F.col("beats")), reach),
+        won = (
+            _meetings(here, by)
+            .selectExpr(*by, "match_id", "inline(array(struct(a as who, b.p * beats as beat), struct(b as who, a.p * (1 - beats) as beat)))")
+            .groupBy(*by, "match_id", "who.team_id")
+            .agg(F.expr("first(who) as who"), F.expr("first(who.p) * sum(beat) as p"))
         )
-        won = met.select(*by, "match_id", F.inline(both)).groupBy(*by, "match_id", "team_id").agg(
-            *[F.first(c).alias(c) for c in ("attack", "defense", *reach)],
-            (F.first("p") * F.sum("_beat")).alias("p"),
-        )
-        # a team that enters late is as sure of the earlier rounds as of its first match
-        state = won.withColumns({c: F.coalesce(c, "p") for c in reach[: r + 1]})
-    reached = state.select(*by, "team_id", F.array(*reach).alias("_reach"))
-    has_final = tree.where(F.col("parent").isNull()).select(*by).distinct()
-    listed = nodes.select(*by, F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
-    listed = listed.where(F.col("team_id").isNotNull()).distinct()
-    listed = listed.join(has_final, by, "left_semi") if by else listed.crossJoin(
-        has_final.limit(1)
-    )
-    none = F.array_repeat(F.lit(0.0), last)
-    return listed.join(reached, [*by, "team_id"], "left").select(
-        *by, "team_id",
-        F.concat(F.array(F.lit(1.0)), F.coalesce("_reach", none)).alias("reach"),
-    ).withColumn("title_prob", F.get("reach", F.lit(last)))
+        state = materialise(won.selectExpr(
+            *by, "match_id",
+            "struct(who.team_id, who.attack, who.defense, p, "
+            f"{reached.format(n=r + 1)} as reach) as who",
+        ))
+    has_final = tree.where("parent is null").select(*by).distinct()
+    listed = nodes.selectExpr(*by, "explode(array(home_team_id, away_team_id)) as team_id")
+    listed = listed.where("team_id is not null").distinct()
+    listed = listed.join(has_final, by, "left_semi") if by else listed.crossJoin(has_final.limit(1))
+    known = state.selectExpr(*by, "who.team_id as team_id", "who.reach as _reach")
+    return listed.join(known, [*by, "team_id"], "left").selectExpr(
+        *by, "team_id", f"concat(array(1D), coalesce(_reach, array_repeat(0D, {last}))) as reach"
+    ).withColumn("title_prob", F.expr(f"reach[{last}]"))
 
 
 def win_table(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -195,28 +188,20 @@ def win_table(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> DataFr
     """
     by = list(by)
     tree = title_tree(nodes, by)
-    links = tree.select(*by, "match_id", "parent", F.col("slot").alias("_slot"))
-    here = materialise(_entrants(tree, ratings, by).select(
-        *by, "match_id", "slot", "team_id", "attack", "defense", F.lit(1.0).alias("p")
+    here = materialise(_entrants(tree, ratings, by).selectExpr(
+        *by, "match_id", "slot", "struct(team_id, attack, defense) as who"
     ))
-    levels = [here]
+    links = tree.where("parent is not null").selectExpr(*by, "match_id", "parent", "slot")
+    places = here
     for _ in range(len(V.TITLE_PATH) - 1):
-        here = here.join(links, [*by, "match_id"]).where(F.col("parent").isNotNull()).select(
-            *by, F.col("parent").alias("match_id"), F.col("_slot").alias("slot"),
-            "team_id", "attack", "defense", "p",
+        here = here.drop("slot").join(links, [*by, "match_id"]).selectExpr(
+            *by, "parent as match_id", "slot", "who"
         )
-        levels.append(here)
-    places = levels[0]
-    for level in levels[1:]:
-        places = places.unionByName(level)
-    met = _meetings(places, by, [])
-    both = F.array(
-        F.struct(F.col("a.team_id").alias("team_id"), F.col("b.team_id").alias("opponent_id"),
-                 F.col("beats").alias("win_prob")),
-        F.struct(F.col("b.team_id").alias("team_id"), F.col("a.team_id").alias("opponent_id"),
-                 (1 - F.col("beats")).alias("win_prob")),
+        places = places.unionByName(here)
+    return _meetings(places, by).selectExpr(
+        *by, "inline(array(struct(a.team_id as team_id, b.team_id as opponent_id, beats as win_prob), "
+        "struct(b.team_id as team_id, a.team_id as opponent_id, 1 - beats as win_prob)))"
     )
-    return met.select(*by, F.inline(both))
 
 
 def title_odds(advance: DataFrame, teams: DataFrame, by: Sequence[str], k: int = 12) -> DataFrame:

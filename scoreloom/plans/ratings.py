@@ -136,21 +136,18 @@ def _fit_in_tasks(pairs: DataFrame, by: Sequence[str], ridge, tol, max_iter) ->
 # --- competitions of any size: block-wise updates as joins and aggregates --------------------
 
 
-def _solve_scalar(start: Column, load: Column, goals: Column, ridge: float, rounds: int = 25) -> Column:
+def _solve_scalar(start: str, load: str, goals: str, ridge: float, rounds: int = 25) -> Column:
     """x with load·exp(x) - goals + 2·ridge·x = 0 (convex, one unknown per row).
 
     Newton on this increasing convex function converges from any start: a step from the left
     lands to the right of the root, from where it is monotone; steps are kept within ±4.
     """
-    fixed = F.struct(start.alias("x"), load.alias("w"), goals.alias("g"))
-
-    def step(s: Column, _: Column) -> Column:
-        mean = s["w"] * F.exp(s["x"])
-        move = (mean - s["g"] + 2 * ridge * s["x"]) / (mean + 2 * ridge)
-        bounded = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), move))
-        return F.struct((s["x"] - bounded).alias("x"), s["w"].alias("w"), s["g"].alias("g"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), fixed, step, lambda s: s["x"])
+    mean = f"({load} * exp(x))"
+    move = f"({mean} - {goals} + {2 * ridge} * x) / ({mean} + {2 * ridge})"
+    return F.expr(
+        f"aggregate(sequence(1, {rounds}), {start}, "
+        f"(x, i) -> x - greatest(-4D, least(4D, {move})))"
+    )
 
 
 def _side_rows(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -228,10 +225,10 @@ def _fit_distributed(
     keys = [*by, "team_id"]
     for sweep in range(1, max_sweeps + 1):
         state = state.join(load(state, "attack"), keys).withColumn(
-            "attack", _solve_scalar(F.col("attack"), F.col("_load"), F.col("scored"), ridge)
+            "attack", _solve_scalar("attack", "_load", "scored", ridge)
         ).drop("_load")
         state = state.join(load(state, "defense"), keys).withColumn(
-            "defense", -_solve_scalar(-F.col("defense"), F.col("_load"), F.col("conceded"), ridge)
+            "defense", -_solve_scalar("(-defense)", "_load", "conceded", ridge)
         ).drop("_load")
         # a common shift of both blocks changes no rate, so the ridge alone fixes it
         level = state.groupBy(*by).agg((F.avg(F.col("attack") + F.col("defense")) / 2).alias("_level"))
@@ -320,7 +317,7 @@ def with_rates(matches: DataFrame, ratings: DataFrame, by: Sequence[str], neutra
     )
     return (
         keyed.withColumns({"xg_home": home, "xg_away": away})
-        .withColumn("_p", outcome_probs(F.col("xg_home"), F.col("xg_away")))
+        .withColumn("_p", outcome_probs("xg_home", "xg_away"))
         .select(*matches.columns, "home_rating", "away_rating", "xg_home", "xg_away", "_p.*")
     )
 
