@@ -5,16 +5,18 @@ Poisson(exp(attack_away - defense_home)), with a ridge on attack and defence onl
 
 Matches are reduced to one row per (competition, home, away) once; nothing later reads them
 again. Competitions whose teams fit a bounded system are solved side by side in tasks with
-Newton steps. Larger ones are fitted by block-wise updates that stay DataFrame joins and
+Newton steps. Larger ones are fitted by gradient steps that stay DataFrame joins and
 aggregates, so no system or parameter vector is ever held in one place.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,6 +29,10 @@ from ..functions.scores import is_neutral, points_from_winner
 from ..operators.reshape import match_sides
 
 
+# the per-task function travels with the job, so executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class FitError(Exception):
     """The data cannot support a fit, or the fit did not converge."""
 
@@ -133,21 +139,7 @@ def _fit_in_tasks(pairs: DataFrame, by: Sequence[str], ridge, tol, max_iter) ->
     return pairs.groupBy(*by).applyInPandas(fit, out)
 
 
-# --- competitions of any size: block-wise updates as joins and aggregates --------------------
-
-
-def _solve_scalar(start: str, load: str, goals: str, ridge: float, rounds: int = 25) -> Column:
-    """x with load·exp(x) - goals + 2·ridge·x = 0 (convex, one unknown per row).
-
-    Newton on this increasing convex function converges from any start: a step from the left
-    lands to the right of the root, from where it is monotone; steps are kept within ±4.
-    """
-    mean = f"({load} * exp(x))"
-    move = f"({mean} - {goals} + {2 * ridge} * x) / ({mean} + {2 * ridge})"
-    return F.expr(
-        f"aggregate(sequence(1, {rounds}), {start}, "
-        f"(x, i) -> x - greatest(-4D, least(4D, {move})))"
-    )
+# --- competitions of any size: gradient steps as joins and aggregates -------------------------
 
 
 def _side_rows(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -161,98 +153,97 @@ def _side_rows(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _fit_distributed(
-    pairs: DataFrame, by: Sequence[str], ridge: float, tol: float, max_sweeps: int,
-    checkpoint_every: int = 4,
+    pairs: DataFrame, by: Sequence[str], ridge: float, tol: float, max_passes: int,
+    check_every: int = 5,
 ) -> DataFrame:
+    """Gradient steps scaled by the diagonal of the Hessian, with Barzilai-Borwein lengths.
+
+    One pass over the pair rows gives every team its expected goals, hence gradient and
+    curvature; the step length is one number per competition. All competitions advance
+    together, and nothing larger than one team's row is ever in one place.
+    """
     by = list(by)
+    keys = [*by, "team_id"]
     sides = materialise(_side_rows(pairs, by))
-    home_only = F.when(F.col("at_home") == 1, F.col("home_adv")).otherwise(0.0)
-    teams = (
-        sides.groupBy(*by, F.col("scorer").alias("team_id")).agg(F.sum("goals").alias("scored"))
-        .join(
-            sides.groupBy(*by, F.col("conceder").alias("team_id")).agg(F.sum("goals").alias("conceded")),
-            [*by, "team_id"],
-        )
-    )
-    home_goals = sides.where("at_home = 1").groupBy(*by).agg(F.sum("goals").alias("home_total"))
-    zero = F.lit(0.0)
-    state = materialise(
-        teams.join(home_goals, by).withColumns({"attack": zero, "defense": zero, "home_adv": zero})
-    )
-
-    def load(state: DataFrame, solve_for: str) -> DataFrame:
-        """Σ n·exp(everything but the solved block) per scorer or per conceder."""
-        mine, other = ("scorer", "conceder") if solve_for == "attack" else ("conceder", "scorer")
-        value = -F.col("defense") if solve_for == "attack" else F.col("attack")
-        rival = state.select(*by, F.col("team_id").alias(other), value.alias("_v"), "home_adv")
-        terms = sides.join(rival, [*by, other])
-        return terms.groupBy(*by, F.col(mine).alias("team_id")).agg(
-            F.sum(F.col("n") * F.exp(home_only + F.col("_v"))).alias("_load")
+    ends = "inline(array(struct(scorer as team_id, {0}), struct(conceder as team_id, {1})))"
+    goals = sides.selectExpr(*by, ends.format(
+        "goals as scored, goals * at_home as home_scored, 0L as conceded",
+        "0L as scored, 0L as home_scored, goals as conceded",
+    )).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("scored", "home_scored", "conceded")])
+    home_totals = goals.groupBy(*by).agg(F.sum("home_scored").alias("home_total"))
+    state = materialise(goals.drop("home_scored").join(home_totals, by).selectExpr(
+        *keys, "scored", "conceded", "home_total", "0D as att", "0D as dfn", "0D as home_adv",
+        *[f"cast(null as double) as {c}" for c in ("att0", "dfn0", "home0", "g_att0", "g_dfn0", "g_home0")],
+    ))
+
+    def expected(state: DataFrame) -> DataFrame:
+        """Expected goals for, at home and against per team, and its share of the objective."""
+        own = state.selectExpr(*by, "team_id as scorer", "att", "home_adv")
+        rival = state.selectExpr(*by, "team_id as conceder", "dfn")
+        rated = sides.join(own, [*by, "scorer"]).join(rival, [*by, "conceder"]).selectExpr(
+            *by, "scorer", "conceder", "at_home", "n", "goals",
+            "if(at_home = 1, home_adv, 0D) + att - dfn as eta",
+        ).selectExpr("*", "n * exp(eta) as mean")
+        return materialise(rated.selectExpr(*by, ends.format(
+            "mean as made, mean * at_home as made_home, 0D as let_in, mean - goals * eta as loss",
+            "0D as made, 0D as made_home, mean as let_in, 0D as loss",
+        )).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("made", "made_home", "let_in", "loss")]))
+
+    twice = 2 * ridge
+    for turn in range(1, max_passes + 1):
+        rows = state.join(expected(state), keys).selectExpr(
+            "*", f"made - scored + {twice} * att as g_att", f"conceded - let_in + {twice} * dfn as g_dfn",
+            f"made + {twice} as d_att", f"let_in + {twice} as d_dfn",
         )
-
-    def rates(state: DataFrame) -> DataFrame:
-        own = state.select(*by, F.col("team_id").alias("scorer"), "attack", "home_adv")
-        rival = state.select(*by, F.col("team_id").alias("conceder"), "defense")
-        eta = home_only + F.col("attack") - F.col("defense")
-        return (
-            sides.join(own, [*by, "scorer"]).join(rival, [*by, "conceder"])
-            .withColumn("eta", eta).withColumn("mean", F.col("n") * F.exp("eta"))
-        )
-
-    def gradient(state: DataFrame) -> DataFrame:
-        """Largest gradient entry and objective per competition."""
-        r = rates(state)
-        scored = r.groupBy(*by, F.col("scorer").alias("team_id")).agg(
-            F.sum("mean").alias("_ms"),
-            F.sum(F.when(F.col("at_home") == 1, F.col("mean"))).alias("_mh"),
-            F.sum(F.col("mean") - F.col("goals") * F.col("eta")).alias("_obj"),
+        s_y = " + ".join(f"({x} - {x}0) * (g_{x} - g_{x}0)" for x in ("att", "dfn"))
+        s_s = " + ".join(f"power({x} - {x}0, 2) * d_{x}" for x in ("att", "dfn"))
+        y_y = " + ".join(f"power(g_{x} - g_{x}0, 2) / d_{x}" for x in ("att", "dfn"))
+        worst = "max(greatest(abs(g_att) / greatest(scored, 1), abs(g_dfn) / greatest(conceded, 1)))"
+        comp = rows.groupBy(*by).agg(
+            F.expr(f"sum({s_y}) as sy"), F.expr(f"sum({s_s}) as ss"), F.expr(f"sum({y_y}) as yy"),
+            F.expr("sum(made_home) as d_home"), F.expr("sum(made_home) - max(home_total) as g_home"),
+            F.expr("max(home_adv) - max(home0) as s_home"), F.expr("max(g_home0) as _g0"),
+            F.expr(f"greatest({worst}, abs(sum(made_home) - max(home_total)) / greatest(max(home_total), 1)) as gradient"),
+            F.expr(f"sum(loss + {ridge} * (att * att + dfn * dfn)) as final_nll"),
+        ).selectExpr(
+            *by, "g_home", "d_home", "gradient", "final_nll",
+            "sy + s_home * (g_home - _g0) as sy", "ss + s_home * s_home * d_home as ss",
+            "yy + power(g_home - _g0, 2) / d_home as yy",
         )
-        let_in = r.groupBy(*by, F.col("conceder").alias("team_id")).agg(F.sum("mean").alias("_mc"))
-        both = state.join(scored, [*by, "team_id"]).join(let_in, [*by, "team_id"])
-        att = F.col("_ms") - F.col("scored") + 2 * ridge * F.col("attack")
-        dfn = F.col("conceded") - F.col("_mc") + 2 * ridge * F.col("defense")
-        one = F.lit(1).cast("long")
-        squares = F.pow("attack", F.lit(2.0)) + F.pow("defense", F.lit(2.0))
-        return both.groupBy(*by).agg(
-            F.greatest(
-                F.max(F.abs(att) / F.greatest("scored", one)),
-                F.max(F.abs(dfn) / F.greatest("conceded", one)),
-                F.abs(F.sum("_mh") - F.max("home_total")) / F.greatest(F.max("home_total"), one),
-            ).alias("gradient"),
-            F.sum(F.col("_obj") + ridge * squares).alias("final_nll"),
+        length = "sy / yy" if turn % 2 == 0 else "ss / sy"
+        comp = comp.selectExpr(
+            *by, "g_home", "d_home", "gradient", "final_nll",
+            f"coalesce(least(50D, greatest(0.1D, if(sy > 0, {length}, null))), 1D / 3) as step",
         )
-
-    keys = [*by, "team_id"]
-    for sweep in range(1, max_sweeps + 1):
-        state = state.join(load(state, "attack"), keys).withColumn(
-            "attack", _solve_scalar("attack", "_load", "scored", ridge)
-        ).drop("_load")
-        state = state.join(load(state, "defense"), keys).withColumn(
-            "defense", -_solve_scalar("(-defense)", "_load", "conceded", ridge)
-        ).drop("_load")
-        # a common shift of both blocks changes no rate, so the ridge alone fixes it
-        level = state.groupBy(*by).agg((F.avg(F.col("attack") + F.col("defense")) / 2).alias("_level"))
-        state = state.join(level, by).withColumns(
-            {c: F.col(c) - F.col("_level") for c in ("attack", "defense")}
-        ).drop("_level")
-        home_mean = rates(state).where("at_home = 1").groupBy(*by).agg(F.sum("mean").alias("_mh"))
-        state = state.join(home_mean, by).withColumn(
-            "home_adv", F.col("home_adv") + F.log(F.col("home_total") / F.col("_mh"))
-        ).drop("_mh")
-        state = materialise(state)
-        if sweep % checkpoint_every == 0:
-            worst = gradient(state).agg(F.max("gradient")).first()[0]
-            if worst is None or worst <= tol:
+        both = rows.join(comp, by)
+        if turn % check_every == 0 or turn == max_passes:
+            done = materialise(both)
+            if done.agg(F.max("gradient")).first()[0] <= tol or turn == max_passes:
                 break
+            both = done
+        move = "greatest(-1D, least(1D, step * {g} / {d}))"
+        state = materialise(both.selectExpr(
+            *keys, "scored", "conceded", "home_total",
+            *[f"{x} - {move.format(g=f'g_{x}', d=f'd_{x}')} as {x}" for x in ("att", "dfn")],
+            f"home_adv - {move.format(g='g_home', d='d_home')} as home_adv",
+            "att as att0", "dfn as dfn0", "home_adv as home0",
+            "g_att as g_att0", "g_dfn as g_dfn0", "g_home as g_home0",
+        ))
+        # a common shift of both blocks changes no rate, so the ridge alone fixes it
+        level = state.groupBy(*by).agg(F.expr("avg(att + dfn) / 2 as _level"))
+        state = state.join(level, by).selectExpr(
+            *[c for c in state.columns if c not in ("att", "dfn")],
+            "att - _level as att", "dfn - _level as dfn",
+        )
     sizes = pairs.groupBy(*by).agg(F.sum("n").alias("n_matches"))
-    return state.join(gradient(state), by).join(sizes, by).select(
-        *by, "team_id", "attack", "defense", "home_adv", "final_nll", "gradient", "n_matches"
+    return done.join(sizes, by).selectExpr(
+        *keys, "att as attack", "dfn as defense", "home_adv", "final_nll", "gradient", "n_matches"
     )
 
 
 def fit_ratings(
     matches: DataFrame, by: Sequence[str], ridge: float = V.RIDGE, tol: float = TOLERANCE,
-    max_iter: int = 100, max_sweeps: int = 400, bounded_teams: int = BOUNDED_TEAMS,
+    max_iter: int = 100, max_passes: int = 400, bounded_teams: int = BOUNDED_TEAMS,
 ) -> DataFrame:
     """Ratings per (competition, team): attack, defense, rating, home_adv, final_nll, n_matches.
 
@@ -273,7 +264,7 @@ def fit_ratings(
         fitted = _fit_in_tasks(small, by, ridge, tol, max_iter)
     if facts[1] > bounded_teams:
         large = pairs.join(sizes.where(F.col("_teams") > bounded_teams).select(*by), by, "left_semi")
-        rest = _fit_distributed(large, by, ridge, tol, max_sweeps)
+        rest = _fit_distributed(large, by, ridge, tol, max_passes)
         fitted = rest if fitted is None else fitted.unionByName(rest)
     fitted = materialise(fitted)
     stuck = fitted.where(~(F.col("gradient") <= tol)).select(*by, "gradient").take(1)
