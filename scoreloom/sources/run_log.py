@@ -24,7 +24,7 @@ def record_run(
 ) -> dict[str, Any]:
     """Append one record. A log that cannot be written is reported, never raised."""
     now = datetime.now(UTC).isoformat(timespec="seconds")
-    values = (run_id, now, stage, dataset, rows, duration_s, status, error or None)
+    values = (run_id, now, stage, dataset, rows, float(duration_s), status, error or None)
     row = (
         spark.createDataFrame([values], RUN_LOG)
         .withColumn("duration_s", F.round("duration_s", 2))

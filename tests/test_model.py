@@ -30,8 +30,11 @@ def test_strength_order_and_centring(spark):
 
 
 def test_distributed_fit_agrees_with_the_bounded_one(spark):
-    a = {r.team_id: r for r in R.fit_ratings(league(spark), ["c"]).collect()}
-    b = {r.team_id: r for r in R.fit_ratings(league(spark), ["c"], bounded_teams=1, tol=1e-2).collect()}
+    games = [(1, 2, 3, 1), (2, 1, 1, 2), (1, 3, 2, 1), (3, 1, 1, 2), (2, 3, 2, 1), (3, 2, 1, 2)]
+    rows = [(1, i, h, f"T{h}", a, f"T{a}", x, y) for i, (h, a, x, y) in enumerate(games)]
+    df = spark.createDataFrame(rows, MATCH)
+    a = {r.team_id: r for r in R.fit_ratings(df, ["c"]).collect()}
+    b = {r.team_id: r for r in R.fit_ratings(df, ["c"], bounded_teams=1, tol=1e-2).collect()}
     for t in a:
         assert a[t].attack == pytest.approx(b[t].attack, abs=5e-2)
         assert a[t].defense == pytest.approx(b[t].defense, abs=5e-2)
@@ -85,7 +88,7 @@ def test_outcome_probabilities_match_the_grid(spark):
 
 
 def ratings(spark, *values):
-    rows = [(1, t, a, d) for t, (a, d) in enumerate(values, 1)]
+    rows = [(1, t, float(a), float(d)) for t, (a, d) in enumerate(values, 1)]
     return spark.createDataFrame(rows, "c int, team_id long, attack double, defense double")
 
 
