@@ -9,7 +9,7 @@ from ..operators.ranking import top_k_per_key
 from ..operators.reshape import goal_legs
 from ..plans import bracket as B
 from ..plans import profiles as P
-from ..plans.extracts import finished
+from ..plans.extracts import bracket_nested, finished
 from .contests import BY, FACTS, LEGS, facts, fixed_ratings, teams
 from .registry import query
 
@@ -110,6 +110,22 @@ def q_bracket_edges(spark, sf):
     return B.bracket_edges(B.bracket_nodes(knockout(seeds(spark, sf)), BY), BY)
 
 
+@query("bracket_documents", SEEDS + """ select competition,
+    (['LAST_16', 'QUARTER_FINALS', 'SEMI_FINALS', 'FINAL'])[no + 1] as stage, cast(([2, 3, 4, 6])[no + 1] as integer) as stage_order,
+    (['Round of 16', 'Quarter-finals', 'Semi-finals', 'Final'])[no + 1] as label, count(*) as n_matches,
+    string_agg(cast(match_id as varchar), ',' order by match_id) as match_ids
+  from knockout group by competition, no""")
+def q_bracket_documents(spark, sf):
+    """The nested rounds (at most eight matches), shown by their size and the order of their matches."""
+    kickoff = F.make_timestamp_ntz(F.col("competition"), F.lit(12), F.lit(1), F.lit(20), F.lit(0), F.lit(0))
+    cards = knockout(seeds(spark, sf)).withColumn("kickoff_at", kickoff)
+    ids = F.transform("matches", lambda m: m["match_id"].cast("string"))
+    return bracket_nested(cards, BY).select(
+        "competition", "stage", "stage_order", "label",
+        F.size("matches").cast("long").alias("n_matches"), F.array_join(ids, ",").alias("match_ids"),
+    )
+
+
 def advance(best):
     nodes = B.bracket_nodes(knockout(best), BY)
     return B.advancement(nodes, fixed_ratings(best, *BY), BY)

@@ -162,25 +162,6 @@ def q_decided(spark, sf):
     return X.decided_teams(facts(spark, sf), BY)
 
 
-@query("bracket_documents", CARDS + """ select competition, stage,
-    case stage when 'LAST_32' then 1 when 'LAST_16' then 2 when 'QUARTER_FINALS' then 3
-      when 'SEMI_FINALS' then 4 when 'FINAL' then 6 end as stage_order,
-    case stage when 'LAST_32' then 'Round of 32' when 'LAST_16' then 'Round of 16'
-      when 'QUARTER_FINALS' then 'Quarter-finals' when 'SEMI_FINALS' then 'Semi-finals'
-      when 'FINAL' then 'Final' end as label,
-    count(*) as n_matches,
-    string_agg(cast(match_id as varchar), ',' order by kickoff_at, match_id) as match_ids
-  from cards where stage <> 'GROUP_STAGE' group by competition, stage""")
-def q_bracket_documents(spark, sf):
-    """The nested rounds, shown by their size and the order of their matches."""
-    nested = X.bracket_nested(cards(spark, sf), BY)
-    ids = F.transform("matches", lambda m: m["match_id"].cast("string"))
-    return nested.select(
-        "competition", "stage", "stage_order", "label",
-        F.size("matches").cast("long").alias("n_matches"), F.array_join(ids, ",").alias("match_ids"),
-    )
-
-
 @query("match_labels", FACTS + """ select match_id,
     cast(extract(day from kickoff_at) as varchar) || ' ' ||
       (['JANV','FÉVR','MARS','AVR','MAI','JUIN','JUIL','AOÛT','SEPT','OCT','NOV','DÉC'])[month(kickoff_at)]

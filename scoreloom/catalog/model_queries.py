@@ -105,6 +105,20 @@ def q_strength(spark, sf):
     return strength(spark, sf)
 
 
+@query("rating_ranks_distributed", FACTS + """, members as (
+    select distinct competition, home_team_id as team_id from facts
+    union select distinct competition, away_team_id from facts)
+  select competition, team_id,
+    row_number() over (partition by competition order by rating desc, team_id) as rank_overall,
+    row_number() over (partition by competition order by attack desc, team_id) as rank_attack,
+    row_number() over (partition by competition order by defense desc, team_id) as rank_defense
+  from members join fixed_ratings using (team_id)""")
+def q_rating_ranks(spark, sf):
+    rated = fixed_ratings(members(facts(spark, sf)), *BY)
+    return R.with_rating_ranks(rated, BY, bounded_fields=False).select(
+        *BY, "team_id", "rank_overall", "rank_attack", "rank_defense")
+
+
 @query("upsets", ODDS + """ select match_id, stage, winner_name, loser_name,
     wg || '–' || lg || case when duration = 'PENALTY_SHOOTOUT' then ' (' || wk || '–' || lk || ' t.a.b.)' else '' end as score,
     round(p, 3) as win_prob

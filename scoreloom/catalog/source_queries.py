@@ -147,45 +147,53 @@ def q_newest(spark, sf):
 # --- payload shapes and parsing ---------------------------------------------------------------------
 
 
-@query("payload_documents", """with lines as (select l_orderkey, l_partkey, l_suppkey, l_linenumber from lineitem)
-  select l_orderkey as id, count(*) as rows_in_document from lines group by 1""")
+@query("payload_documents", """select l_orderkey as id, l_linenumber as line, l_partkey as part,
+  case when l_returnflag = 'R' then 3 else 1 end as rows_in_document from lineitem""")
 def q_payload_documents(spark, sf):
-    """Records counted inside nested documents (an order with its lines), without exploding."""
-    entry = F.struct(F.col("l_linenumber").alias("position"), F.col("l_partkey").alias("part"))
-    docs = _order_documents(spark, sf, entry)
-    return docs.select("id", payload_row_count("standings").cast("long").alias("rows_in_document"))
+    """Records counted inside nested documents without exploding them."""
+    docs = _line_documents(spark, sf)
+    count = payload_row_count("standings").alias("rows_in_document")
+    return docs.select("id", "line", "part", count)
+
 
+def _line_documents(spark, sf):
+    """One standings-shaped document per line: a table of one entry, and one of two if returned."""
+    entry = F.struct(F.col("l_linenumber").alias("position"), F.col("l_partkey").alias("part"))
 
-def _order_documents(spark, sf, entry):
-    """Orders as standings-shaped documents: groups (by return flag) holding tables (of lines).
+    def group(name, *entries):
+        return F.struct(name.alias("group"), F.lit("TOTAL").alias("type"), F.array(*entries).alias("table"))
 
-    An order has a handful of lines, so a document is bounded.
-    """
-    groups = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(
-        F.collect_list(entry).alias("table"))
-    group = F.struct(F.col("l_returnflag").alias("group"), F.lit("TOTAL").alias("type"), "table")
-    return groups.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.collect_list(group).alias("standings"),
-    ).select("id", "standings", F.struct(F.lit("TPC").alias("code")).alias("competition"),
-             F.struct(F.col("id").alias("id")).alias("season"))
+    one, two = group(F.col("l_linestatus"), entry), group(F.col("l_returnflag"), entry, entry)
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"),
+        F.when(F.col("l_returnflag") == "R", F.array(one, two)).otherwise(F.array(one)).alias("standings"),
+        F.struct(F.lit("TPC").alias("code")).alias("competition"),
+        F.struct(F.col("l_orderkey").alias("id")).alias("season"),
+    )
 
 
-@query("standing_rows", """select l_orderkey as order_id, l_returnflag as group_code, 'TPC' as competition,
-  l_linenumber as position, l_partkey as part from lineitem""")
+@query("standing_rows", """select l_orderkey as order_id, l_linestatus as group_code, 'TPC' as competition,
+    l_linenumber as position, l_partkey as part from lineitem
+  union all
+  select l_orderkey, l_returnflag, 'TPC', l_linenumber, l_partkey from lineitem cross join range(2)
+  where l_returnflag = 'R'""")
 def q_standing_rows(spark, sf):
     """Nested tables flattened with the context of their group and document."""
-    entry = F.struct(F.col("l_linenumber").alias("position"), F.col("l_partkey").alias("part"))
-    return standing_rows(_order_documents(spark, sf, entry)).select(
+    return standing_rows(_line_documents(spark, sf)).select(
         F.col("season.id").alias("order_id"), F.col("standing.group").alias("group_code"),
         F.col("competition.code").alias("competition"), "position", "part",
     )
 
 
-@query("match_rows", """select l_orderkey as id, l_linenumber as position, l_quantity as quantity from lineitem""")
+@query("match_rows", """select l_orderkey as id, l_linenumber as position, l_quantity as quantity from lineitem
+  union all select l_orderkey, -l_linenumber, l_tax from lineitem""")
 def q_match_rows(spark, sf):
-    record = F.struct(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("position"), F.col("l_quantity").alias("quantity"))
-    documents = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(record).alias("matches"))
-    return match_rows(documents.select("matches"))
+    def record(position, quantity):
+        return F.struct(F.col("l_orderkey").alias("id"), position.alias("position"), F.col(quantity).alias("quantity"))
+
+    line = F.col("l_linenumber")
+    both = F.array(record(line, "l_quantity"), record(-line, "l_tax"))
+    return match_rows(table(spark, sf, "lineitem").select(both.alias("matches")))
 
 
 @query("numbers_with_units", """select event_id, case when event_type = 'error' then null else value end as parsed from events""")
@@ -236,7 +244,7 @@ def q_side_statistics(spark, sf):
     l_returnflag = 'R' as goal, (l_linestatus = 'O') = (o_orderstatus = 'O') as own
   from orders join lineitem on l_orderkey = o_orderkey""")
 def q_shot_rows(spark, sf):
-    """Shots unnested from one document per order; lines stand for shots."""
+    """Shots unnested from shot maps of orders; lines stand for shots."""
     shot = F.struct(
         F.struct(F.col("l_tax").alias("x"), F.col("l_discount").alias("y")).alias("playerCoordinates"),
         F.col("l_discount").cast("string").alias("xg"),
@@ -244,8 +252,8 @@ def q_shot_rows(spark, sf):
         (F.col("l_linestatus") == "O").alias("isHome"),
         F.struct(F.col("l_partkey").cast("string").alias("name")).alias("player"),
     )
-    maps = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("id")).agg(
-        F.struct(F.collect_list(shot).alias("shotmap")).alias("value"))
+    maps = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("id"), F.struct(F.array(shot).alias("shotmap")).alias("value"))
     events = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"), F.struct(F.col("o_orderstatus").alias("name")).alias("homeTeam"))
     return P.shots(events, maps, "O").select(

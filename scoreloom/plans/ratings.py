@@ -26,6 +26,7 @@ from .. import fixed_values as V
 from ..config import materialise
 from ..functions.poisson import goal_rates, outcome_probs
 from ..functions.scores import is_neutral, points_from_winner
+from ..operators.ranking import ranked
 from ..operators.reshape import match_sides
 
 
@@ -332,12 +333,26 @@ def finished_with_score(facts: DataFrame) -> DataFrame:
     return facts.where((F.col("status") == V.FINISHED) & F.col("regulation_home_goals").isNotNull())
 
 
+def with_rating_ranks(ratings: DataFrame, by: Sequence[str], bounded_fields: bool = True) -> DataFrame:
+    """Rank overall, in attack and in defence; equal values rank by id."""
+    for name, column in (("overall", "rating"), ("attack", "attack"), ("defense", "defense")):
+        order = [F.col(column).desc_nulls_last(), F.col("team_id").asc()]
+        if bounded_fields:
+            place = F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("long")
+            ratings = ratings.withColumn(f"rank_{name}", place)
+        else:
+            ratings = ranked(ratings, order, f"rank_{name}", by)
+    return ratings
+
+
 def team_strength(
-    facts: DataFrame, ratings: DataFrame, teams: DataFrame, by: Sequence[str]
+    facts: DataFrame, ratings: DataFrame, teams: DataFrame, by: Sequence[str],
+    bounded_fields: bool = True,
 ) -> DataFrame:
     """Ratings, ranks and actual against expected results of every rated team.
 
-    The ranks are windows inside a competition, over one row per team.
+    The ranks are windows over one row per team of a competition; pass ``bounded_fields=False``
+    where a competition can have very many teams, and they come from distributed sorts.
     """
     by = list(by)
     legs = model_legs(with_rates(finished_with_score(facts), ratings, by), by)
@@ -347,15 +362,9 @@ def team_strength(
         F.sum("opponent_rating").alias("_opp"),
     )
 
-    def rank_by(column: str) -> Column:
-        return F.row_number().over(
-            W.partitionBy(*by).orderBy(F.col(column).desc_nulls_last(), F.col("team_id").asc())
-        )
-
     badge = teams.select(*by, "team_id", "team_name", "team_tla", F.col("team_crest_url").alias("crest"))
     rows = (
-        ratings.withColumns({f"rank_{n}": rank_by(c) for n, c in (
-            ("overall", "rating"), ("attack", "attack"), ("defense", "defense"))})
+        with_rating_ranks(ratings, by, bounded_fields)
         .join(sums, [*by, "team_id"], "left").join(badge, [*by, "team_id"], "left")
     )
 
