@@ -10,7 +10,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..config import Edition
 from ..functions.display import iso_utc
 from ..functions.scores import decided_by_side, score_label
 from ..operators.quality import passed_and_total
@@ -323,14 +322,6 @@ def shares(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def edition_publish(
-    history: DataFrame, facts: DataFrame, edition: Edition
-) -> DataFrame:
-    from .marts import mart_edition_comparison
-
-    return edition_table(mart_edition_comparison(history, facts, edition))
-
-
 def decided_teams(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Decisive finished matches from the winner's point of view."""
     home_first = ("home_team_id", "home_team_name", "away_team_id", "away_team_name")
