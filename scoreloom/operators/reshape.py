@@ -60,6 +60,11 @@ def nest_rows(
     return df.groupBy(*keys).agg(shaped.alias(out))
 
 
+def with_group_values(df: DataFrame, values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows beside the aggregates of their group; without keys ``values`` is a single row."""
+    return df.join(values, list(by), "left") if by else df.crossJoin(values)
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Union of drifting layouts; a column absent on one side is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -14,7 +14,7 @@ from ..functions.display import iso_utc
 from ..functions.scores import decided_by_side, score_label
 from ..operators.quality import passed_and_total
 from ..operators.ranking import top_k, top_k_per_key
-from ..operators.reshape import nest_rows
+from ..operators.reshape import nest_rows, with_group_values
 
 
 
@@ -77,7 +77,7 @@ def key_metrics(facts: DataFrame, teams: DataFrame, by: Sequence[str] = ()) -> D
         goals.alias("goals_scored"), _per_match(goals, played).alias("avg_goals_per_match"),
     )
     counted = teams.groupBy(*by).agg(F.count(F.lit(1)).alias("teams"))
-    both = numbers.join(counted, list(by), "left") if by else numbers.crossJoin(counted)
+    both = with_group_values(numbers, counted, by)
     return both.select(
         *by, "matches_total", "matches_played", "goals_scored", "teams", "avg_goals_per_match"
     )
@@ -313,7 +313,7 @@ def champion_on_podium(scorers: DataFrame, champions: DataFrame, k: int = 3) ->
 def shares(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Share of each row in the total and in the maximum of its group."""
     totals = df.groupBy(*by).agg(F.sum(value).alias("_sum"), F.max(value).alias("_max"))
-    both = df.join(totals, list(by)) if by else df.crossJoin(totals)
+    both = with_group_values(df, totals, by)
     v = F.col(value).cast("double")
     return both.select(
         *df.columns,

@@ -14,7 +14,7 @@ from ..functions.text import number_with_unit, same_name
 from ..operators.quality import involves
 from ..operators.ranking import top_k
 from ..operators.reconcile import paired_by_order, require_matched, require_paired, with_canonical_name
-from ..operators.reshape import match_sides
+from ..operators.reshape import match_sides, with_group_values
 from .extracts import decided_teams, stage_dim
 from .ratings import finished_with_score, with_rates
 
@@ -102,7 +102,7 @@ def entity_case(
         *by, "team_id", "title_prob", "title_rank"
     )
     chosen = strength if subject is None else strength.where(same_name("team_name", subject))
-    chosen = chosen.join(sizes, list(by)) if by else chosen.crossJoin(sizes)
+    chosen = with_group_values(chosen, sizes, by)
     return chosen.join(placed, [*by, "team_id"], "left").select(
         *by, "team_id", *fields, "n_teams",
         F.round(F.coalesce("title_prob", F.lit(0.0)), 4).alias("title_prob"), "title_rank",
@@ -161,7 +161,7 @@ def over_under(strength: DataFrame, by: Sequence[str], min_played: int = 3, k: i
 def scatter_labels(strength: DataFrame, by: Sequence[str], top: int = 5) -> DataFrame:
     """Which teams to name in a chart: the best overall, the best attack, the worst defence."""
     worst = strength.groupBy(*by).agg(F.max("rank_defense").alias("_worst"))
-    both = strength.join(worst, list(by)) if by else strength.crossJoin(worst)
+    both = with_group_values(strength, worst, by)
     show = (
         (F.col("rank_overall") <= top) | (F.col("rank_attack") == 1)
         | (F.col("rank_defense") == F.col("_worst"))
@@ -203,7 +203,7 @@ def correlation(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFr
 def holds_maximum(df: DataFrame, value: str, key: str, by: Sequence[str] = ()) -> DataFrame:
     """Per entity, whether nobody of its competition has a larger value."""
     top = df.groupBy(*by).agg(F.max(value).alias("_max"))
-    both = df.join(top, list(by)) if by else df.crossJoin(top)
+    both = with_group_values(df, top, by)
     return both.select(*by, key, (F.col(value) >= F.col("_max")).alias("has_top"))
 
 
