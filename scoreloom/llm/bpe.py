@@ -16,6 +16,7 @@ import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
@@ -27,7 +28,7 @@ from ..shared_store import ship_package
 from .registry import query, read
 
 VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 150_000  # chunks, and words, a worker keeps per generation; it changes speed only
+REMEMBERED = 300_000  # chunks, and words, a worker keeps per generation; it changes speed only
 LAST = "</w>"
 
 
@@ -57,7 +58,7 @@ class Generations(dict):
 
 
 class FragmentEncoder:
-    """Encodes UTF-8 texts; ``chunks`` maps a chunk without white space to (ids, decoded text)."""
+    """Encodes UTF-8 texts to ids, 4 little-endian bytes each, and ids back to text."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         with open(path, encoding="utf-8") as f:
@@ -65,6 +66,8 @@ class FragmentEncoder:
         vocabulary = Tokenizer.from_file(path)
         self.model = vocabulary.model
         self.ids_of: dict[str, bytes] = {t: i.to_bytes(4, "little") for t, i in spec["model"]["vocab"].items()}
+        self.token_of = {int.from_bytes(i, "little"): t.encode("utf-8") for t, i in self.ids_of.items()}
+        self.token_of |= {t["id"]: t["content"].encode("utf-8") for t in spec["added_tokens"]}
         self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(spec["model"]["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -74,18 +77,15 @@ class FragmentEncoder:
         self.chunks = Generations(self._chunk, remembered)
         self.words = Generations(self._word, remembered)
 
-    def _chunk(self, chunk: bytes) -> tuple[bytes, bytes]:
+    def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "replace")
         if text.isascii():
             text = text.lower()
         else:  # case is mapped character by character, without the final form of sigma
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        words = [self.words[w] for w in self.pretokens(text)]
-        if len(words) == 1:
-            return words[0]
-        return b"".join([w[0] for w in words]), b" ".join([w[1] for w in words])
+        return b"".join([self.words[w] for w in self.pretokens(text)])
 
-    def _word(self, word: str) -> tuple[bytes, bytes]:
+    def _word(self, word: str) -> bytes:
         """Cut a pre-token where its neighbouring bytes are in no token together."""
         codes, start, tokens = word.encode("utf-8"), 0, []
         for at in range(1, len(codes)):
@@ -94,7 +94,7 @@ class FragmentEncoder:
                 start = at
         # the last fragment carries the end of the word, which is how the model takes a whole word
         tokens += [t.value for t in self.model.tokenize("".join([self.symbols[b] for b in codes[start:]]))]
-        return b"".join([self.ids_of[t] for t in tokens]), " ".join(tokens).encode("utf-8")
+        return b"".join([self.ids_of[t] for t in tokens])
 
     def _merge(self, parts: list[str]) -> list[str]:
         """Merge a fragment that does not end its word, lowest rank first."""
@@ -110,24 +110,21 @@ class FragmentEncoder:
             parts = merged
         return parts
 
-    def pieces(self, text: bytes) -> list[tuple[bytes, bytes]]:
-        """(ids, decoded) of every chunk, in order."""
+    def ids(self, text: bytes) -> bytes:
         chunks = self.chunks
         if b"<|" not in text:
-            return [chunks[c] for c in text.split()]
-        found: list[tuple[bytes, bytes]] = []
+            return b"".join([chunks[c] for c in text.split()])
+        found: list[bytes] = []
         for part in self.special_split.split(text.decode("utf-8", "replace")):
             if part in self.special:
-                found.append((self.special[part].to_bytes(4, "little"), part.encode("utf-8")))
+                found.append(self.special[part].to_bytes(4, "little"))
             else:
                 found += [chunks[c] for c in part.encode("utf-8").split()]
-        return found
-
-    def ids(self, text: bytes) -> bytes:
-        return b"".join([p[0] for p in self.pieces(text)])
+        return b"".join(found)
 
-    def decoded(self, text: bytes) -> bytes:
-        return b" ".join([p[1] for p in self.pieces(text)])
+    def decode(self, ids: bytes) -> bytes:
+        """The vocabulary names no decoder: tokens are written out with blanks between them."""
+        return b" ".join(map(self.token_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def inside_pairs(vocab: Iterable[str], symbols: list[str]) -> set[bytes]:
@@ -165,11 +162,8 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
-                pieces = [encode.pieces(bytes(t)) for t in part["text"]]
-                yield pd.DataFrame({
-                    "doc_id": part["doc_id"].array, "ids": [b"".join([p[0] for p in x]) for x in pieces],
-                    "decoded": [b" ".join([p[1] for p in x]) for x in pieces],
-                })
+                ids = [encode.ids(bytes(t)) for t in part["text"]]
+                yield pd.DataFrame({"doc_id": part["doc_id"].array, "ids": ids, "decoded": [encode.decode(x) for x in ids]})
 
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInPandas(run, f"doc_id {kind}, ids binary, decoded binary")

@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from . import bpe, chat_format, sharding  # noqa: F401  (importing registers them)
+from . import bpe, chat_format, packing, sharding  # noqa: F401  (importing registers them)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
