@@ -14,7 +14,7 @@ columns are ignored. A document longer than ``capacity`` is cut into full pieces
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -100,6 +100,10 @@ def pack_group(rows: pd.DataFrame, capacity: int, level: int, smallest: int, las
         item=(np.int64(level) << 56) + (group << 24) + own, offset=rows["offset"].to_numpy() + base[codes], done=done[own])
 
 
+def group_packer(*settings: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    return lambda rows: pack_group(rows, *settings)
+
+
 def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, most_rows: int = MOST_ROWS) -> DataFrame:
     """Give every piece a sequence and its offset there. ``items`` has a unique long ``item`` per row."""
     rows, smallest = items.agg(F.count(F.lit(1)), F.min("length")).first()
@@ -108,11 +112,8 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, group_rows
     left = items.withColumn("offset", F.lit(0).cast("long")).withColumn("grp", spread.cast("long"))
     level, finished = 0, None
     while True:
-        last, floor = groups == 1, int(smallest or 0)
-
-        def run(group: pd.DataFrame, level: int = level, floor: int = floor, last: bool = last) -> pd.DataFrame:
-            return pack_group(group, capacity, level, floor, last)
-
+        last = groups == 1
+        run = group_packer(capacity, level, int(smallest or 0), last)
         packed = left.repartition(groups, "grp").groupBy("grp").applyInPandas(run, left.withColumn("done", F.lit(True)).schema)
         stored = work.save(packed, f"level{level}")
         emitted = stored.where("done")
