@@ -17,8 +17,8 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,16 +157,18 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary_path(vocabulary))
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                ids = [encode.ids(bytes(t)) for t in part["text"]]
-                yield pd.DataFrame({"doc_id": part["doc_id"].array, "ids": ids, "decoded": [encode.decode(x) for x in ids]})
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [encode.ids(t) for t in part.column("text").to_pylist()]
+                decoded = [encode.decode(x) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, ids binary, decoded binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 
 
 @query("op6_bpe")

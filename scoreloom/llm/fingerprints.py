@@ -16,7 +16,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -128,13 +128,13 @@ def with_next(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col
     columns = ["doc_id", "n_chars", "text", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "range", "place"]
     schema = f"doc_id {kind}, n_chars long, text string, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, range int, place string"
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, before = TaskContext.get().partitionId(), None
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before, kind = TaskContext.get().partitionId(), None, None
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                out = []
-                for doc_id, text in zip(batch["doc_id"].iloc[at : at + 500], batch["text"].iloc[at : at + 500], strict=True):
-                    doc_id = None if doc_id is pd.NaT or doc_id is pd.NA or doc_id != doc_id else doc_id
+            kind = batch.schema.field("doc_id").type
+            for at in range(0, batch.num_rows, 500):
+                out, some = [], batch.slice(at, 500)
+                for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist(), strict=True):
                     print_ = fingerprint(text.encode("utf-8", "surrogatepass"))
                     if before is None:
                         out.append((doc_id, len(text), text, None, print_, None, None, None, part, "first"))
@@ -142,16 +142,17 @@ def with_next(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col
                         done = compared(*before, text, print_)
                         out.append((*done[:2], None, *done[3:], part, "done"))
                     before = doc_id, text, print_
-                yield frame(out)
+                yield frame(out, kind)
         if before is not None:
             doc_id, text, print_ = before
-            yield frame([(doc_id, len(text), text, None, print_, None, None, None, part, "last")])
+            yield frame([(doc_id, len(text), text, None, print_, None, None, None, part, "last")], kind)
 
-    def frame(out: list[tuple]) -> pd.DataFrame:
-        made = pd.DataFrame(out, columns=columns)
-        return made.astype({"n_chars": np.int64, "range": np.int32, "near_edited": float, "near_next": float})
+    def frame(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        text, number = pa.string(), pa.float64()
+        types = [kind, pa.int64(), text, text, text, text, number, number, pa.int32(), text]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], columns)
 
-    walked = work.save(rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").mapInPandas(walk, schema), "walked")
+    walked = work.save(rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(walk, schema), "walked")
     firsts = walked.where("place = 'first'")
     # one number per range: which range comes after it; the first after the last
     order = Window.orderBy("range")
@@ -163,12 +164,12 @@ def with_next(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col
         .select("doc_id", "text", "fingerprint", "following", "next_print")
     )
 
-    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [(*compared(*r)[:2], None, *compared(*r)[3:], 0, "done") for r in batch.itertuples(index=False, name=None)]
-            yield frame(made)
+            made = [compared(*r.values()) for r in batch.to_pylist()]
+            yield frame([(*r[:2], None, *r[3:], 0, "done") for r in made], batch.schema.field("doc_id").type)
 
-    return walked.where("place = 'done'").unionByName(seams.mapInPandas(close, schema)).drop("text", "range", "place")
+    return walked.where("place = 'done'").unionByName(seams.mapInArrow(close, schema)).drop("text", "range", "place")
 
 
 @query("op8_fingerprints")

@@ -24,12 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
 from ..shared_store import Workspace, ship_package
 from .near_dup import chunks, mixed, text_key, word_hashes
+from .passing import veiled
 from .registry import query, read
 from .sides import small_side
 
@@ -111,25 +113,26 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
 def lines_of(texts: DataFrame, least_words: int) -> DataFrame:
     """One row per line with words: id, text key, line number, word count, hashes, half keys."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            everything = list(batch["content"])
+            everything = batch.column("content").to_pylist()
             for part in chunks(everything):
                 split = [t.split(b"\n") for t in everything[part]]
                 count = np.array([len(x) for x in split])
                 keys = line_keys([line for x in split for line in x], least_words)
                 own, number = np.repeat(np.arange(len(split)), count), segments(count)[1]
                 full = np.flatnonzero(keys["words"])
-                rows = batch.iloc[part].iloc[own[full]]
+                rows = batch.slice(part.start, part.stop - part.start).take(pa.array(own[full]))
                 halves = keys["halves"][full].view(np.int64)
-                yield pd.DataFrame({
-                    "doc_id": rows["doc_id"].array, "t1": rows["t1"].array, "t2": rows["t2"].array, "line": number[full].astype(np.int32),
+                columns = {
+                    **{c: rows.column(c) for c in ("doc_id", "t1", "t2")}, "line": number[full].astype(np.int32),
                     "h1": keys["h1"][full].view(np.int64), "h2": keys["h2"][full].view(np.int64),
-                    **{f"k{i}": halves[:, i] for i in range(4)},
-                })
+                    **{f"k{i}": np.ascontiguousarray(halves[:, i]) for i in range(4)},
+                }
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], list(columns))
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInPandas(run, f"doc_id {kind}, t1 long, t2 long, line int, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long")
+    return texts.mapInArrow(run, f"doc_id {kind}, t1 long, t2 long, line int, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long")
 
 
 PLACE = ["late", "doc_id", "t1", "t2", "line"]
@@ -199,25 +202,27 @@ def without_repeated_lines(docs: DataFrame, work: Workspace, id_col: str = "doc_
     own = F.struct(*PLACE)
     dropped = lines.select("h1", "h2", *PLACE).join(small_side(judged), ["h1", "h2"]).where(F.col("near") | (own != F.col("first")))
     by_doc = work.save(dropped.groupBy("doc_id", "t1", "t2").agg(F.array_sort(F.collect_set("line")).alias("dropped")), "dropped")
-    passed = [f for f in docs.schema.fields if f.name != text_col]
-    d, b = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(text_key(text_col), ("t1", "t2"), strict=True)], content.alias("_content")), small_side(by_doc, "dropped")
-    joined = d.join(b, d[id_col].eqNullSafe(b["doc_id"]) & (d["_t1"] == b["t1"]) & (d["_t2"] == b["t2"]), "left").select(
-        *[d[f.name] for f in passed], "_content", b["dropped"].alias("_dropped"))
-    schema = StructType([*passed]).add("_kept", BinaryType()).add("_n_lines", LongType()).add("_n_dropped", LongType())
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows, names, back = veiled(docs)
+    keyed = rows.select("*", *text_key(names[text_col]), F.coalesce(F.col(names[text_col]).cast("binary"), F.lit(b"")).alias("content"))
+    gone = small_side(by_doc, "dropped")
+    same = keyed[names[id_col]].eqNullSafe(gone["doc_id"]) & (keyed["t1"] == gone["t1"]) & (keyed["t2"] == gone["t2"])
+    joined = keyed.join(gone, same, "left").select(*names.values(), "content", "dropped")
+    new = ["_kept", "_n_lines", "_n_dropped"]
+    schema = StructType([*rows.schema.fields]).add(new[0], BinaryType()).add(new[1], LongType()).add(new[2], LongType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts_, gone_ = batch.pop("_content"), batch.pop("_dropped")
             kept, count, gone = [], [], []
-            for text, drop in zip(texts_, gone_, strict=True):
-                have = text.split(b"\n")
-                out = set() if drop is None else set(drop.tolist())
+            for text, drop in zip(batch.column("content").to_pylist(), batch.column("dropped").to_pylist(), strict=True):
+                have, out = text.split(b"\n"), set(drop or ())
                 kept.append(text if not out else b"\n".join([x for i, x in enumerate(have) if i not in out]))
                 count.append(len(have))
                 gone.append(len(out))
-            yield batch.assign(_kept=kept, _n_lines=count, _n_dropped=gone)[schema.names]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in names.values()], pa.array(kept, pa.binary()), pa.array(count, pa.int64()), pa.array(gone, pa.int64())],
+                [*names.values(), *new])
 
-    return joined.mapInPandas(run, schema)
+    return back(joined.mapInArrow(run, schema), *new)
 
 
 @query("op3_line_dedup")

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,14 +135,13 @@ def text_key(column: str) -> list[Column]:
 def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, text key, set size, set key, band keys and odd sketch (null for empty sets)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            everything = list(batch["content"])
+            everything = batch.column("content").to_pylist()
             for part in chunks(everything):
-                texts, rows = everything[part], batch.iloc[part]
+                texts, rows = everything[part], batch.slice(part.start, part.stop - part.start)
                 hashes, sizes = shingle_sets(texts)
                 full = np.flatnonzero(sizes)
-                out = rows[["doc_id", "t1", "t2"]].assign(n_shingles=sizes)
                 s1, s2 = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
                 bands: list = [None] * len(texts)
                 sketches: list = [None] * len(texts)
@@ -152,11 +152,14 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         digest = xxhash.xxh3_128_digest(hashes[ends[i] - sizes[i] : ends[i]].tobytes())
                         s1[i], s2[i] = np.frombuffer(digest, np.int64)
                         bands[i], sketches[i] = band[k], sketch[k]
-                yield out.assign(s1=s1, s2=s2, bands=bands, sketch=sketches)
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*[rows.column(c) for c in ("doc_id", "t1", "t2")], *map(pa.array, (sizes, s1, s2)), pa.array(bands, longs), pa.array(sketches, longs)],
+                    ["doc_id", "t1", "t2", "n_shingles", "s1", "s2", "bands", "sketch"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     content = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("content")
-    return docs.select(F.col(id_col).alias("doc_id"), *text_key(text_col), content).mapInPandas(
+    return docs.select(F.col(id_col).alias("doc_id"), *text_key(text_col), content).mapInArrow(
         run, f"doc_id {kind}, t1 long, t2 long, n_shingles long, s1 long, s2 long, bands array<long>, sketch array<long>")
 
 

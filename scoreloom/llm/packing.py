@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +41,12 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
     kind = docs.schema[id_col].dataType.simpleString()
     end, width = END_TOKEN.to_bytes(4, "little"), 4 * capacity
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary_path(vocabulary))
         for batch in batches:
             who, piece, length, crc = [], [], [], []
-            for i, text in enumerate(batch["text"]):
-                ids = encode.ids(bytes(text)) + end
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                ids = encode.ids(text) + end
                 for k, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     who.append(i)
@@ -53,12 +54,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
             number = np.array(piece, np.int64)
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].iloc[who].array, "piece": number.astype(np.int32), "start": number * capacity,
+            columns = {
+                "doc_id": batch.column("doc_id").take(pa.array(who, pa.int64())), "piece": number.astype(np.int32), "start": number * capacity,
                 "length": np.array(length, np.int64), "ids_crc32": np.array(crc, np.int64),
-            })
+            }
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
-    return rows.mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long").withColumn(
+    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long").withColumn(
         "item", F.monotonically_increasing_id())
 
 
@@ -86,21 +88,24 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return sequence, offset
 
 
-def pack_group(rows: pd.DataFrame, capacity: int, level: int, smallest: int, last: bool) -> pd.DataFrame:
+def pack_group(rows: pa.Table, capacity: int, level: int, smallest: int, last: bool) -> pa.Table:
     """Pack the items of one group; rows of an item keep their places relative to it."""
-    codes, _ = pd.factorize(rows["item"])
-    length = rows["length"].to_numpy()
+    codes, _ = pd.factorize(rows.column("item").to_numpy())
+    length = rows.column("length").to_numpy()
     sizes = np.bincount(codes, length).astype(np.int64)
     sequence, base = best_fit(sizes, capacity)
     room = capacity - np.bincount(sequence, sizes).astype(np.int64)
     done = (room <= capacity // NEARLY) | (room < smallest) | last
     own = sequence[codes]
-    group = rows["grp"].to_numpy()
-    return rows.assign(
-        item=(np.int64(level) << 56) + (group << 24) + own, offset=rows["offset"].to_numpy() + base[codes], done=done[own])
+    new = {
+        "item": (np.int64(level) << 56) + (rows.column("grp").to_numpy() << 24) + own,
+        "offset": rows.column("offset").to_numpy() + base[codes], "done": done[own],
+    }
+    names = [*rows.column_names, "done"]
+    return pa.table([pa.array(new[c]) if c in new else rows.column(c) for c in names], names)
 
 
-def group_packer(*settings: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def group_packer(*settings: int) -> Callable[[pa.Table], pa.Table]:
     return lambda rows: pack_group(rows, *settings)
 
 
@@ -114,7 +119,7 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, group_rows
     while True:
         last = groups == 1
         run = group_packer(capacity, level, int(smallest or 0), last)
-        packed = left.repartition(groups, "grp").groupBy("grp").applyInPandas(run, left.withColumn("done", F.lit(True)).schema)
+        packed = left.repartition(groups, "grp").groupBy("grp").applyInArrow(run, left.withColumn("done", F.lit(True)).schema)
         stored = work.save(packed, f"level{level}")
         emitted = stored.where("done")
         finished = emitted if finished is None else finished.unionByName(emitted)

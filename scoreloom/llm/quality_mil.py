@@ -21,12 +21,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ..shared_store import ship_package
+from .passing import veiled
 from .registry import query, read
 
 PASSAGE_BYTES = 512
@@ -184,23 +185,23 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL
     return fit([bytes(t) for t in rows["text"]], label, weight[label.astype(int)])
 
 
-def scored(docs: DataFrame, model: Model, chunk_bytes: int = 2 << 20) -> DataFrame:
-    """The rows with a column ``score``; texts are encoded in chunks of bounded size."""
+def scored(docs: DataFrame, model: Model, out: str = "score", chunk_bytes: int = 2 << 20) -> DataFrame:
+    """The rows with a score; texts are encoded in chunks of bounded size."""
     ship_package(docs.sparkSession)
+    rows, names, back = veiled(docs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [bytes(t) for t in batch.pop("_bytes")]
-            ends = np.cumsum([len(t) for t in texts]) // chunk_bytes
+            texts = batch.column("content").to_pylist()
+            parts = np.cumsum([len(t) for t in texts]) // chunk_bytes
             score = np.zeros(len(texts))
-            for part in np.unique(ends):
-                own = np.flatnonzero(ends == part)
+            for part in np.unique(parts):
+                own = np.flatnonzero(parts == part)
                 score[own] = model.scores([texts[i] for i in own])
-            yield batch.assign(score=score)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names.values()], pa.array(score)], [*names.values(), out])
 
-    given = docs.withColumn("_bytes", F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    schema = StructType([*docs.schema.fields]).add("score", DoubleType())
-    return given.mapInPandas(run, schema)
+    given = rows.withColumn("content", F.coalesce(F.col(names["text"]), F.lit("")).cast("binary"))
+    return back(given.mapInArrow(run, StructType([*rows.schema.fields]).add(out, DoubleType())), out)
 
 
 @query("op1_quality")

@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 from ..shared_store import Workspace, ship_package
 from .lyndon_grouping import suffix_array
+from .passing import veiled
 from .registry import query, read
 
 LENGTH = 400
@@ -290,28 +292,30 @@ def removed_runs(spans: list) -> list[tuple[int, int]]:
 def without_repeats(docs: DataFrame, work: Workspace, text_col: str = "text", **settings: int) -> DataFrame:
     """The rows with ``_kept`` (the remaining bytes), ``_n_bytes``, ``_n_removed`` and ``_n_spans``."""
     ship_package(docs.sparkSession)
-    texts = keyed(docs, text_col)
+    rows, names, back = veiled(docs)
+    texts = keyed(rows, names[text_col])
     spans = repeated_spans(texts, work, **settings)
-    joined = texts.join(spans, ["t1", "t2"], "left").drop("t1", "t2", text_col)
-    passed = [f for f in docs.schema.fields if f.name != text_col]
-    schema = StructType([*passed]).add("_kept", BinaryType())
-    for name in ("_n_bytes", "_n_removed", "_n_spans"):
+    joined = texts.join(spans, ["t1", "t2"], "left").select(*names.values(), "_content", "spans")
+    new = ["_kept", "_n_bytes", "_n_removed", "_n_spans"]
+    schema = StructType([*rows.schema.fields]).add(new[0], BinaryType())
+    for name in new[1:]:
         schema = schema.add(name, LongType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content, found = batch.pop("_content"), batch.pop("spans")
             kept, sizes, gone, count = [], [], [], []
-            for text, held in zip(content, found, strict=True):
-                cut = removed_runs([(s["lo"], s["hi"]) for s in held]) if held is not None else []
+            for text, held in zip(batch.column("_content").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                cut = removed_runs([(s["lo"], s["hi"]) for s in held or ()])
                 ends = [0, *[x for lo_hi in cut for x in lo_hi], len(text)]
                 kept.append(b"".join([text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)]))
                 sizes.append(len(text))
                 gone.append(len(text) - len(kept[-1]))
                 count.append(len(cut))
-            yield batch.assign(_kept=kept, _n_bytes=sizes, _n_removed=gone, _n_spans=count)[schema.names]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in names.values()], pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (sizes, gone, count)]],
+                [*names.values(), *new])
 
-    return joined.select(*[f.name for f in passed], "_content", "spans").mapInPandas(run, schema)
+    return back(joined.mapInArrow(run, schema), *new)
 
 
 @query("op2_suffix_dedup")
