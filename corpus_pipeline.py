@@ -7,12 +7,13 @@ of which a stage leaves only white space are not passed on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.llm.line_dedup import without_repeated_lines
 from scoreloom.llm.near_dup import near_duplicates, text_key
 from scoreloom.llm.packing import packed_documents
+from scoreloom.llm.passing import veiled
 from scoreloom.llm.quality_mil import fit_on, scored
 from scoreloom.llm.registry import read
 from scoreloom.llm.sides import small_side
@@ -23,16 +24,14 @@ from scoreloom.shared_store import Workspace
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the classifier scores at 0.5 or more; it learns from labels that are not held out."""
     model = fit_on(docs, read(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return scored(docs, model).where("score >= 0.5").select(*docs.columns)
+    return scored(docs, model, out="_quality").where("_quality >= 0.5").select(*docs.columns)
 
 
-def with_text(docs: DataFrame, changed: DataFrame, text, lost) -> DataFrame:
+def with_text(docs: DataFrame, changed: DataFrame, text: Column, lost: Column) -> DataFrame:
     """The columns of ``docs`` with the new text; rows that lost all their words go."""
-    out = changed.withColumn("text", text)
-    out = out.where(~(lost & ~F.col("text").rlike(r"\S")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(lost, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    rows = changed.select("*", text.alias("_text"), lost.alias("_lost")).where(~(F.col("_lost") & ~F.col("_text").rlike(r"\S")))
+    new = {"text": F.col("_text"), "n_chars": F.when(F.col("_lost"), F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))}
+    return rows.select(*[new[c].alias(c) if c in new else c for c in docs.columns])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +45,10 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     work = Workspace(spark, "pipeline-minhash")
     going = work.save(near_duplicates(docs, work).where("not kept").select(
         F.col("doc_id").alias("gone_id"), F.col("t1").alias("gone_1"), F.col("t2").alias("gone_2")).distinct(), "going")
-    keyed = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(text_key("text"), ("t1", "t2"), strict=True)])
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("_t1") == F.col("gone_1")) & (F.col("_t2") == F.col("gone_2"))
-    return keyed.join(small_side(going), same, "left_anti").select(*docs.columns)
+    rows, names, back = veiled(docs)
+    keyed = rows.select("*", *text_key(names["text"]))
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("gone_id")) & (F.col("t1") == F.col("gone_1")) & (F.col("t2") == F.col("gone_2"))
+    return back(keyed.join(small_side(going), same, "left_anti"))
 
 
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
