@@ -7,9 +7,11 @@ flips one bit; the population count of the XOR of two sketches estimates their s
 whose estimate is below ``ESTIMATE`` (over five standard deviations below the bound) are left out, the others
 are confirmed on their full sets.
 
-Buckets are never expanded into all pairs. First every node meets the smallest node of its buckets that
-its sketch likes best; the confirmed links give components. Then only buckets in which more than one
-component is left are compared, across components alone, in blocks of bounded size.
+Buckets are never expanded into pairs of rows. First every node meets the smallest node of its
+buckets that its sketch likes best; the confirmed links give components. Then the buckets led by one
+component that also hold nodes of others are compared across components alone, in blocks of bounded
+size: sketches name the nodes that have a partner worth a look, and the full sets of these decide
+inside the block, which returns links between components only.
 
 Defined results: null texts, and texts without words, have an empty set and link with nothing; fewer
 than five words are one shingle; repeated rows share their component; a null id is its own component
@@ -39,8 +41,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_LONGS = 8
 BITS = 64 * SKETCH_LONGS
 ESTIMATE = 0.5
-BLOCK = 1024  # nodes compared with each other at a time
-TASK_ROWS = 20_000
+BLOCK_SHINGLES = 200_000  # of the nodes asked about in a block; four times as many of those they meet
+TASK_ROWS = 4_000
 CHUNK_BYTES = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
@@ -195,40 +197,81 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
 
 
-def across_components(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components in each block whose sketches are alike enough."""
-    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def block_parts(rows: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """The blocks of a task: rows, places of the nodes asked about, places of those they meet."""
+    for _, block in rows.groupby(["grp", "h", "l"], sort=False):
+        wide = block["wide"].to_numpy()
+        yield block, np.flatnonzero(~wide), np.flatnonzero(wide)
+
+
+def could_link(part: np.ndarray, size: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    return (part[others] != part[i]) & (100 * np.minimum(size[others], size[i]) >= PERCENT * np.maximum(size[others], size[i]))
+
+
+def alike_by_sketch(rows: pd.DataFrame) -> pd.DataFrame:
+    """Nodes that have a partner of another component whose sketch is alike enough."""
     limit = BITS * (1 - np.exp((ESTIMATE - 1) * 4 * SAMPLES / BITS)) / 2
-    for _, block in rows.groupby(["band", "h", "l"], sort=False):
+    out = [rows[["grp", "node"]].iloc[:0]]
+    for block, asked, all_ in block_parts(rows):
         sketch = np.stack(block["sketch"].to_numpy()).view(np.uint64)
-        node, part, size = (block[c].to_numpy() for c in ("node", "component", "n_shingles"))
-        wide = block["wide"].to_numpy()
-        asked, all_ = np.flatnonzero(~wide), np.flatnonzero(wide)
+        part, size = block["component"].to_numpy(), block["n_shingles"].to_numpy()
+        seen = np.zeros(len(block), bool)
         for i in asked.tolist():
-            differ = np.bitwise_count(sketch[all_] ^ sketch[i]).sum(1)
-            fits = (differ <= limit) & (part[all_] != part[i]) & (
-                100 * np.minimum(size[all_], size[i]) >= PERCENT * np.maximum(size[all_], size[i]))
-            other = node[all_[fits]]
-            found_a.append(np.maximum(other, node[i]))
-            found_b.append(np.minimum(other, node[i]))
-    return pd.DataFrame({"a": np.concatenate(found_a), "b": np.concatenate(found_b)}).drop_duplicates()
-
+            close = np.bitwise_count(sketch[all_] ^ sketch[i]).sum(1) <= limit
+            fits = all_[close & could_link(part, size, i, all_)]
+            seen[fits] = True
+            seen[i] |= len(fits) > 0
+        out.append(block[["grp", "node"]][seen])
+    return pd.concat(out).drop_duplicates()
+
+
+def linked_by_sets(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between components, confirmed on full sets; one for components that are joined already."""
+    a, b = [], []
+    for block, asked, all_ in block_parts(rows):
+        node, part, size = (block[c].to_numpy() for c in ("node", "component", "n_shingles"))
+        hashes, sizes = shingle_sets([bytes(t) for t in block["content"]])
+        ends = np.cumsum(sizes)
+        own = [hashes[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+        facing, owner = np.concatenate([own[i] for i in all_]), np.repeat(np.arange(len(all_)), sizes[all_])
+        group = {c: c for c in set(part.tolist())}
 
-def blocks(members: DataFrame) -> DataFrame:
-    """Buckets with several components, dealt into blocks.
+        def root(c: int, group: dict[int, int] = group) -> int:
+            while group[c] != c:
+                group[c] = c = group[group[c]]
+            return c
 
-    Nodes outside the component of the bucket's smallest node are asked about, ``BLOCK`` at a time,
-    against all nodes of the bucket, ``4 * BLOCK`` at a time.
+        for i in asked.tolist():
+            at = np.minimum(np.searchsorted(own[i], facing), len(own[i]) - 1)
+            shared = np.bincount(owner[own[i][at] == facing], minlength=len(all_))
+            close = 100 * shared >= PERCENT * (size[i] + size[all_] - shared)
+            for j in all_[close & could_link(part, size, i, all_)].tolist():
+                x, y = root(part[i]), root(part[j])
+                if x != y:
+                    group[x] = y
+                    a.append(max(node[i], node[j]))
+                    b.append(min(node[i], node[j]))
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)}).drop_duplicates()
+
+
+def blocks(nodes: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """Groups of nodes dealt into blocks of bounded size, and blocks into tasks.
+
+    ``grp`` names the component that leads a group's buckets. Nodes of other components are asked
+    about, some at a time, against all nodes of the group, some at a time.
     """
-    foreign = F.col("component") != F.col("of_leader")
-    size = members.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.sum(foreign.cast("long")).alias("o")).where("o > 0")
-    dealt = members.join(size, "band").withColumn("hs", F.ceil(F.col("o") / BLOCK)).withColumn("ls", F.ceil(F.col("m") / (4 * BLOCK)))
-    spread = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n))
+    foreign = F.col("component") != F.col("grp")
+    size = work.save(nodes.groupBy("grp").agg(
+        F.ceil(F.sum("n_shingles") / (4 * BLOCK_SHINGLES)).alias("ls"),
+        F.ceil(F.sum(F.when(foreign, F.col("n_shingles")).otherwise(0)) / BLOCK_SHINGLES).alias("hs")).where("hs > 0"), f"{name}_sizes")
+    dealt = nodes.join(size, "grp")
+    spread = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("long")
     up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
-    keep = ["band", "node", "component", "n_shingles", "sketch"]
-    wide = dealt.select(*keep, F.lit(True).alias("wide"), spread("ls", 2).cast("long").alias("l"), up_to("hs").alias("h"))
-    asked = dealt.where(foreign).select(*keep, F.lit(False).alias("wide"), spread("hs", 1).cast("long").alias("h"), up_to("ls").alias("l"))
-    return wide.unionByName(asked)
+    wide = dealt.select(*nodes.columns, F.lit(True).alias("wide"), spread("ls", 2).alias("l"), up_to("hs").alias("h"))
+    asked = dealt.where(foreign).select(*nodes.columns, F.lit(False).alias("wide"), up_to("ls").alias("l"), spread("hs", 1).alias("h"))
+    rows = work.save(wide.unionByName(asked), name)
+    tasks = max(1, -(-rows.count() // TASK_ROWS))
+    return rows.withColumn("task", F.pmod(F.xxhash64("grp", "h", "l"), F.lit(tasks)))
 
 
 def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,7 +283,8 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", te
             F.min("doc_id").alias("first_id"), F.min(F.struct("n_shingles", "t1", "t2", "bands", "sketch")).alias("x"))
         .select("s1", "s2", "first_id", "x.*").withColumn("node", F.monotonically_increasing_id()), "nodes")
     bands = nodes.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1").drop("n")
+    # written down, so that a join with it can split the rows of a very common band
+    shared = work.save(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1").drop("n"), "shared")
     members = work.save(bands.join(shared, "band"), "members")
     narrow = nodes.select("node", "n_shingles", "sketch")
     wanted = members.select("node").distinct().join(nodes.select("node", "t1", "t2"), "node")
@@ -260,13 +304,14 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", te
     joined = components(links, work, "contracted")
     part = members.join(joined.withColumnRenamed("component", "found"), "node", "left").select(
         "band", "node", "leader", F.coalesce("found", "node").alias("component"))
-    of_leader = part.where("node = leader").select("band", F.col("component").alias("of_leader"))
-    open_ = blocks(part.join(of_leader, "band").join(narrow, "node"))
-    dealt = work.save(open_, "blocks")
-    groups = max(1, -(-dealt.count() // TASK_ROWS))
-    pairs = dealt.withColumn("task", F.pmod(F.xxhash64("band", "h", "l"), F.lit(groups))).groupBy("task").applyInPandas(
-        across_components, "a long, b long").distinct()
-    more = work.save(confirmed(pairs.join(first, ["a", "b"], "left_anti"), texts), "more_links")
+    of_leader = work.save(part.where("node = leader").select("band", F.col("component").alias("grp")), "of_leader")
+    met = part.join(of_leader, "band").select("grp", "node", "component").distinct()
+    open_ = met.join(met.where("component <> grp").select("grp").distinct(), "grp", "left_semi").join(narrow, "node")
+    worthy = work.save(blocks(open_, work, "sketch_blocks").groupBy("task").applyInPandas(
+        alike_by_sketch, "grp long, node long").distinct(), "worthy")
+    compared = worthy.join(part.select("node", "component").distinct(), "node").join(narrow.drop("sketch"), "node").join(texts, "node")
+    more = work.save(blocks(compared, work, "set_blocks").groupBy("task").applyInPandas(
+        linked_by_sets, "a long, b long").distinct(), "more_links")
     final = components(links.unionByName(more), work, "components")
     named = nodes.select("node", "s1", "s2", "first_id").join(final, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))

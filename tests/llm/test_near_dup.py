@@ -8,7 +8,7 @@ from cases import corpus, documents, workspace
 
 from scoreloom.llm import near_dup
 from scoreloom.llm.components import components
-from scoreloom.llm.near_dup import across_components, near_duplicates, shingle_sets, signatures
+from scoreloom.llm.near_dup import alike_by_sketch, linked_by_sets, near_duplicates, shingle_sets, signatures
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -73,14 +73,31 @@ def test_sketches_estimate_high_similarity():
         assert abs(guess - share) < 0.2 and guess > near_dup.ESTIMATE
 
 
-def test_blocks_give_pairs_across_components_only():
-    hashes, sizes = shingle_sets([b"a b c d e f g h i j", b"a b c d e f g h i j", b"q r s t u v w x y z"])
+def test_blocks_look_across_components_only():
+    texts = [b"a b c d e f g h i j", b"a b c d e f g h i j", b"q r s t u v w x y z"]
+    hashes, sizes = shingle_sets(texts)
     _, sketch = signatures(hashes, sizes)
+    at = [0, 1, 2, 1, 2]
     block = pd.DataFrame({
-        "band": 1, "h": 0, "l": 0, "node": [5, 6, 7, 6, 7], "component": [5, 6, 7, 6, 7], "n_shingles": 6,
-        "sketch": [sketch[i] for i in (0, 1, 2, 1, 2)], "wide": [True, True, True, False, False]})
-    assert across_components(block)[["a", "b"]].to_numpy().tolist() == [[6, 5]]
-    assert not len(across_components(block.assign(component=5)))
+        "grp": 5, "h": 0, "l": 0, "node": [5, 6, 7, 6, 7], "component": [5, 6, 7, 6, 7], "n_shingles": 6,
+        "sketch": [sketch[i] for i in at], "content": [texts[i] for i in at], "wide": [True, True, True, False, False]})
+    assert set(alike_by_sketch(block)["node"]) == {5, 6}
+    assert linked_by_sets(block)[["a", "b"]].to_numpy().tolist() == [[6, 5]]
+    assert not len(alike_by_sketch(block.assign(component=5))) and not len(linked_by_sets(block.assign(component=5)))
+
+
+def test_a_family_of_copies_with_many_edits(spark, monkeypatch):
+    """Most copies are near the original, some near each other only; blocks are made small."""
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 800)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 4, 6, 9])):
+            w[rng.randrange(100)] = f"x{rng.randrange(40)}"
+        rows.append((i * 2, " ".join(w)))
+    check(spark, rows)
 
 
 def test_components_of_a_long_chain(spark):
