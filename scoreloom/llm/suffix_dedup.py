@@ -249,15 +249,16 @@ def repeated_spans(
 ) -> DataFrame:
     """Per text key the sorted byte spans to remove: t1, t2, spans (array of lo, hi)."""
     found = work.save(anchor_rows(texts, length, key), "anchors")
-    keys = found.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("mixed")).where("n > 1").drop("n")
+    # aggregates are written down before a join, so that the join can split the rows of a hot key
+    keys = work.save(found.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("mixed")).where("n > 1").drop("n"), "keys")
     several = work.save(found.join(keys, "key"), "several")
     contexts = work.save(several.where("mixed").groupBy("key", "context").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("t1", "t2", "place", "near", "far")).alias("at")
     ).select("key", "context", "copies", "at.*"), "contexts")
     total = contexts.count()
     shards = max(1, -(-total // shard_contexts))
-    of_key = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    of_key = work.save(contexts.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "of_key")
     hot = F.col("n") > shard_contexts
     dealt = contexts.join(of_key, "key").withColumn("hot", hot).withColumn(
         "shard", F.pmod(F.when(hot, F.xxhash64("key", "context")).otherwise(F.xxhash64("key")), F.lit(shards)).cast("int")).drop("n")
@@ -275,7 +276,7 @@ def repeated_spans(
         "t1", "t2", "place", F.explode("pairs").alias("p")).select("t1", "t2", "place", "p.a", "p.b")
     cover = one.unionByName(many).select(
         "t1", "t2", F.struct((F.col("place") - F.col("b")).alias("lo"), (F.col("place") - F.col("a") + length).alias("hi")).alias("span"))
-    return cover.distinct().groupBy("t1", "t2").agg(F.array_sort(F.collect_list("span")).alias("spans"))
+    return work.save(cover.distinct().groupBy("t1", "t2").agg(F.array_sort(F.collect_list("span")).alias("spans")), "spans")
 
 
 def removed_runs(spans: list) -> list[tuple[int, int]]:
