@@ -141,7 +141,8 @@ PLACE = ["late", "doc_id", "t1", "t2", "line"]
 def alike_to_earlier(distinct: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
     """Hashes (h1, h2) of the lines that are like an earlier, different line."""
     keys = distinct.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("k")).where("k <> 0")
-    shared = keys.groupBy("k").agg((F.min("h1") != F.max("h1")).alias("several")).where("several").drop("several")
+    # aggregates are written down before a join, so that the join can split the rows of a hot key
+    shared = work.save(keys.groupBy("k").agg((F.min("h1") != F.max("h1")).alias("several")).where("several").drop("several"), "shared")
     candidates = keys.join(shared, "k").select("h1", "h2").distinct()
     # sorted by place, so that ids are in the order of places
     chosen = work.save(distinct.join(candidates, ["h1", "h2"]).select("h1", "h2", *PLACE).orderBy(*PLACE).withColumn(
@@ -173,8 +174,8 @@ def alike_to_earlier(distinct: DataFrame, texts: DataFrame, work: Workspace) ->
     of_whole = F.when(F.col("place") == WHOLE, F.col("alone"))
     of_cut = F.when(F.col("place") != WHOLE, F.col("alone"))
     by_key = by_place.groupBy("v").agg(F.min(of_whole).alias("whole"), F.min(of_cut).alias("cut"), F.sum("n").alias("n")).where("n > 1").drop("n")
-    earliest = by_place.drop("n").join(by_key, "v").select("v", "place", F.when(
-        F.col("place") == WHOLE, F.col("cut")).otherwise(F.least("alone", "whole")).alias("earlier"))
+    earliest = work.save(by_place.drop("n").join(by_key, "v").select("v", "place", F.when(
+        F.col("place") == WHOLE, F.col("cut")).otherwise(F.least("alone", "whole")).alias("earlier")), "earliest")
     links = emitted.join(earliest, ["v", "place"]).where("earlier < node").select("node", "earlier").distinct()
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
