@@ -35,7 +35,8 @@ BUCKETS = 512  # of each kind of trigram
 DENSE = 3
 GAP = 8
 HIDDEN, ATTENTION = 24, 12
-SAMPLE_PER_LABEL = 1200
+SAMPLE_PER_LABEL = 800
+FIT_TEXTS = 50  # texts encoded at a time when fitting
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 0.01, 1e-4
 
 
@@ -144,7 +145,10 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
     if len(set(labels.tolist())) < 2:
         return Model({}, float(labels[0]) if len(labels) else 0.5)
     model, rng = Model.start(), np.random.default_rng(11)
-    x, owner = passages(texts)
+    parts = [passages(texts[at : at + FIT_TEXTS]) for at in range(0, len(texts), FIT_TEXTS)]
+    owner = np.concatenate([own + k * FIT_TEXTS for k, (_, own) in enumerate(parts)])
+    x = np.concatenate([p for p, _ in parts])
+    del parts
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     slow = {k: np.zeros_like(v) for k, v in model.weights.items()}
     square = {k: np.zeros_like(v) for k, v in model.weights.items()}
@@ -182,7 +186,9 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL
     label = rows["quality"].to_numpy(np.float32)
     seen = np.bincount(label.astype(int), minlength=2)
     weight = np.array([counts.get(q, 0) / max(1, seen[q]) for q in (0, 1)], np.float32)
-    return fit([bytes(t) for t in rows["text"]], label, weight[label.astype(int)])
+    texts = [bytes(t) for t in rows["text"]]
+    del rows
+    return fit(texts, label, weight[label.astype(int)])
 
 
 def scored(docs: DataFrame, model: Model, out: str = "score", chunk_bytes: int = 2 << 20) -> DataFrame:
