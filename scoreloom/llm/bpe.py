@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..shared_store import ship_package
+from .passing import tidy
 from .registry import query, read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -138,14 +139,15 @@ def inside_pairs(vocab: Iterable[str], symbols: list[str]) -> set[bytes]:
     return inside
 
 
-_encoders: dict[str, FragmentEncoder] = {}
+_encoders: dict[tuple[str, int], FragmentEncoder] = {}
 
 
-def encoder(path: str) -> FragmentEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> FragmentEncoder:
     """The worker's encoder, loaded once."""
-    if path not in _encoders:
-        _encoders[path] = FragmentEncoder(path)
-    return _encoders[path]
+    if (path, remembered) not in _encoders:
+        tidy()
+        _encoders[path, remembered] = FragmentEncoder(path, remembered)
+    return _encoders[path, remembered]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

@@ -31,7 +31,7 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 from ..shared_store import Workspace, ship_package
 from .near_dup import chunks, mixed, text_key, word_hashes
-from .passing import veiled
+from .passing import tidy, veiled
 from .registry import query, read
 from .sides import small_side
 
@@ -130,6 +130,7 @@ def lines_of(texts: DataFrame, least_words: int) -> DataFrame:
                     **{f"k{i}": np.ascontiguousarray(halves[:, i]) for i in range(4)},
                 }
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], list(columns))
+        tidy()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(run, f"doc_id {kind}, t1 long, t2 long, line int, h1 long, h2 long, k0 long, k1 long, k2 long, k3 long")

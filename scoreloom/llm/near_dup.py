@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..shared_store import Workspace, ship_package
 from .components import components
+from .passing import tidy
 from .registry import query, read
 
 WORDS = 5
@@ -158,6 +159,7 @@ def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*[rows.column(c) for c in ("doc_id", "t1", "t2")], *map(pa.array, (sizes, s1, s2)), pa.array(bands, longs), pa.array(sketches, longs)],
                     ["doc_id", "t1", "t2", "n_shingles", "s1", "s2", "bands", "sketch"])
+        tidy()
 
     kind = docs.schema[id_col].dataType.simpleString()
     content = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("content")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared_store import Workspace, ship_package
-from .bpe import VOCABULARY, encoder, vocabulary_path
+from .bpe import REMEMBERED, VOCABULARY, encoder, vocabulary_path
 from .registry import query, read
 
 CAPACITY = 4096
@@ -34,15 +34,21 @@ FAN_IN = 8
 NEARLY = 256  # a sequence that lacks at most 1/NEARLY of the capacity is emitted
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: id, piece, start, length, checksum of its ids, and the ids' row number."""
+def pieces(
+    docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text",
+    remembered: int = REMEMBERED,
+) -> DataFrame:
+    """One row per piece: id, piece, start, length, checksum of its ids, and the row's number.
+
+    ``remembered`` bounds what a worker keeps of encoded text; it changes memory and speed only.
+    """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     end, width = END_TOKEN.to_bytes(4, "little"), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary_path(vocabulary))
+        encode = encoder(vocabulary_path(vocabulary), remembered)
         for batch in batches:
             who, piece, length, crc = [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -139,8 +145,8 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, group_rows
     return finished.withColumnRenamed("item", "sequence_id").drop("grp", "done")
 
 
-def packed_documents(docs: DataFrame, work: Workspace, capacity: int = CAPACITY) -> DataFrame:
-    return pack(work.save(pieces(docs, capacity), "pieces"), work, capacity)
+def packed_documents(docs: DataFrame, work: Workspace, capacity: int = CAPACITY, remembered: int = REMEMBERED) -> DataFrame:
+    return pack(work.save(pieces(docs, capacity, remembered=remembered), "pieces"), work, capacity)
 
 
 @query("op9_packing")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,3 +24,11 @@ def veiled(rows: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[..., Da
         return result.select(*[F.col(p).alias(c) for c, p in names.items() if c not in new], *new)
 
     return rows.toDF(*names.values()), names, back
+
+
+def tidy() -> None:
+    """Give memory that a worker has freed back to the machine; workers serve one stage after the other."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

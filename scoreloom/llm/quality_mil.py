@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ..shared_store import ship_package
-from .passing import veiled
+from .passing import tidy, veiled
 from .registry import query, read
 
 PASSAGE_BYTES = 512
@@ -205,6 +205,7 @@ def scored(docs: DataFrame, model: Model, out: str = "score", chunk_bytes: int =
                 own = np.flatnonzero(parts == part)
                 score[own] = model.scores([texts[i] for i in own])
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names.values()], pa.array(score)], [*names.values(), out])
+        tidy()
 
     given = rows.withColumn("content", F.coalesce(F.col(names["text"]), F.lit("")).cast("binary"))
     return back(given.mapInArrow(run, StructType([*rows.schema.fields]).add(out, DoubleType())), out)

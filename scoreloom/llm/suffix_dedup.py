@@ -35,7 +35,7 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 from ..shared_store import Workspace, ship_package
 from .lyndon_grouping import suffix_array
-from .passing import veiled
+from .passing import tidy, veiled
 from .registry import query, read
 
 LENGTH = 400
@@ -105,6 +105,7 @@ def anchor_rows(texts: DataFrame, length: int, key: int) -> DataFrame:
                     "near": np.concatenate(nears).astype(np.int32), "far": np.concatenate(fars).astype(np.int32),
                     "key": np.array(keys, np.uint64).view(np.int64), "context": np.array(contexts, np.uint64).view(np.int64),
                 })
+        tidy()
 
     return texts.select("t1", "t2", "_content").mapInPandas(
         run, "t1 long, t2 long, place int, near int, far int, key long, context long")
@@ -227,6 +228,7 @@ def shard_worker(length: int, piece: int) -> Callable[[pd.DataFrame], pd.DataFra
             rows, at, back, repeated, classes = repeated_starts(rows, length, piece)
         finally:
             gc.enable()
+            tidy()
         repeated |= rows["copies"].to_numpy()[at] > 1
         bounds = np.searchsorted(at, np.arange(len(rows) + 1))
         spans = [runs(back[a:b][repeated[a:b]]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -315,6 +317,7 @@ def without_repeats(docs: DataFrame, work: Workspace, text_col: str = "text", **
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names.values()], pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (sizes, gone, count)]],
                 [*names.values(), *new])
+        tidy()
 
     return back(joined.mapInArrow(run, schema), *new)
 
