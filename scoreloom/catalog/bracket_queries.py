@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import materialise
 from ..operators.ranking import top_k_per_key
-from ..operators.reshape import goal_legs
+from ..operators.reshape import goal_legs, match_sides
 from ..plans import bracket as B
 from ..plans import profiles as P
 from ..plans.extracts import bracket_nested, finished
@@ -166,3 +166,13 @@ def q_win_table(spark, sf):
   where a.n = 1 and b.n = 2""")
 def q_runner_up(spark, sf):
     return P.runner_up_ratio(advance(seeds(spark, sf)), BY)
+
+
+@query("bracket_from_results", FACTS + """ select competition, 1::double as total from facts where stage = 'FINAL' group by competition""")
+def q_bracket_from_results(spark, sf):
+    """Title chances of all teams in the trees that the real knockout results give; they add up to one."""
+    rows = facts(spark, sf)
+    nodes = materialise(B.bracket_nodes(rows, BY))
+    members = match_sides(rows, home={"team_id": "home_team_id"}, away={"team_id": "away_team_id"}, keep=BY).distinct()
+    chances = B.advancement(nodes, fixed_ratings(members, *BY), BY)
+    return chances.groupBy(*BY).agg(F.round(F.sum("title_prob"), 9).alias("total"))

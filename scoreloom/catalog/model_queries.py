@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.ranking import chronological, ranked
+from ..operators.ranking import chronological, top_k
 from ..operators.reshape import match_sides
 from ..plans import profiles as P
 from ..plans import ratings as R
@@ -139,13 +140,11 @@ def q_upsets(spark, sf):
     select match_id, case when winner = 'HOME_TEAM' then away_team_name else home_team_name end as loser_name,
       round(case when winner = 'HOME_TEAM' then p_home else p_away end, 3) as win_prob
     from odds where winner in ('HOME_TEAM', 'AWAY_TEAM')),
-  few as (select * from likely order by win_prob, match_id limit 200)
-  select match_id, loser_name, win_prob from few
+  worst as (select * from likely)
+  select match_id, loser_name, win_prob from worst
   order by case when loser_name = 'NATION_24' then 0 else 1 end, win_prob, match_id limit 1""")
 def q_marquee(spark, sf):
-    return P.marquee_upset(P.upsets(odds(spark, sf), k=200), "nation_24").select(
-        "match_id", "loser_name", "win_prob"
-    )
+    return P.marquee_upset(odds(spark, sf), "nation_24").select("match_id", "loser_name", "win_prob")
 
 
 PATHS = MODEL_LEGS + """, paths as (
@@ -285,6 +284,24 @@ def q_fit_metadata(spark, sf):
     return R.fit_metadata(R.fit_ratings(model_input(spark, sf), BY), BY)
 
 
+@query("fit_balance", FACTS + """, sides as (
+    select competition, home_team_id as team_id, regulation_home_goals as f, regulation_away_goals as a from facts where status = 'FINISHED'
+    union all select competition, away_team_id, regulation_away_goals, regulation_home_goals from facts where status = 'FINISHED')
+  select competition, team_id, sum(f)::double as scored, sum(a)::double as conceded from sides group by all""")
+def q_fit_balance(spark, sf):
+    """At the optimum the fit's goals, with the ridge's share, equal those of the matches."""
+    return R.fit_balance(model_input(spark, sf), BY)
+
+
+@query("fit_counts", FACTS + """, ids as (
+    select competition, home_team_id as id, match_id from facts where status = 'FINISHED'
+    union all select competition, away_team_id, match_id from facts where status = 'FINISHED')
+  select competition, count(distinct id) as n_teams, count(distinct match_id) as n_matches, 0.05::double as ridge from ids group by all""")
+def q_fit_counts(spark, sf):
+    """The columns of the fit's metadata that a count can check."""
+    return R.fit_metadata(R.fit_ratings(model_input(spark, sf), BY), BY).select(*BY, "n_teams", "n_matches", F.col("ridge").cast("double"))
+
+
 @query("model_input_pairs", FACTS + """ select competition, home_team_id as home, away_team_id as away, count(*) as n,
     cast(sum(regulation_home_goals) as bigint) as home_goals, cast(sum(regulation_away_goals) as bigint) as away_goals
   from facts where status = 'FINISHED' group by all""")
@@ -311,5 +328,6 @@ def q_podium(spark, sf):
     named = table(spark, sf, "customer").join(
         table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    leaders = ranked(named, order).select("rank", F.col("c_name").alias("player_name"), F.col("n_name").alias("team_name"))
+    three = top_k(named, order, 3).withColumn("rank", F.row_number().over(W.orderBy(*order)))  # three rows
+    leaders = three.select("rank", F.col("c_name").alias("player_name"), F.col("n_name").alias("team_name"))
     return champion_on_podium(leaders, leaders.where("rank = 2").select("team_name"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,17 +42,3 @@ TABLES = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_plan(build: Query) -> Query:
-    """Build a plan once per application and directory; only the plan is kept, no data."""
-
-    @cache
-    def once(app: str, sf_dir: str) -> DataFrame:
-        return build(SparkSession.active(), sf_dir)
-
-    @wraps(build)
-    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return once(spark.sparkContext.applicationId, sf_dir)
-
-    return get

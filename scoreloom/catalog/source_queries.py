@@ -15,7 +15,7 @@ from ..plans.staging import stage_scorers
 from ..sources.archive import archive_days
 from ..sources.payloads import match_rows, payload_row_count, standing_rows
 from .contests import raw_matches
-from .registry import query, shared_plan, table
+from .registry import query, table
 
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -51,7 +51,6 @@ def q_top_per_key(spark, sf):
 # --- scorers: users of the event stream, one snapshot per active day ----------------------------
 
 
-@shared_plan
 def raw_scorers(spark, sf):
     """Nested scorer snapshots. Assists and penalties are unknown on days without any."""
     kind = F.col("event_type")
@@ -260,14 +259,14 @@ def q_shot_rows(spark, sf):
         "event_id", F.col("player").cast("long").alias("part"), "xg", "goal", "own")
 
 
-@query("drifting_union", """select event_id, user_id, value, null as props from events where event_type = 'view'
-  union all by name select event_id, user_id, cast(null as double) as value, props from events where event_type = 'click'""")
+@query("drifting_union", """select event_id, user_id, case when event_id % 2 = 0 then value end as value,
+    case when event_id % 2 <> 0 then props end as props from events""")
 def q_drifting_union(spark, sf):
-    """Two layouts united by name; a column absent on one side is NULL."""
+    """Two layouts, that of even and that of odd events, united by name; what one lacks is NULL."""
     rows = table(spark, sf, "events")
     return union_by_name(
-        rows.where("event_type = 'view'").select("event_id", "user_id", "value"),
-        rows.where("event_type = 'click'").select("props", "event_id", "user_id"),
+        rows.where("event_id % 2 = 0").select("event_id", "user_id", "value"),
+        rows.where("event_id % 2 <> 0").select("props", "event_id", "user_id"),
     )
 
 

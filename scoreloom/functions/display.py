@@ -13,12 +13,12 @@ def iso_utc(ts: Column) -> Column:
 
 
 def stamp(ts: Column) -> Column:
-    """``2026-07-12 13:22 UTC``; a dash when unknown."""
+    """Date and minute with the zone, or a long dash."""
     return F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm' UTC'"), F.lit("—"))
 
 
 def kickoff(ts: Column) -> Column:
-    """``12 JUIL · 21:00``; a dash when unknown."""
+    """Day, short French month and time of day, or a long dash."""
     months = F.array(*[F.lit(m) for m in V.MONTHS_FR])
     text = F.concat(
         F.dayofmonth(ts).cast("string"), F.lit(" "), F.get(months, F.month(ts) - 1),
@@ -33,7 +33,7 @@ def score_or_dash(home: Column, away: Column) -> Column:
 
 
 def shootout_text(home: Column, away: Column) -> Column:
-    """``4–2 t.a.b.``, NULL when there was no shootout."""
+    """Kicks of both sides with the mark of a shootout; NULL without one."""
     return F.concat(
         home.cast("string"), F.lit(V.EN_DASH), away.cast("string"), F.lit(f" {V.SHOOTOUT_MARK}")
     )

@@ -108,13 +108,21 @@ def require_matched(left: DataFrame, right: DataFrame, key: str, label: str) ->
         )
 
 
-def merge_one_to_one(tables: Sequence[DataFrame], key: str) -> DataFrame:
-    """Inner merge of tables that must each hold a key at most once."""
+def merge_one_to_one(tables: Sequence[DataFrame], key: str, missing: str = "raise") -> DataFrame:
+    """Merge tables that must each hold a key at most once.
+
+    A key that is missing in some table raises, or with ``missing="keep"`` stays with NULLs.
+    """
     for i, table in enumerate(tables):
         twice = table.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
         if twice:
             raise AlignmentError(f"table {i}: {key}={twice[0][0]!r} occurs more than once")
-    return reduce(lambda a, b: a.join(b, key), tables)
+    if missing == "raise":
+        seen = reduce(lambda a, b: a.unionByName(b), [t.select(key, F.lit(i).alias("_table")) for i, t in enumerate(tables)])
+        lone = seen.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < len(tables)).orderBy(key).take(SHOWN)
+        if lone:
+            raise AlignmentError(f"{key} not in every table: {', '.join(repr(r[0]) for r in lone)}")
+    return reduce(lambda a, b: a.join(b, key, "full_outer"), tables)
 
 
 def paired_by_order(

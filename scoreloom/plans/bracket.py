@@ -55,81 +55,64 @@ def bracket_nodes(knockout: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def bracket_edges(nodes: DataFrame, by: Sequence[str]) -> DataFrame:
+def bracket_edges(nodes: DataFrame, by: Sequence[str], *keep: str) -> DataFrame:
     """The tree as (parent, slot, child) rows."""
     slots = F.array(
         F.struct(F.lit(0).alias("slot"), F.col("home_feeder").alias("child_match_id")),
         F.struct(F.lit(1).alias("slot"), F.col("away_feeder").alias("child_match_id")),
     )
     return (
-        nodes.select(*by, F.col("match_id").alias("parent_match_id"), "round_idx", F.inline(slots))
+        nodes.select(*by, *keep, F.col("match_id").alias("parent_match_id"), "round_idx", F.inline(slots))
         .where(F.col("child_match_id").isNotNull())
     )
 
 
 def title_tree(nodes: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Matches below the final, with the match and slot each one feeds (NULL for the final).
+    """Matches below the final, each at its ``place``: 1 is the final, 2p and 2p + 1 feed place p.
 
-    The walk reads the nodes once per round and its result is read once per round again, so
-    both are cut off from the match facts behind them.
+    A match that feeds two others stands in the tree twice, at two places, so nothing multiplies.
     """
     by = list(by)
-    nodes = materialise(nodes)
     last = len(V.TITLE_PATH) - 1
     finals = nodes.where(F.col("round_idx") == last)
     level = top_k_per_key(finals, by, [F.col("match_id").asc()], 1, "_n").drop("_n") if by else (
         finals.orderBy("match_id").limit(1)
     )
-    level = level.withColumns({"parent": F.lit(None).cast("long"), "slot": F.lit(None).cast("int")})
+    level = level.withColumn("place", F.lit(1))
     tree = level
     for _ in range(last):
-        links = bracket_edges(level, by).select(
-            *by, F.col("parent_match_id").alias("parent"), "slot",
-            F.col("child_match_id").alias("match_id"),
-        )
+        links = bracket_edges(level.withColumnRenamed("place", "_place"), by, "_place").select(
+            *by, F.col("child_match_id").alias("match_id"), (F.col("_place") * 2 + F.col("slot")).alias("place"))
         level = nodes.join(links, [*by, "match_id"]).select(*level.columns)
         tree = tree.unionByName(level)
     return materialise(tree)
 
 
-def _entrants(tree: DataFrame, ratings: DataFrame, by: list[str]) -> DataFrame:
-    """Teams of the leaves, each certain to be in its slot, with their ratings."""
-    places = F.array(
-        F.struct(F.lit(0).alias("slot"), F.col("home_team_id").alias("team_id")),
-        F.struct(F.lit(1).alias("slot"), F.col("away_team_id").alias("team_id")),
-    )
-    leaves = tree.where(F.col("home_feeder").isNull()).select(
-        *by, "match_id", "round_idx", F.inline(places)
-    )
-    params = ratings.select(*by, "team_id", "attack", "defense")
-    return leaves.join(params, [*by, "team_id"], "left")
-
-
 def _entrants(tree: DataFrame, ratings: DataFrame, by: list[str]) -> DataFrame:
     """Teams of the leaves, each certain to be in its slot, with their ratings."""
     places = "inline(array(struct(0 as slot, home_team_id as team_id), struct(1 as slot, away_team_id as team_id)))"
-    leaves = tree.where("home_feeder is null").selectExpr(*by, "match_id", "round_idx", places)
+    leaves = tree.where("home_feeder is null").selectExpr(*by, "place", "round_idx", places)
     params = ratings.select(*by, "team_id", "attack", "defense")
     return leaves.join(params, [*by, "team_id"], "left")
 
 
 def _meetings(here: DataFrame, by: list[str]) -> DataFrame:
-    """Every pair (a, b) that can meet in a match, and ``beats``: P(a beats b).
+    """Every pair (a, b) that can meet at a place, and ``beats``: P(a beats b).
 
     The venue is neutral and a draw counts half for either; a pair with an unrated team is even.
     """
-    sides = here.groupBy(*by, "match_id").agg(
+    sides = here.groupBy(*by, "place").agg(
         F.expr("collect_list(who) filter (where slot = 0)").alias("first"),
         F.expr("collect_list(who) filter (where slot = 1)").alias("second"),
     )
-    pairs = sides.selectExpr(*by, "match_id", "explode(first) as a", "second").selectExpr(
-        *by, "match_id", "a", "explode(second) as b"
+    pairs = sides.selectExpr(*by, "place", "explode(first) as a", "second").selectExpr(
+        *by, "place", "a", "explode(second) as b"
     )
     rates = pairs.selectExpr(
         "*", "exp(a.attack - b.defense) as _mine", "exp(b.attack - a.defense) as _theirs"
     )
     return rates.select("*", outcome_probs("_mine", "_theirs").alias("_p")).selectExpr(
-        *by, "match_id", "a", "b",
+        *by, "place", "a", "b",
         f"coalesce(_p.p_home + _p.p_draw / 2, {V.UNKNOWN_PAIR_PROBABILITY}D) as beats",
     )
 
@@ -137,40 +120,37 @@ def _meetings(here: DataFrame, by: list[str]) -> DataFrame:
 def advancement(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> DataFrame:
     """Probability of every bracket team to reach each round; ``reach[5]`` is the title.
 
-    Round by round each team keeps one row with its chance to be there, times the chance to
-    beat whoever comes out of the other slot. The result is exact; nothing is sampled. The
-    rows are at most 32 per competition, and cutting them off after each round keeps the five
-    plans small. Competitions without a final give no rows.
+    Round by round a team keeps one row per place with its chance to come out of it: over all
+    it can meet there, the chance of the meeting times the chance to win it. A team that stands at
+    several places of a round reaches it if it comes out of any of them. The result is exact;
+    nothing is sampled. Competitions without a final give no rows.
     """
     by = list(by)
-    nodes = materialise(nodes)
     tree = title_tree(nodes, by)
-    leaves = materialise(_entrants(tree, ratings, by).selectExpr(
-        *by, "match_id", "slot", "round_idx",
+    leaves = _entrants(tree, ratings, by).selectExpr(
+        *by, "place", "slot", "round_idx",
         "struct(team_id, attack, defense, 1D as p, cast(array() as array<double>) as reach) as who",
-    ))
+    )
     last = len(V.TITLE_PATH)
-    links = tree.selectExpr(*by, "match_id", "parent", "slot")
     # a team that enters late is as sure of the earlier rounds as of its first match
-    reached = "if(size(who.reach) = 0, array_repeat(p, {n}), array_append(who.reach, p))"
+    reached = "if(size(reach) = 0, array_repeat(p, {n}), array_append(reach, p))"
+    either = "zip_with(reach0, reach1, (x, y) -> 1 - (1 - coalesce(x, 0D)) * (1 - coalesce(y, 0D)))"
     state = None
     for r in range(last):
-        here = leaves.where(f"round_idx = {r}").select(*by, "match_id", "slot", "who")
+        here = leaves.where(f"round_idx = {r}").select(*by, "place", "slot", "who")
         if state is not None:
-            moved = state.join(links, [*by, "match_id"]).selectExpr(*by, "parent as match_id", "slot", "who")
-            here = here.unionByName(moved)
-        won = (
-            _meetings(here, by)
-            .selectExpr(*by, "match_id", "inline(array(struct(a as who, b.p * beats as beat), struct(b as who, a.p * (1 - beats) as beat)))")
-            .groupBy(*by, "match_id", "who.team_id")
-            .agg(F.expr("first(who) as who"), F.expr("first(who.p) * sum(beat) as p"))
-        )
-        state = materialise(won.selectExpr(
-            *by, "match_id",
-            "struct(who.team_id, who.attack, who.defense, p, "
-            f"{reached.format(n=r + 1)} as reach) as who",
-        ))
-    has_final = tree.where("parent is null").select(*by).distinct()
+            here = here.unionByName(state.selectExpr(*by, "place div 2 as place", "cast(place % 2 as int) as slot", "who")
+                                    .withColumn("place", F.col("place").cast("int")))
+        won = _meetings(here, by).selectExpr(*by, "place", """inline(array(
+            struct(0 as slot, a as who, a.p * b.p * beats as part), struct(1 as slot, b as who, a.p * b.p * (1 - beats) as part)))""")
+        state = won.groupBy(*by, "place", "who.team_id").agg(
+            F.sum("part").alias("p"), F.max("who.attack").alias("attack"), F.max("who.defense").alias("defense"),
+            F.expr("max(if(slot = 0, who.reach, null)) as reach0"), F.expr("max(if(slot = 1, who.reach, null)) as reach1"),
+        ).selectExpr(
+            *by, "place", "team_id", "p", "attack", "defense",
+            f"case when reach0 is null then reach1 when reach1 is null then reach0 else {either} end as reach",
+        ).selectExpr(*by, "place", f"struct(team_id, attack, defense, p, {reached.format(n=r + 1)} as reach) as who")
+    has_final = tree.where("place = 1").select(*by).distinct()
     listed = nodes.selectExpr(*by, "explode(array(home_team_id, away_team_id)) as team_id")
     listed = listed.where("team_id is not null").distinct()
     listed = listed.join(has_final, by, "left_semi") if by else listed.crossJoin(has_final.limit(1))
@@ -183,25 +163,17 @@ def advancement(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> Data
 def win_table(nodes: DataFrame, ratings: DataFrame, by: Sequence[str]) -> DataFrame:
     """P(team beats opponent) at a neutral venue for all pairs that can meet in the bracket.
 
-    In a complete bracket any two entrants can meet in exactly one match. The places below a
-    match are at most 2^(round+1), so a team meets at most 31 others.
+    The places below a match are at most 2^(round+1), so a team meets a bounded number of others.
     """
     by = list(by)
     tree = title_tree(nodes, by)
-    here = materialise(_entrants(tree, ratings, by).selectExpr(
-        *by, "match_id", "slot", "struct(team_id, attack, defense) as who"
-    ))
-    links = tree.where("parent is not null").selectExpr(*by, "match_id", "parent", "slot")
-    places = here
-    for _ in range(len(V.TITLE_PATH) - 1):
-        here = here.drop("slot").join(links, [*by, "match_id"]).selectExpr(
-            *by, "parent as match_id", "slot", "who"
-        )
-        places = places.unionByName(here)
-    return _meetings(places, by).selectExpr(
+    here = _entrants(tree, ratings, by).selectExpr(*by, "place", "slot", "struct(team_id, attack, defense) as who")
+    up = f"inline(transform(sequence(0, {len(V.TITLE_PATH) - 1}), k -> struct(shiftright(place, k) as at, if(k = 0, slot, cast(shiftright(place, k - 1) % 2 as int)) as of)))"
+    places = here.selectExpr(*by, up, "who").where("at >= 1").selectExpr(*by, "at as place", "of as slot", "who").distinct()
+    return _meetings(places, by).where("a.team_id <> b.team_id").selectExpr(
         *by, "inline(array(struct(a.team_id as team_id, b.team_id as opponent_id, beats as win_prob), "
         "struct(b.team_id as team_id, a.team_id as opponent_id, 1 - beats as win_prob)))"
-    )
+    ).distinct()
 
 
 def title_odds(advance: DataFrame, teams: DataFrame, by: Sequence[str], k: int = 12) -> DataFrame:

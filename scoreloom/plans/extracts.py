@@ -322,8 +322,8 @@ def shares(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def decided_teams(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Decisive finished matches from the winner's point of view."""
+def decided_teams(facts: DataFrame, by: Sequence[str] = (), *keep: str) -> DataFrame:
+    """Decisive finished matches from the winner's point of view; ``keep`` columns pass through."""
     home_first = ("home_team_id", "home_team_name", "away_team_id", "away_team_name")
     away_first = ("away_team_id", "away_team_name", "home_team_id", "home_team_name")
     out = ("winner_id", "winner_name", "loser_id", "loser_name")
@@ -340,7 +340,7 @@ def decided_teams(facts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         for o, x, y in (("winner_kicks", "home", "away"), ("loser_kicks", "away", "home"))
     ]
     decisive = facts.where(finished() & F.col("winner").isin("HOME_TEAM", "AWAY_TEAM"))
-    rows = decisive.select(*by, "match_id", "stage", "duration", "winner", *sides, *goals, *kicks)
+    rows = decisive.select(*by, *keep, "match_id", "stage", "duration", "winner", *sides, *goals, *kicks)
     return rows.withColumn(
         "score", score_label("winner_goals", "loser_goals", "duration", "winner_kicks", "loser_kicks")
     )

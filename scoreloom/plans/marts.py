@@ -94,9 +94,11 @@ def mart_top_scorers(staged_scorers: DataFrame, by: Sequence[str] = ()) -> DataF
     return _cast_as(ranked(current, scorer_order(), "rank", by), "mart_top_scorers", by)
 
 
-def mart_edition_comparison(history: DataFrame, facts: DataFrame, edition: Edition) -> DataFrame:
+def mart_edition_comparison(history: DataFrame, facts: DataFrame, edition: Edition, year: Column | None = None) -> DataFrame:
     """Past editions from the seed beside the running one, ranked by goals per match.
 
+    ``year``, an aggregate over the facts, replaces the year of the edition's parameters.
+
     The ranking window has no key: its input is one row per edition of a tournament.
     """
     goals = F.sum(F.col("regulation_home_goals") + F.col("regulation_away_goals"))
@@ -107,8 +109,9 @@ def mart_edition_comparison(history: DataFrame, facts: DataFrame, edition: Editi
     running = facts.where(F.col("status") == V.FINISHED).agg(
         champion.alias("winner"), n.alias("matches"), goals.alias("goals"),
         F.round(goals.cast("double") / F.nullif(n, F.lit(0)), 2).alias("goals_per_match"),
+        (F.lit(edition.year) if year is None else year).alias("year"),
     ).select(
-        F.lit(edition.year).alias("year"), F.lit(edition.host).alias("host"), "winner",
+        "year", F.lit(edition.host).alias("host"), "winner",
         F.lit(edition.expected_teams).alias("teams"), "matches", "goals", "goals_per_match",
         F.lit(True).alias("is_current"),
     )

@@ -23,28 +23,28 @@ def match_odds(facts: DataFrame, ratings: DataFrame, by: Sequence[str]) -> DataF
     return with_rates(finished_with_score(facts), ratings, by, is_neutral())
 
 
+def upset_chances(odds: DataFrame) -> DataFrame:
+    """Decided matches with the chance their winner had."""
+    chance = decided_by_side("winner", F.col("p_home"), F.col("p_away"))
+    return odds.where(F.col("winner").isin("HOME_TEAM", "AWAY_TEAM")).withColumn("_p", F.round(chance, 3))
+
+
 def upsets(odds: DataFrame, by: Sequence[str] = (), k: int = 8) -> DataFrame:
     """Decided matches the winner was least likely to win.
 
     The cut is made on one number per match; names and scores are formed for the few rows left.
     """
-    chance = decided_by_side("winner", F.col("p_home"), F.col("p_away"))
-    likely = odds.where(F.col("winner").isin("HOME_TEAM", "AWAY_TEAM")).withColumn("_p", chance)
-    order = [F.round("_p", 3).asc_nulls_last(), F.col("match_id").asc()]
-    few = top_k(likely, order, k)
-    return decided_teams(few, by).join(few.select(*by, "match_id", "_p"), [*by, "match_id"]).select(
-        *by, "match_id", "stage", "winner_name", "loser_name", "score",
-        F.round("_p", 3).alias("win_prob"),
-    )
+    few = top_k(upset_chances(odds), [F.col("_p").asc_nulls_last(), F.col("match_id").asc()], k)
+    return decided_teams(few, by, "_p").select(
+        *by, "match_id", "stage", "winner_name", "loser_name", "score", F.col("_p").alias("win_prob"))
 
 
-def marquee_upset(upset_rows: DataFrame, big_name: str) -> DataFrame:
-    """The first upset of a named favourite, else the biggest of all."""
-    rank = F.struct(
-        (~same_name("loser_name", big_name)).alias("other"), F.col("win_prob"), F.col("match_id")
-    )
-    row = F.struct(*upset_rows.columns)
-    return upset_rows.agg(F.min_by(row, rank).alias("r")).select("r.*")
+def marquee_upset(odds: DataFrame, big_name: str, by: Sequence[str] = ()) -> DataFrame:
+    """The least likely win over a named favourite among all matches, else over anyone."""
+    rows = decided_teams(upset_chances(odds), by, "_p").select(
+        *by, "match_id", "stage", "winner_name", "loser_name", "score", F.col("_p").alias("win_prob"))
+    rank = F.struct((~same_name("loser_name", big_name)).alias("other"), F.col("win_prob"), F.col("match_id"))
+    return rows.groupBy(*by).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in by]), rank).alias("r")).select(*by, "r.*")
 
 
 def team_paths(odds: DataFrame, by: Sequence[str], subject: Column | None = None) -> DataFrame:

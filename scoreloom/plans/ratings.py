@@ -4,19 +4,17 @@ Model: home goals ~ Poisson(exp(home_adv + attack_home - defense_away)), away go
 Poisson(exp(attack_away - defense_home)), with a ridge on attack and defence only.
 
 Matches are reduced to one row per (competition, home, away) once; nothing later reads them
-again. Competitions whose teams fit a bounded system are solved side by side in tasks with
-Newton steps. Larger ones are fitted by gradient steps that stay DataFrame joins and
-aggregates, so no system or parameter vector is ever held in one place.
+again. The caller names the solver, never the size of the data: "newton" solves every competition in
+one task and suits leagues and tournaments, whose pair rows fit a task; "blocks" takes passes of
+joins and aggregates in which no competition is ever held in one place.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,10 +26,7 @@ from ..functions.poisson import goal_rates, outcome_probs
 from ..functions.scores import is_neutral, points_from_winner
 from ..operators.ranking import ranked
 from ..operators.reshape import match_sides
-
-
-# the per-task function travels with the job, so executors need not have this package installed
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from ..shared_store import ship_package
 
 
 class FitError(Exception):
@@ -39,7 +34,7 @@ class FitError(Exception):
 
 
 TOLERANCE = 1e-7  # gradient entry over the goals behind it (or one)
-BOUNDED_TEAMS = 400  # 801 unknowns: a 5 MB system, and at most 160,000 pair rows
+NEWTON_STEPS = 12  # of an equation in one unknown, which is convex and increasing
 
 
 def pair_results(matches: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -65,7 +60,7 @@ def team_names(matches: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-# --- bounded competitions: one small system per task ---------------------------------------
+# --- solver "newton": a competition is one small system in one task -----------------------------
 
 
 def _newton(pair_rows: pd.DataFrame, home, away, teams: int, ridge: float, tol: float, max_iter: int):
@@ -137,147 +132,199 @@ def _fit_in_tasks(pairs: DataFrame, by: Sequence[str], ridge, tol, max_iter) ->
             frame[c] = pdf[c].iloc[0]
         return frame[out.fieldNames()]
 
+    ship_package(pairs.sparkSession)
     return pairs.groupBy(*by).applyInPandas(fit, out)
 
 
-# --- competitions of any size: gradient steps as joins and aggregates -------------------------
+# --- solver "blocks": passes of joins and aggregates, for competitions of any size ----------------
+
 
+def _root(start: str, weight: str, pull: str, target: str, spread: str) -> str:
+    """SQL for x with ``weight * exp(x) + pull * (spread * x) = target``, by Newton from ``start``."""
+    value = f"{weight} * exp(x) + {pull} * {spread} * x - ({target})"
+    slope = f"{weight} * exp(x) + {pull} * {spread}"
+    step = f"x - greatest(-2D, least(2D, ({value}) / ({slope})))"
+    return f"aggregate(sequence(1, {NEWTON_STEPS}), {start}, (x, _i) -> {step})"
 
-def _side_rows(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
+
+def _sides(pairs: DataFrame, by: list[str]) -> DataFrame:
     """(scorer, conceder, at_home, n, goals): each pair seen from both scoring sides."""
     return match_sides(
         pairs.withColumns({"yes": F.lit(1), "no": F.lit(0)}),
         home={"scorer": "home", "conceder": "away", "at_home": "yes", "n": "n", "goals": "home_goals"},
         away={"scorer": "away", "conceder": "home", "at_home": "no", "n": "n", "goals": "away_goals"},
-        keep=list(by),
+        keep=by,
     )
 
 
-def _fit_distributed(
-    pairs: DataFrame, by: Sequence[str], ridge: float, tol: float, max_passes: int,
-    check_every: int = 5,
-) -> DataFrame:
-    """Gradient steps scaled by the diagonal of the Hessian, with Barzilai-Borwein lengths.
+def _pass(sides: DataFrame, state: DataFrame, by: list[str], ridge: float) -> DataFrame:
+    """New attack, then defence, then home advantage and common level, each exact given the others.
 
-    One pass over the pair rows gives every team its expected goals, hence gradient and
-    curvature; the step length is one number per competition. All competitions advance
-    together, and nothing larger than one team's row is ever in one place.
+    ``gradient`` is the worst relative entry met before the updates; once it is within the
+    tolerance the updates no longer move anything.
     """
-    by = list(by)
-    keys = [*by, "team_id"]
-    sides = materialise(_side_rows(pairs, by))
-    ends = "inline(array(struct(scorer as team_id, {0}), struct(conceder as team_id, {1})))"
-    goals = sides.selectExpr(*by, ends.format(
-        "goals as scored, goals * at_home as home_scored, 0L as conceded",
-        "0L as scored, 0L as home_scored, goals as conceded",
-    )).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("scored", "home_scored", "conceded")])
-    home_totals = goals.groupBy(*by).agg(F.sum("home_scored").alias("home_total"))
-    state = materialise(goals.drop("home_scored").join(home_totals, by).selectExpr(
-        *keys, "scored", "conceded", "home_total", "0D as att", "0D as dfn", "0D as home_adv",
-        *[f"cast(null as double) as {c}" for c in ("att0", "dfn0", "home0", "g_att0", "g_dfn0", "g_home0")],
-    ))
-
-    def expected(state: DataFrame) -> DataFrame:
-        """Expected goals for, at home and against per team, and its share of the objective."""
-        own = state.selectExpr(*by, "team_id as scorer", "att", "home_adv")
-        rival = state.selectExpr(*by, "team_id as conceder", "dfn")
-        rated = sides.join(own, [*by, "scorer"]).join(rival, [*by, "conceder"]).selectExpr(
-            *by, "scorer", "conceder", "at_home", "n", "goals",
-            "if(at_home = 1, home_adv, 0D) + att - dfn as eta",
-        ).selectExpr("*", "n * exp(eta) as mean")
-        return materialise(rated.selectExpr(*by, ends.format(
-            "mean as made, mean * at_home as made_home, 0D as let_in, mean - goals * eta as loss",
-            "0D as made, 0D as made_home, mean as let_in, 0D as loss",
-        )).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("made", "made_home", "let_in", "loss")]))
-
-    twice = 2 * ridge
-    for turn in range(1, max_passes + 1):
-        rows = state.join(expected(state), keys).selectExpr(
-            "*", f"made - scored + {twice} * att as g_att", f"conceded - let_in + {twice} * dfn as g_dfn",
-            f"made + {twice} as d_att", f"let_in + {twice} as d_dfn",
-        )
-        s_y = " + ".join(f"({x} - {x}0) * (g_{x} - g_{x}0)" for x in ("att", "dfn"))
-        s_s = " + ".join(f"power({x} - {x}0, 2) * d_{x}" for x in ("att", "dfn"))
-        y_y = " + ".join(f"power(g_{x} - g_{x}0, 2) / d_{x}" for x in ("att", "dfn"))
-        worst = "max(greatest(abs(g_att) / greatest(scored, 1), abs(g_dfn) / greatest(conceded, 1)))"
-        comp = rows.groupBy(*by).agg(
-            F.expr(f"sum({s_y}) as sy"), F.expr(f"sum({s_s}) as ss"), F.expr(f"sum({y_y}) as yy"),
-            F.expr("sum(made_home) as d_home"), F.expr("sum(made_home) - max(home_total) as g_home"),
-            F.expr("max(home_adv) - max(home0) as s_home"), F.expr("max(g_home0) as _g0"),
-            F.expr(f"greatest({worst}, abs(sum(made_home) - max(home_total)) / greatest(max(home_total), 1)) as gradient"),
-            F.expr(f"sum(loss + {ridge} * (att * att + dfn * dfn)) as final_nll"),
-        ).selectExpr(
-            *by, "g_home", "d_home", "gradient", "final_nll",
-            "sy + s_home * (g_home - _g0) as sy", "ss + s_home * s_home * d_home as ss",
-            "yy + power(g_home - _g0, 2) / d_home as yy",
-        )
-        length = "sy / yy" if turn % 2 == 0 else "ss / sy"
-        comp = comp.selectExpr(
-            *by, "g_home", "d_home", "gradient", "final_nll",
-            f"coalesce(least(50D, greatest(0.1D, if(sy > 0, {length}, null))), 1D / 3) as step",
-        )
-        both = rows.join(comp, by)
-        if turn % check_every == 0 or turn == max_passes:
-            done = materialise(both)
-            if done.agg(F.max("gradient")).first()[0] <= tol or turn == max_passes:
-                break
-            both = done
-        move = "greatest(-1D, least(1D, step * {g} / {d}))"
-        state = materialise(both.selectExpr(
-            *keys, "scored", "conceded", "home_total",
-            *[f"{x} - {move.format(g=f'g_{x}', d=f'd_{x}')} as {x}" for x in ("att", "dfn")],
-            f"home_adv - {move.format(g='g_home', d='d_home')} as home_adv",
-            "att as att0", "dfn as dfn0", "home_adv as home0",
-            "g_att as g_att0", "g_dfn as g_dfn0", "g_home as g_home0",
-        ))
+    keys, twice = [*by, "team_id"], 2 * ridge
+    rival = state.selectExpr(*by, "team_id as conceder", "dfn as _dfn", "home_adv as _home")
+    for_scorer = sides.join(rival, [*by, "conceder"]).groupBy(*by, F.col("scorer").alias("team_id")).agg(
+        F.expr("sum(n * exp(if(at_home = 1, _home, 0D) - _dfn)) as _e"))
+    attack = state.join(for_scorer, keys, "left").selectExpr(
+        *by, "team_id", "scored", "conceded", "dfn", "home_adv", "home_total", "away_total",
+        f"abs(coalesce(_e, 0D) * exp(att) + {twice} * att - scored) / greatest(scored, 1) as g_att",
+        _root("att", "coalesce(_e, 0D)", str(twice), "scored", "1") + " as att",
+    )
+    own = attack.selectExpr(*by, "team_id as scorer", "att as _att", "home_adv as _home")
+    for_conceder = sides.join(own, [*by, "scorer"]).groupBy(*by, F.col("conceder").alias("team_id")).agg(
+        F.expr("sum(if(at_home = 1, n * exp(_home + _att), 0D)) as _fh"),
+        F.expr("sum(if(at_home = 0, n * exp(_att), 0D)) as _fa"))
+    # with y = -defence the equation has the form of the attack's
+    both = attack.join(for_conceder, keys, "left").selectExpr(
+        "*", "coalesce(_fh, 0D) + coalesce(_fa, 0D) as _f").selectExpr(
+        *by, "team_id", "scored", "conceded", "att", "home_adv", "home_total", "away_total", "g_att", "_fh", "_fa",
+        f"abs(_f * exp(-dfn) - {twice} * dfn - conceded) / greatest(conceded, 1) as g_dfn",
+        "-(" + _root("-dfn", "_f", str(twice), "conceded", "1") + ") as dfn",
+    )
+    level = both.groupBy(*by).agg(
+        F.expr("sum(coalesce(_fh, 0D) * exp(-dfn)) as _sh"), F.expr("sum(coalesce(_fa, 0D) * exp(-dfn)) as _sa"),
+        F.expr("max(home_adv) as _h0"), F.expr("max(home_total) as _th"), F.expr("max(away_total) as _ta"),
+        F.expr("sum(att) as _sum_att"), F.expr("sum(dfn) as _sum_dfn"), F.expr("cast(count(1) as double) as _teams"),
+        F.expr("max(greatest(g_att, g_dfn)) as _worst"),
+    ).selectExpr(
+        *by, "_sh", "_th", "_h0", "_teams", "_sum_att", "_sum_dfn",
+        "greatest(_worst, abs(_sh - _th) / greatest(_th, 1)) as gradient",
+        # attack up by x with the home advantage free to follow: away goals and ridge fix x
+        _root("0D", "_sa", str(twice), f"_ta - {twice} * _sum_att", "_teams") + " as _x",
+    ).selectExpr(
+        *by, "gradient", "_x",
+        "_h0 + ln(greatest(_th, 1e-6D) / _sh) - _x as home_new",
         # a common shift of both blocks changes no rate, so the ridge alone fixes it
-        level = state.groupBy(*by).agg(F.expr("avg(att + dfn) / 2 as _level"))
-        state = state.join(level, by).selectExpr(
-            *[c for c in state.columns if c not in ("att", "dfn")],
-            "att - _level as att", "dfn - _level as dfn",
-        )
-    sizes = pairs.groupBy(*by).agg(F.sum("n").alias("n_matches"))
-    return done.join(sizes, by).selectExpr(
-        *keys, "att as attack", "dfn as defense", "home_adv", "final_nll", "gradient", "n_matches"
+        "(_sum_att + _teams * _x + _sum_dfn) / (2 * _teams) as _c",
     )
+    return both.join(level, by).selectExpr(
+        *keys, "att + _x - _c as u_att", "dfn - _c as u_dfn", "home_new as u_home", "gradient")
+
+
+def _mixed(moved: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+    """Where the next pass starts: the new values, shifted by what the last two moves promise.
+
+    Competitions of few or hardly connected teams leave slow directions to block updates. With r the
+    move of a pass and u its outcome, u - t (u - u before) is taken with the t that makes the moves,
+    mixed alike, shortest. The optimum stays where no pass moves anything.
+    """
+    keys = [*by, "team_id"]
+    rows = moved.selectExpr(*keys, "u_att", "u_dfn", "u_home", "gradient").join(state.drop("gradient"), keys).selectExpr(
+        "*", "u_att - att as r_att", "u_dfn - dfn as r_dfn", "u_home - home_adv as r_home")
+    dot = lambda x, y: f"sum({x.format('att')} * {y.format('att')} + {x.format('dfn')} * {y.format('dfn')}) + max({x.format('home')} * {y.format('home')})"
+    change = "(r_{0} - r_{0}_0)"
+    weight = rows.groupBy(*by).agg(
+        F.expr(f"({dot(change, 'r_{0}')}) / nullif({dot(change, change)}, 0D) as _t")).selectExpr(*by, "coalesce(_t, 0D) as _t")
+    return rows.join(weight, by).selectExpr(
+        *keys, "scored", "conceded", "home_total", "away_total", "gradient",
+        *[f"u_{x} - if(_t = 0, 0D, _t * (u_{x} - u_{x}_0)) as {v}" for x, v in (("att", "att"), ("dfn", "dfn"), ("home", "home_adv"))],
+        *[f"{k}_{x} as {k}_{x}_0" for k in "ur" for x in ("att", "dfn", "home")])
+
+
+def _objective(sides: DataFrame, state: DataFrame, by: list[str], ridge: float) -> DataFrame:
+    own = state.selectExpr(*by, "team_id as scorer", "att", "home_adv")
+    rival = state.selectExpr(*by, "team_id as conceder", "dfn")
+    loss = sides.join(own, [*by, "scorer"]).join(rival, [*by, "conceder"]).selectExpr(
+        *by, "n", "goals", "if(at_home = 1, home_adv, 0D) + att - dfn as eta").groupBy(*by).agg(
+        F.expr("sum(n * exp(eta) - goals * eta) as _loss"))
+    penalty = state.groupBy(*by).agg(F.expr(f"{ridge} * sum(att * att + dfn * dfn) as _penalty"))
+    return loss.join(penalty, by).selectExpr(*by, "_loss + _penalty as final_nll")
 
 
 def fit_ratings(
-    matches: DataFrame, by: Sequence[str], ridge: float = V.RIDGE, tol: float = TOLERANCE,
-    max_iter: int = 100, max_passes: int = 400, bounded_teams: int = BOUNDED_TEAMS,
+    matches: DataFrame, by: Sequence[str] = (), ridge: float = V.RIDGE, tol: float = TOLERANCE,
+    max_passes: int = 200, centred: bool = True, on_failure: str = "raise", solver: str = "newton",
 ) -> DataFrame:
     """Ratings per (competition, team): attack, defense, rating, home_adv, final_nll, n_matches.
 
-    Attack and defence are centred after the fit; the level removed by that is not put back
-    into the expected goals, which keeps results equal to the published ones. Raises
-    ``FitError`` rather than return ratings that did not converge.
+    ``by`` may be empty: all matches are one competition then. Attack and defence are centred
+    after the fit unless ``centred`` is False; the level removed by that is not put back into
+    the expected goals, which keeps results equal to the published ones. A competition with
+    fewer than two teams, or one that did not converge, makes the call raise ``FitError`` with
+    its name, or is left out with ``on_failure="skip"``; ``fit_status`` lists them.
     """
+    fitted, failed = _fit(matches, list(by), ridge, tol, max_passes, solver)
+    if on_failure == "raise":
+        worst = failed.limit(5).collect()
+        if worst:
+            raise FitError("no fit for " + ", ".join(str(r.asDict()) for r in worst))
+        if not fitted.take(1):
+            raise FitError("a fit needs at least two teams and one match")
     by = list(by)
+    one = [] if by else ["_all"]
+    if centred:
+        means = fitted.groupBy(*by, *one).agg(F.avg("attack").alias("_a"), F.avg("defense").alias("_d"))
+        fitted = fitted.join(means, [*by, *one]).withColumns(
+            {"attack": F.col("attack") - F.col("_a"), "defense": F.col("defense") - F.col("_d")})
+    return fitted.withColumn("rating", F.col("attack") + F.col("defense")).select(
+        *by, "team_id", "attack", "defense", "rating", "home_adv", "final_nll", "n_matches")
+
+
+def fit_status(
+    matches: DataFrame, by: Sequence[str] = (), ridge: float = V.RIDGE, tol: float = TOLERANCE, max_passes: int = 200, solver: str = "newton",
+) -> DataFrame:
+    """Competitions without a fit and why."""
+    return _fit(matches, list(by), ridge, tol, max_passes, solver)[1]
+
+
+def _fit(
+    matches: DataFrame, by: list[str], ridge: float, tol: float, max_passes: int, solver: str,
+) -> tuple[DataFrame, DataFrame]:
+    """(fitted teams with uncentred values, competitions that have no fit)."""
+    named = list(by)
+    if not by:
+        matches, by = matches.withColumn("_all", F.lit(1)), ["_all"]
     pairs = materialise(pair_results(matches, by))
-    ends = pairs.select(*by, F.explode(F.array("home", "away")).alias("team_id")).distinct()
-    sizes = materialise(ends.groupBy(*by).agg(F.count(F.lit(1)).alias("_teams")))
-    facts = sizes.agg(F.min("_teams"), F.max("_teams")).first()
-    if facts[0] is None or facts[0] < 2:
-        raise FitError("a fit needs at least two teams and one match per competition")
-    small = pairs.join(sizes.where(F.col("_teams") <= bounded_teams).select(*by), by, "left_semi")
-    fitted = None
-    if facts[0] <= bounded_teams:
-        fitted = _fit_in_tasks(small, by, ridge, tol, max_iter)
-    if facts[1] > bounded_teams:
-        large = pairs.join(sizes.where(F.col("_teams") > bounded_teams).select(*by), by, "left_semi")
-        rest = _fit_distributed(large, by, ridge, tol, max_passes)
-        fitted = rest if fitted is None else fitted.unionByName(rest)
-    fitted = materialise(fitted)
-    stuck = fitted.where(~(F.col("gradient") <= tol)).select(*by, "gradient").take(1)
-    if stuck:
-        raise FitError(f"did not converge: {stuck[0].asDict()}")
-    means = fitted.groupBy(*by).agg(F.avg("attack").alias("_a"), F.avg("defense").alias("_d"))
-    return (
-        fitted.join(means, by)
-        .withColumns({"attack": F.col("attack") - F.col("_a"), "defense": F.col("defense") - F.col("_d")})
-        .withColumn("rating", F.col("attack") + F.col("defense"))
-        .select(*by, "team_id", "attack", "defense", "rating", "home_adv", "final_nll", "n_matches")
-    )
+    sides = _sides(pairs, by)
+    ends = sides.selectExpr(*by, "inline(array(struct(scorer as team_id), struct(conceder as team_id)))").distinct()
+    counted = ends.groupBy(*by).agg(F.count(F.lit(1)).alias("_teams"))
+    few = counted.where("_teams < 2").select(*by, F.lit("fewer than two teams").alias("reason"))
+    usable = pairs.join(counted.where("_teams >= 2").select(*by), by, "left_semi")
+    solve = {"newton": _fit_in_tasks, "blocks": _fit_in_blocks}[solver]
+    fitted = materialise(solve(usable, by, ridge, tol, max_passes))
+    met = F.col("gradient") <= tol
+    stuck = fitted.where(~met).select(*by, F.lit("did not converge").alias("reason")).distinct()
+    return fitted.where(met).drop("gradient"), few.unionByName(stuck).select(*named, "reason")
+
+
+def _fit_in_blocks(pairs: DataFrame, by: list[str], ridge: float, tol: float, max_passes: int) -> DataFrame:
+    sides = _sides(pairs, by)
+    per_team = sides.selectExpr(*by, """inline(array(
+        struct(scorer as team_id, goals as scored, 0L as conceded, goals * at_home as home_scored, goals * (1 - at_home) as away_scored),
+        struct(conceder as team_id, 0L as scored, goals as conceded, 0L as home_scored, 0L as away_scored)))""").groupBy(*by, "team_id").agg(
+        *[F.sum(c).alias(c) for c in ("scored", "conceded", "home_scored", "away_scored")])
+    totals = per_team.groupBy(*by).agg(F.sum("home_scored").alias("home_total"), F.sum("away_scored").alias("away_total"))
+    state = materialise(per_team.join(totals, by).selectExpr(
+        *by, "team_id", "scored", "conceded", "0D as att", "0D as dfn", "0D as home_adv", "home_total", "away_total", "1D as gradient",
+        *[f"cast(null as double) as {k}_{x}_0" for k in "ur" for x in ("att", "dfn", "home")]))
+    for _ in range(max_passes):
+        state = materialise(_mixed(_pass(sides, state, by, ridge), state, by))
+        worst = state.agg(F.max("gradient")).first()[0]
+        if worst is None or worst <= tol:
+            break
+    sizes = pairs.groupBy(*by).agg(F.sum("n").alias("n_matches"))
+    return state.join(sizes, by).join(_objective(sides, state, by, ridge), by).selectExpr(
+        *by, "team_id", "att as attack", "dfn as defense", "home_adv", "final_nll", "gradient", "n_matches")
+
+
+def fit_balance(matches: DataFrame, by: Sequence[str], ridge: float = V.RIDGE, solver: str = "newton") -> DataFrame:
+    """Goals made and let in by every team as the fit has them, with the ridge's share.
+
+    At the optimum they equal the goals scored and conceded.
+    """
+    by = list(by)
+    rated = fit_ratings(matches, by, ridge, centred=False, solver=solver)
+    sides = _sides(pair_results(matches, by), by)
+    own = rated.selectExpr(*by, "team_id as scorer", "attack", "home_adv")
+    rival = rated.selectExpr(*by, "team_id as conceder", "defense")
+    mean = sides.join(own, [*by, "scorer"]).join(rival, [*by, "conceder"]).selectExpr(
+        *by, "scorer", "conceder", "n * exp(if(at_home = 1, home_adv, 0D) + attack - defense) as mean")
+    per_team = mean.selectExpr(*by, "inline(array(struct(scorer as team_id, mean as made, 0D as let_in), struct(conceder as team_id, 0D as made, mean as let_in)))")
+    sums = per_team.groupBy(*by, "team_id").agg(F.sum("made").alias("made"), F.sum("let_in").alias("let_in"))
+    return sums.join(rated, [*by, "team_id"]).selectExpr(
+        *by, "team_id", f"round(made + {2 * ridge} * attack, 2) as scored", f"round(let_in - {2 * ridge} * defense, 2) as conceded")
 
 
 def fit_metadata(ratings: DataFrame, by: Sequence[str], ridge: float = V.RIDGE) -> DataFrame:
@@ -300,9 +347,14 @@ def with_rates(matches: DataFrame, ratings: DataFrame, by: Sequence[str], neutra
             F.col("defense").alias(f"_{name}_def"), F.col("rating").alias(f"{name}_rating"), *extra,
         )
 
-    keyed = matches.join(side("home", ("home_adv",)), [*by, "home_team_id"]).join(
-        side("away"), [*by, "away_team_id"]
+    keyed = matches.join(side("home", ("home_adv",)), [*by, "home_team_id"], "left").join(
+        side("away"), [*by, "away_team_id"], "left"
     )
+    # a match without ratings is a fault of the input; dropping it would shift every total
+    unrated = F.col("home_rating").isNull() | F.col("away_rating").isNull()
+    keyed = keyed.withColumn("home_rating", F.when(
+        unrated, F.raise_error(F.concat(F.lit("no rating for a team of match "), F.col("match_id").cast("string"))).cast("double")
+    ).otherwise(F.col("home_rating")))
     home, away = goal_rates(
         F.col("_home_att"), F.col("_home_def"), F.col("_away_att"), F.col("_away_def"),
         F.col("home_adv"), is_neutral() if neutral is None else neutral,

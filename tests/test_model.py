@@ -29,16 +29,44 @@ def test_strength_order_and_centring(spark):
     assert (meta.n_teams, meta.n_matches, meta.ridge) == (4, 6, 0.05)
 
 
-def test_distributed_fit_agrees_with_the_bounded_one(spark):
-    games = [(1, 2, 3, 1), (2, 1, 1, 2), (1, 3, 2, 1), (3, 1, 1, 2), (2, 3, 2, 1), (3, 2, 1, 2)]
-    rows = [(1, i, h, f"T{h}", a, f"T{a}", x, y) for i, (h, a, x, y) in enumerate(games)]
-    df = spark.createDataFrame(rows, MATCH)
-    a = {r.team_id: r for r in R.fit_ratings(df, ["c"]).collect()}
-    b = {r.team_id: r for r in R.fit_ratings(df, ["c"], bounded_teams=1, tol=1e-2).collect()}
-    for t in a:
-        assert a[t].attack == pytest.approx(b[t].attack, abs=5e-2)
-        assert a[t].defense == pytest.approx(b[t].defense, abs=5e-2)
-        assert a[t].final_nll == pytest.approx(b[t].final_nll, abs=1e-2)
+def goals_of(rows):
+    scored, conceded = {}, {}
+    for _, _, h, _, a, _, x, y in rows:
+        for team, own, other in ((h, x, y), (a, y, x)):
+            scored[team] = scored.get(team, 0) + own
+            conceded[team] = conceded.get(team, 0) + other
+    return {t: (scored[t], conceded[t]) for t in scored}
+
+
+TWO = [(1, i, 1 + i % 2, "A", 2 - i % 2, "B", i % 3, (i + 1) % 2) for i in range(6)]
+MANY = [(1, i, i % 300, "x", (i * 7 + 1 + i // 300) % 300, "x", i % 4, (i // 3) % 3) for i in range(1800) if i % 300 != (i * 7 + 1 + i // 300) % 300]
+
+
+@pytest.mark.parametrize("solver, rows", [("newton", TWO), ("newton", MANY), ("blocks", TWO)])
+def test_fit_balances_goals_at_the_production_tolerance(spark, solver, rows):
+    """At the optimum made goals equal scored ones, up to the ridge, for few and for many teams."""
+    got = R.fit_balance(spark.createDataFrame(rows, MATCH), ["c"], solver=solver).collect()
+    assert {r.team_id: (r.scored, r.conceded) for r in got} == goals_of(rows)
+
+
+def test_all_matches_as_one_competition(spark):
+    a = {r.team_id: r.rating for r in R.fit_ratings(league(spark)).collect()}
+    b = {r.team_id: r.rating for r in R.fit_ratings(league(spark), ["c"]).collect()}
+    assert a == pytest.approx(b)
+
+
+def test_one_degenerate_competition_is_named_and_may_be_left_out(spark):
+    df = league(spark).unionByName(spark.createDataFrame([(2, 50, 9, "A", 9, "A", 1, 1)], MATCH))
+    with pytest.raises(R.FitError, match="'c': 2"):
+        R.fit_ratings(df, ["c"])
+    assert {r.c for r in R.fit_ratings(df, ["c"], on_failure="skip").collect()} == {1}
+    assert [tuple(r) for r in R.fit_status(df, ["c"]).collect()] == [(2, "fewer than two teams")]
+
+
+def test_a_match_without_ratings_is_loud(spark):
+    rated = spark.createDataFrame([(1, 1, 0.1, 0.1, 0.2, 0.3)], "c int, team_id long, attack double, defense double, rating double, home_adv double")
+    with pytest.raises(Exception, match="no rating for a team of match"):
+        R.with_rates(league(spark).withColumn("stage", F.lit("FINAL")), rated, ["c"], F.lit(True)).collect()
 
 
 def test_fit_is_a_minimum(spark):
@@ -72,7 +100,7 @@ def test_degenerate_input_is_refused(spark):
     with pytest.raises(R.FitError):
         R.fit_ratings(spark.createDataFrame([], MATCH), ["c"])
     with pytest.raises(R.FitError):
-        R.fit_ratings(league(spark), ["c"], max_iter=1)
+        R.fit_ratings(league(spark), ["c"], max_passes=1)
 
 
 def test_outcome_probabilities_match_the_grid(spark):
@@ -131,6 +159,17 @@ def test_missing_winner_makes_the_final_a_leaf(spark):
     assert adv[2] == 0 and adv[4] == 0 and adv[1] + adv[3] == pytest.approx(1)
 
 
+def test_a_match_that_feeds_both_slots_keeps_the_sum(spark):
+    """Team 1 plays and wins both semi-finals after one quarter-final."""
+    rows = ((1, "QUARTER_FINALS", 1, 2, "HOME_TEAM"), (2, "QUARTER_FINALS", 3, 4, "AWAY_TEAM"), (3, "QUARTER_FINALS", 5, 6, "HOME_TEAM"),
+            (10, "SEMI_FINALS", 1, 4, "HOME_TEAM"), (11, "SEMI_FINALS", 5, 1, "HOME_TEAM"), (20, "FINAL", 1, 5, "AWAY_TEAM"))
+    nodes = B.bracket_nodes(knockout(spark, *rows), ["c"])
+    rated = ratings(spark, (.5, .1), (0, 0), (.2, 0), (.1, .3), (0, .2), (-.2, 0))
+    adv = B.advancement(nodes, rated, ["c"]).collect()
+    assert sum(r.title_prob for r in adv) == pytest.approx(1)
+    assert all(0 <= x <= 1 for r in adv for x in r.reach)
+
+
 def test_no_final_gives_nothing(spark):
     nodes = B.bracket_nodes(knockout(spark, *SEMIS), ["c"])
     assert B.advancement(nodes, ratings(spark, (0, 0)), ["c"]).count() == 0
