@@ -152,7 +152,7 @@ def with_next(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col
         types = [kind, pa.int64(), text, text, text, text, number, number, pa.int32(), text]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], columns)
 
-    walked = work.save(rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(walk, schema), "walked")
+    walked = work.save(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(walk, schema), "walked")
     firsts = walked.where("place = 'first'")
     # one number per range: which range comes after it; the first after the last
     order = Window.orderBy("range")
