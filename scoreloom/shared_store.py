@@ -46,12 +46,19 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+BATCH_ROWS = 2000
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that workers can import it."""
-    sc = spark.sparkContext
+    """Send this package to the executors once per application, so that workers can import it.
+
+    Rows that workers take are texts of some KB, so batches are kept to ``BATCH_ROWS`` of them unless
+    the session asks for fewer.
+    """
+    sc, batch = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, BATCH_ROWS)
     if sc.applicationId in _shipped or sc.master.startswith("local["):
         return
     package = Path(__file__).resolve().parent
