@@ -150,6 +150,12 @@ def encoder(path: str, remembered: int = REMEMBERED) -> FragmentEncoder:
     return _encoders[path, remembered]
 
 
+def forget_encoders() -> None:
+    """Free the worker's encoders, for jobs whose other stages need the memory."""
+    _encoders.clear()
+    tidy()
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 

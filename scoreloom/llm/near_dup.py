@@ -44,7 +44,7 @@ BITS = 64 * SKETCH_LONGS
 ESTIMATE = 0.5
 BLOCK_SHINGLES = 200_000  # of the nodes asked about in a block; four times as many of those they meet
 TASK_ROWS = 4_000
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
 BYTE_VALUES = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared_store import Workspace, ship_package
-from .bpe import REMEMBERED, VOCABULARY, encoder, vocabulary_path
+from .bpe import REMEMBERED, VOCABULARY, encoder, forget_encoders, vocabulary_path
 from .registry import query, read
 
 CAPACITY = 4096
@@ -36,11 +36,12 @@ NEARLY = 256  # a sequence that lacks at most 1/NEARLY of the capacity is emitte
 
 def pieces(
     docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text",
-    remembered: int = REMEMBERED,
+    remembered: int = REMEMBERED, forget: bool = False,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, checksum of its ids, and the row's number.
 
-    ``remembered`` bounds what a worker keeps of encoded text; it changes memory and speed only.
+    ``remembered`` bounds what a worker keeps of encoded text; it changes memory and speed only,
+    as does ``forget``, which frees the encoder after every partition.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
@@ -65,6 +66,8 @@ def pieces(
                 "length": np.array(length, np.int64), "ids_crc32": np.array(crc, np.int64),
             }
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+        if forget:
+            forget_encoders()
 
     return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long").withColumn(
         "item", F.monotonically_increasing_id())
@@ -145,8 +148,8 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, group_rows
     return finished.withColumnRenamed("item", "sequence_id").drop("grp", "done")
 
 
-def packed_documents(docs: DataFrame, work: Workspace, capacity: int = CAPACITY, remembered: int = REMEMBERED) -> DataFrame:
-    return pack(work.save(pieces(docs, capacity, remembered=remembered), "pieces"), work, capacity)
+def packed_documents(docs: DataFrame, work: Workspace, capacity: int = CAPACITY, remembered: int = REMEMBERED, forget: bool = False) -> DataFrame:
+    return pack(work.save(pieces(docs, capacity, remembered=remembered, forget=forget), "pieces"), work, capacity)
 
 
 @query("op9_packing")

@@ -191,7 +191,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL
     return fit(texts, label, weight[label.astype(int)])
 
 
-def scored(docs: DataFrame, model: Model, out: str = "score", chunk_bytes: int = 2 << 20) -> DataFrame:
+def scored(docs: DataFrame, model: Model, out: str = "score", chunk_bytes: int = 1 << 19) -> DataFrame:
     """The rows with a score; texts are encoded in chunks of bounded size."""
     ship_package(docs.sparkSession)
     rows, names, back = veiled(docs)
