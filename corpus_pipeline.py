@@ -51,9 +51,12 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return back(keyed.join(small_side(going), same, "left_anti"))
 
 
+PASSAGE_WORDS = 51
+
+
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove long strings that also occur elsewhere; characters cut in two go wholly."""
-    kept = without_repeats(docs, Workspace(spark, "pipeline-suffixes"))
+    """Remove strings of 400 bytes, and passages of over 50 words, that also occur elsewhere; characters cut in two go wholly."""
+    kept = without_repeats(docs, Workspace(spark, "pipeline-suffixes"), passage_words=PASSAGE_WORDS)
     whole = F.pandas_udf(lambda s: s.map(lambda b: bytes(b).decode("utf-8", "ignore")), "string")
     return with_text(docs, kept, whole("_kept"), F.col("_n_removed") > 0)
 

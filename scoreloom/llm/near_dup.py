@@ -62,11 +62,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * MIX
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, A-Z taken as a-z, and how many words each text has."""
+def word_hashes(texts: list[bytes], letter_values: np.ndarray = BYTE_VALUES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, by default A-Z taken as a-z, and how many words each text has."""
     sizes = np.array([len(t) for t in texts], np.int64)
     codes = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
-    values = BYTE_VALUES[codes]
+    values = letter_values[codes]
     word = values != 0
     begin = np.flatnonzero(word[1:] & ~word[:-1]) + 1
     if not len(begin):

@@ -14,6 +14,10 @@ are its context.
 3. A key with more contexts than a shard holds is spread over many shards; what a shard cannot
    decide leaves it as one hash per different string, and these are counted over all shards.
 
+With ``passage_words`` the same is done once more on words, each taken as the 8 bytes of its hash: what
+is covered by so many words in a row that also start elsewhere goes too, whatever their length in
+bytes and the white space (ASCII) between them.
+
 Texts are UTF-8 bytes, matches stay inside one text. Defined results: null and empty texts have no
 bytes and nothing removed; equal rows count as two places, so long enough copies go wholly; overlaps
 count; strings are judged on the input; an empty table gives no rows; other columns pass through
@@ -23,6 +27,7 @@ under their names. Texts are told apart by 128-bit hashes.
 from __future__ import annotations
 
 import gc
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,6 +40,7 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 from ..shared_store import Workspace, ship_package
 from .lyndon_grouping import suffix_array
+from .near_dup import chunks, word_hashes
 from .passing import tidy, veiled
 from .registry import query, read
 
@@ -42,7 +48,10 @@ LENGTH = 400
 KEY_BYTES = 64
 PIECE_BYTES = 32
 SHARD_CONTEXTS = 4000
+WORD_BYTES = 8
+WORD = re.compile(rb"[^ \t-\r]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
+Seen = Callable[[list[bytes]], list[bytes]]  # what is compared in place of the texts' bytes
 
 
 def octet_hashes(codes: np.ndarray) -> np.ndarray:
@@ -82,7 +91,7 @@ def keyed(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.withColumn("_content", content).select("*", *text_key(F.col("_content")))
 
 
-def anchor_rows(texts: DataFrame, length: int, key: int) -> DataFrame:
+def anchor_rows(texts: DataFrame, length: int, key: int, seen: Seen | None = None) -> DataFrame:
     """One row per anchor of every row's text: text key, place, distances, key hash, context hash."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,7 +99,7 @@ def anchor_rows(texts: DataFrame, length: int, key: int) -> DataFrame:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at : at + 1000]
                 rows, places, nears, fars, keys, contexts = [], [], [], [], [], []
-                for i, text in enumerate(part["_content"]):
+                for i, text in enumerate(seen(list(part["_content"])) if seen else part["_content"]):
                     place, near, far = anchors(text, length, key)
                     rows.append(np.full(len(place), i))
                     places.append(place)
@@ -111,12 +120,20 @@ def anchor_rows(texts: DataFrame, length: int, key: int) -> DataFrame:
         run, "t1 long, t2 long, place int, near int, far int, key long, context long")
 
 
-def context_bytes(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+def context_bytes(texts: DataFrame, wanted: DataFrame, length: int, seen: Seen | None = None) -> DataFrame:
     """Fetch the bytes of the wanted contexts from the texts that hold them."""
     by_text = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("place", "near", "far", "key", "context", "copies", "shard", "hot")).alias("wanted"))
     content = F.col("_content")
     cut = lambda w: F.substring(content, w["place"] - w["far"] + 1, w["far"] - w["near"] + length)
-    found = texts.select("t1", "t2", "_content").join(by_text, ["t1", "t2"]).select(
+    held = texts.select("t1", "t2", "_content").join(by_text, ["t1", "t2"]).select("_content", "wanted")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(seen(batch.column("_content").to_pylist()), pa.binary()), batch.column("wanted")], ["_content", "wanted"])
+        tidy()
+
+    found = (held.mapInArrow(run, held.schema) if seen else held).select(
         F.explode(F.transform("wanted", lambda w: F.struct(
             w["key"].alias("key"), w["context"].alias("context"), w["copies"].alias("copies"), w["near"].alias("near"),
             w["far"].alias("far"), w["shard"].alias("shard"), w["hot"].alias("hot"), cut(w).alias("bytes")))).alias("w"))
@@ -246,11 +263,15 @@ def shard_worker(length: int, piece: int) -> Callable[[pd.DataFrame], pd.DataFra
     return run
 
 
+PASSING = ["anchors", "keys", "several", "contexts", "of_key", "judged"]  # tables that only lead to the spans
+
+
 def repeated_spans(
     texts: DataFrame, work: Workspace, length: int = LENGTH, key: int = KEY_BYTES, piece: int = PIECE_BYTES, shard_contexts: int = SHARD_CONTEXTS,
+    seen: Seen | None = None,
 ) -> DataFrame:
     """Per text key the sorted byte spans to remove: t1, t2, spans (array of lo, hi)."""
-    found = work.save(anchor_rows(texts, length, key), "anchors")
+    found = work.save(anchor_rows(texts, length, key, seen), "anchors")
     # aggregates are written down before a join, so that the join can split the rows of a hot key
     keys = work.save(found.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("mixed")).where("n > 1").drop("n"), "keys")
@@ -264,7 +285,7 @@ def repeated_spans(
     hot = F.col("n") > shard_contexts
     dealt = contexts.join(of_key, "key").withColumn("hot", hot).withColumn(
         "shard", F.pmod(F.when(hot, F.xxhash64("key", "context")).otherwise(F.xxhash64("key")), F.lit(shards)).cast("int")).drop("n")
-    met = context_bytes(texts, dealt, length)
+    met = context_bytes(texts, dealt, length, seen)
     judged = work.save(met.groupBy("shard").applyInPandas(shard_worker(length, piece), SHARD_SCHEMA), "judged")
     spans = judged.where("weight = 0").select("key", "context", "spans")
     waiting = judged.where("weight > 0")
@@ -281,6 +302,25 @@ def repeated_spans(
     return work.save(cover.distinct().groupBy("t1", "t2").agg(F.array_sort(F.collect_list("span")).alias("spans")), "spans")
 
 
+def word_bytes(texts: list[bytes]) -> list[bytes]:
+    """Every text as the hashes of its words, ``WORD_BYTES`` each."""
+    letters = multipliers(401, 256)
+    letters[[32, *range(9, 14)]] = 0
+    out = []
+    for part in chunks(texts):
+        words, count = word_hashes(texts[part], letters)
+        held, ends = words.astype("<u8").tobytes(), np.cumsum(count) * WORD_BYTES
+        out += [held[b - n * WORD_BYTES : b] for b, n in zip(ends.tolist(), count.tolist(), strict=True)]
+    return out
+
+
+def passage_spans(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of ``word_bytes`` as spans of the text; words that are covered in part do not count."""
+    at = [m.span() for m in WORD.finditer(text)] if spans else []
+    inner = [(-(-lo // WORD_BYTES), hi // WORD_BYTES) for lo, hi in spans]
+    return [(at[a][0], at[b - 1][1]) for a, b in inner if a < b]
+
+
 def removed_runs(spans: list) -> list[tuple[int, int]]:
     """Maximal runs of sorted spans; spans that touch are one run."""
     out: list[list[int]] = []
@@ -292,13 +332,21 @@ def removed_runs(spans: list) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def without_repeats(docs: DataFrame, work: Workspace, text_col: str = "text", **settings: int) -> DataFrame:
+def without_repeats(docs: DataFrame, work: Workspace, text_col: str = "text", passage_words: int | None = None, **settings: int) -> DataFrame:
     """The rows with ``_kept`` (the remaining bytes), ``_n_bytes``, ``_n_removed`` and ``_n_spans``."""
     ship_package(docs.sparkSession)
     rows, names, back = veiled(docs)
     texts = keyed(rows, names[text_col])
     spans = repeated_spans(texts, work, **settings)
-    joined = texts.join(spans, ["t1", "t2"], "left").select(*names.values(), "_content", "spans")
+    if passage_words is None:
+        cover = spans.withColumn("passages", F.lit(None).cast(spans.schema["spans"].dataType))
+    else:
+        work.drop(*PASSING)  # room for as many again
+        again = Workspace(docs.sparkSession, "passages")
+        passages = repeated_spans(texts, again, **settings | {"length": passage_words * WORD_BYTES}, seen=word_bytes)
+        again.drop(*PASSING)
+        cover = work.save(spans.join(passages.withColumnRenamed("spans", "passages"), ["t1", "t2"], "full"), "cover")
+    joined = texts.join(cover, ["t1", "t2"], "left").select(*names.values(), "_content", "spans", "passages")
     new = ["_kept", "_n_bytes", "_n_removed", "_n_spans"]
     schema = StructType([*rows.schema.fields]).add(new[0], BinaryType())
     for name in new[1:]:
@@ -307,8 +355,9 @@ def without_repeats(docs: DataFrame, work: Workspace, text_col: str = "text", **
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, gone, count = [], [], [], []
-            for text, held in zip(batch.column("_content").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                cut = removed_runs([(s["lo"], s["hi"]) for s in held or ()])
+            for text, held, words in zip(*[batch.column(c).to_pylist() for c in ("_content", "spans", "passages")], strict=True):
+                own, more = ([(s["lo"], s["hi"]) for s in x or ()] for x in (held, words))
+                cut = removed_runs(sorted(own + passage_spans(text, more)))
                 ends = [0, *[x for lo_hi in cut for x in lo_hi], len(text)]
                 kept.append(b"".join([text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)]))
                 sizes.append(len(text))

@@ -8,7 +8,7 @@ import pytest
 from cases import corpus, documents, workspace
 
 from scoreloom.llm.lyndon_grouping import suffix_array
-from scoreloom.llm.suffix_dedup import anchors, without_repeats
+from scoreloom.llm.suffix_dedup import anchors, passage_spans, word_bytes, without_repeats
 
 
 def test_suffix_array_equals_sorting():
@@ -65,3 +65,52 @@ def test_removal_equals_counting_all_strings(spark, settings):
 
 def test_empty_table(spark):
     assert without_repeats(documents(spark, []), workspace(spark)).count() == 0
+
+
+def brute_passages(texts: list[bytes], length: int, n: int) -> list[bytes]:
+    """What is left without strings of ``length`` bytes and passages of n words that start twice."""
+    strings = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    passages = Counter(tuple(w[i : i + n]) for w in (t.split() for t in texts) for i in range(len(w) - n + 1))
+    out = []
+    for t in texts:
+        gone, w, ends, at = bytearray(len(t)), t.split(), [], 0
+        for word in w:
+            at = t.index(word, at) + len(word)
+            ends.append(at)
+        for i in range(len(t) - length + 1):
+            if strings[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        for i in range(len(w) - n + 1):
+            if passages[tuple(w[i : i + n])] > 1:
+                lo, hi = ends[i] - len(w[i]), ends[i + n - 1]
+                gone[lo:hi] = b"\1" * (hi - lo)
+        out.append(bytes(b for b, g in zip(t, gone, strict=True) if not g))
+    return out
+
+
+@pytest.mark.parametrize("settings", [{"passage_words": 51}, {"passage_words": 6, "length": 90, "key": 16, "piece": 8, "shard_contexts": 9}])
+def test_removed_passages_equal_counting_all_passages(spark, settings):
+    rng = random.Random(6)
+    short = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 2) for _ in range(n)) for n in (50, 51, 60)]
+    rows = corpus() + [(2000 + 10 * k + i, f"{i} begins\n{s} {i} ends ÄÖ") for k, s in enumerate(short) for i in range(2)]
+    rows += [(3000, "other white space " + short[1].replace(" ", "\n\t", 3)), (3001, "other case " + short[0].upper())]
+    got = without_repeats(documents(spark, rows), workspace(spark), **settings).collect()
+    want = brute_passages([(t or "").encode() for _, t in rows], settings.get("length", 400), settings["passage_words"])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted([(r["doc_id"], bytes(r["_kept"])) for r in got], key=key) == sorted(
+        [(i, w) for (i, _), w in zip(rows, want, strict=True)], key=key)
+
+
+def test_a_short_passage_of_51_words_goes_and_one_of_50_stays(spark):
+    rng = random.Random(7)
+    for n, gone in ((51, True), (50, False)):
+        passage = " ".join(rng.choice("abcdefghijkl") for _ in range(n))  # about 100 bytes
+        rows = [(i, f"document {i} {passage} {i} goes on") for i in range(2)]
+        got = without_repeats(documents(spark, rows), workspace(spark), passage_words=51).collect()
+        assert [passage.encode() not in bytes(r["_kept"]) for r in got] == [gone] * 2
+
+
+def test_words_covered_in_part_stay():
+    text = b" one two\n three"
+    assert [len(x) for x in word_bytes([text, b"", b"a"])] == [24, 0, 8]
+    assert passage_spans(text, [(0, 16), (3, 21), (9, 20)]) == [(1, 8), (5, 8)]
