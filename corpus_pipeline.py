@@ -41,14 +41,27 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of every group of near duplicates."""
+    """Keep exactly one row of every group of near duplicates; texts without words are in no group.
+
+    It is the first by id, null ids last, then by text key; of equal rows it is the first as stored.
+    """
     work = Workspace(spark, "pipeline-minhash")
-    going = work.save(near_duplicates(docs, work).where("not kept").select(
-        F.col("doc_id").alias("gone_id"), F.col("t1").alias("gone_1"), F.col("t2").alias("gone_2")).distinct(), "going")
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "t1", "t2")
+    # aggregates are written down before a join, so that the join can split the rows of a hot key
+    members = work.save(near_duplicates(docs, work).where("component is not null").groupBy("component", "doc_id", "t1", "t2").agg(
+        F.count(F.lit(1)).alias("n")), "row_keys")
+    first = work.save(members.groupBy("component").agg(F.min(place).alias("first")), "first_keys")
+    judged = work.save(members.join(first, "component").select(
+        F.col("doc_id").alias("own_id"), F.col("t1").alias("own_1"), F.col("t2").alias("own_2"), (place == F.col("first")).alias("stays"), "n",
+    ).where("not stays or n > 1"), "judged")
     rows, names, back = veiled(docs)
     keyed = rows.select("*", *text_key(names["text"]))
-    same = F.col(names["doc_id"]).eqNullSafe(F.col("gone_id")) & (F.col("t1") == F.col("gone_1")) & (F.col("t2") == F.col("gone_2"))
-    return back(keyed.join(small_side(going), same, "left_anti"))
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("own_id")) & (F.col("t1") == F.col("own_1")) & (F.col("t2") == F.col("own_2"))
+    single = keyed.join(small_side(judged), same, "left_anti")
+    repeated = work.save(keyed.join(small_side(judged.where("stays")), same, "left_semi").withColumn(
+        "number", F.monotonically_increasing_id()), "repeated")
+    one = work.save(repeated.groupBy(names["doc_id"], "t1", "t2").agg(F.min("number").alias("number")).select("number"), "one")
+    return back(single.unionByName(repeated.join(small_side(one), "number", "left_semi").drop("number")))
 
 
 PASSAGE_WORDS = 51

@@ -277,7 +277,11 @@ def blocks(nodes: DataFrame, work: Workspace, name: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, text key (t1, t2), n_shingles, component_id (smallest id reachable), kept."""
+    """Per row: doc_id, text key (t1, t2), n_shingles, component (null for empty sets), component_id (smallest id reachable), kept.
+
+    ``component`` tells apart components without ids, and those that share an id. ``kept`` goes by ids
+    alone: it holds for every row that has its component's id.
+    """
     ship_package(docs.sparkSession)
     rows = work.save(described(docs, id_col, text_col), "rows")
     nodes = work.save(
@@ -318,11 +322,11 @@ def near_duplicates(docs: DataFrame, work: Workspace, id_col: str = "doc_id", te
     named = nodes.select("node", "s1", "s2", "first_id").join(final, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    found = work.save(named.join(least, "component").select("s1", "s2", "component_id"), "named")
+    found = work.save(named.join(least, "component").select("s1", "s2", "component", "component_id"), "named")
     full = rows.where("n_shingles > 0").join(found, ["s1", "s2"])
-    empty = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    return full.select("doc_id", "t1", "t2", "n_shingles", "component_id").unionByName(
-        empty.select("doc_id", "t1", "t2", "n_shingles", "component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    empty = rows.where("n_shingles = 0").withColumn("component", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id"))
+    return full.select("doc_id", "t1", "t2", "n_shingles", "component", "component_id").unionByName(
+        empty.select("doc_id", "t1", "t2", "n_shingles", "component", "component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 @query("op7_near_dup")
