@@ -27,17 +27,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored(docs, model, out="_quality").where("_quality >= 0.5").select(*docs.columns)
 
 
-def with_text(docs: DataFrame, changed: DataFrame, text: Column, lost: Column) -> DataFrame:
-    """The columns of ``docs`` with the new text; rows that lost all their words go."""
+def with_text(names: dict[str, str], changed: DataFrame, text: Column, lost: Column) -> DataFrame:
+    """The veiled columns with the new text; rows that lost all their words go."""
     rows = changed.select("*", text.alias("_text"), lost.alias("_lost")).where(~(F.col("_lost") & ~F.col("_text").rlike(r"\S")))
-    new = {"text": F.col("_text"), "n_chars": F.when(F.col("_lost"), F.char_length("_text").cast("long")).otherwise(F.col("n_chars"))}
-    return rows.select(*[new[c].alias(c) if c in new else c for c in docs.columns])
+    size = F.when(F.col("_lost"), F.char_length("_text").cast("long"))
+    new = {"text": lambda p: F.col("_text"), "n_chars": lambda p: size.otherwise(F.col(p))}
+    return rows.select(*[new[c](p).alias(p) if c in new else p for c, p in names.items()])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop every line that repeats an earlier one or is like it."""
-    kept = without_repeated_lines(docs, Workspace(spark, "pipeline-lines"))
-    return with_text(docs, kept, F.col("_kept").cast("string"), F.col("_n_dropped") > 0)
+    rows, names, back = veiled(docs)
+    kept = without_repeated_lines(rows, Workspace(spark, "pipeline-lines"), names["doc_id"], names["text"])
+    return back(with_text(names, kept, F.col("_kept").cast("string"), F.col("_n_dropped") > 0))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,9 +71,10 @@ PASSAGE_WORDS = 51
 
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove strings of 400 bytes, and passages of over 50 words, that also occur elsewhere; characters cut in two go wholly."""
-    kept = without_repeats(docs, Workspace(spark, "pipeline-suffixes"), passage_words=PASSAGE_WORDS)
+    rows, names, back = veiled(docs)
+    kept = without_repeats(rows, Workspace(spark, "pipeline-suffixes"), names["text"], passage_words=PASSAGE_WORDS)
     whole = F.pandas_udf(lambda s: s.map(lambda b: bytes(b).decode("utf-8", "ignore")), "string")
-    return with_text(docs, kept, whole("_kept"), F.col("_n_removed") > 0)
+    return back(with_text(names, kept, whole("_kept"), F.col("_n_removed") > 0))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

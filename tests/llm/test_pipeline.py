@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import corpus_pipeline
 import pytest
 from cases import corpus, documents
+from test_line_dedup import brute as brute_lines
 from test_near_dup import shingles
+from test_suffix_dedup import brute_passages
+
+from scoreloom.llm.bpe import VOCABULARY, encoder, vocabulary_path
+from scoreloom.llm.packing import CAPACITY, END_TOKEN
+
+CLASHING = "doc_id BIGINT, text STRING, n_chars BIGINT, t1 STRING, _kept INT, spans INT, number STRING, own_id INT"
 
 
 def groups(texts):
@@ -63,3 +71,76 @@ def test_a_source_loaded_twice_comes_out_once(spark):
 def test_near_duplicates_of_nothing(spark, rows):
     got = corpus_pipeline.near_duplicate(spark, documents(spark, rows), "").collect()
     assert [(r["doc_id"], r["text"]) for r in got] == rows
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, None if t is None else len(t), "x", 1, 2, "y", 3) for i, t in rows], CLASHING)
+
+
+def stored(spark, tmp_path, rows, labels):
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id BIGINT, quality INT").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def left(rows, texts):
+    """Rows with their new texts, empty for null; those that lost all their words are gone."""
+    new = [(i, n.decode("utf-8", "ignore")) for (i, _), n in zip(rows, texts, strict=True)]
+    return [b for a, b in zip(rows, new, strict=True) if (a[1] or "") == b[1] or b[1].split()]
+
+
+def after_lines(rows):
+    return left(rows, [kept for *_, kept in brute_lines(rows)])
+
+
+def after_near_duplicates(rows):
+    """For rows in which equal ids have equal texts."""
+    first = {}
+    group = groups([t for _, t in rows])
+    for k, ((i, _), g) in enumerate(zip(rows, group, strict=True)):
+        first[g] = min(first.get(g, (True, 0, k)), (i is None, i or 0, k))
+    return [r for k, (r, g) in enumerate(zip(rows, group, strict=True)) if g is None or first[g][2] == k]
+
+
+def after_suffixes(rows):
+    return left(rows, brute_passages([(t or "").encode() for _, t in rows], 400, corpus_pipeline.PASSAGE_WORDS))
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
+
+def shared_cases():
+    return [(i, t) for i, t in corpus() if t is None or len(t) < 5000]
+
+
+@pytest.mark.parametrize(("stage", "brute"), [(corpus_pipeline.lines, after_lines), (corpus_pipeline.suffixes, after_suffixes)])
+def test_stages_that_change_texts(spark, stage, brute):
+    rows = shared_cases()
+    got = stage(spark, table(spark, rows), "").collect()
+    assert in_order([(r["doc_id"], r["text"]) for r in got]) == in_order(brute(rows))
+    assert all((r["n_chars"] or 0) == len(r["text"]) for r in got)  # null stays null
+    assert {tuple(r)[3:] for r in got} == {("x", 1, 2, "y", 3)}
+
+
+def test_all_stages_in_a_row(spark, tmp_path):
+    rows = shared_cases()
+    # one label only: the classifier keeps all
+    got = corpus_pipeline.run(spark, stored(spark, tmp_path, rows, [(10 + 3 * i, 1) for i in range(20)])).collect()
+    encode, want = encoder(vocabulary_path(VOCABULARY), 1000), []
+    for i, text in after_suffixes(after_near_duplicates(after_lines(rows))):
+        ids = encode.ids((text or "").encode()) + END_TOKEN.to_bytes(4, "little")
+        want += [(i, k, zlib.crc32(ids[at : at + 4 * CAPACITY])) for k, at in enumerate(range(0, len(ids), 4 * CAPACITY))]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted([(r["doc_id"], r["piece"], r["ids_crc32"]) for r in got], key=key) == sorted(want, key=key)
+    used = {}
+    for r in got:
+        used[r["sequence_id"]] = used.get(r["sequence_id"], 0) + r["length"]
+    assert max(used.values()) <= CAPACITY
+
+
+def test_quality_drops_what_only_bad_labels_know_and_nothing_is_nothing(spark, tmp_path):
+    folder = stored(spark, tmp_path, [], [(i, 0) for i in range(100)])
+    rows = [(i, f"words of document {i}") for i in range(100)]
+    assert corpus_pipeline.quality(spark, table(spark, rows), folder).count() == 0
+    assert corpus_pipeline.run(spark, folder).count() == 0
