@@ -153,7 +153,7 @@ def members(source, block: int = BLOCK) -> Iterator[tuple[int, Iterator[bytes]]]
 
         def pieces(state: dict = state) -> Iterator[bytes]:
             unpack = zlib.decompressobj(31)
-            data = state["left"]
+            data, state["left"] = state["left"], b""  # of a broken member nothing is left
             while not unpack.eof:
                 if not data:
                     data = source.read(block)
