@@ -9,9 +9,10 @@ language has a node for every phrase, and the leaves below a node tell how often
 2. Suffixes, equal ones of a stretch of text already combined, are written down.
 3. Vertical partitioning: prefixes of two words are counted, rare ones go, and those with more suffixes than
    the memory budget are lengthened by a word, again and again. What is within the budget is the root of a
-   subtree; roots are dealt into groups whose suffixes fit the budget together.
-4. Every group is sorted and its subtrees are built alone, level by level down to the depth of ``LONGEST``;
-   the totals of the leaves below a node are its count.
+   subtree; roots are dealt into groups whose suffixes fit the budget together. Suffixes that end with
+   their prefix are in its count already and go no further.
+4. Every group is sorted and its subtrees are built alone, level by level below their roots down to the
+   depth of ``LONGEST``; the totals of the leaves below a node are its count.
 5. Counts of phrases and of their parts meet in joins; scores are whole-number quotients of decimals.
 
 Defined results: null texts are empty; a null language is ``und``; repeated rows count each; a text can be of
@@ -226,7 +227,7 @@ def suffixes(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
 
 
 def subtrees(least: int) -> Callable[[pa.Table], pa.Table]:
-    """Nodes of a group's subtrees, from their roots down, that are frequent."""
+    """Nodes of a group's subtrees, below their roots, that are frequent."""
     def run(rows: pa.Table) -> pa.Table:
         columns = [rows.column(w).to_numpy() for w in W]
         order = np.lexsort(columns[::-1])
@@ -235,7 +236,7 @@ def subtrees(least: int) -> Callable[[pa.Table], pa.Table]:
         for depth, new in enumerate(changes(columns), 1):
             first = np.flatnonzero(new)
             total = np.add.reduceat(n, first)  # of the leaves below
-            kept = (total >= least) & (columns[depth - 1][first] != 0) & (root[first] <= depth)
+            kept = (total >= least) & (columns[depth - 1][first] != 0) & (root[first] < depth)
             first, total = first[kept], total[kept]
             for j, c in enumerate(columns):
                 out[j].append(c[first] if j < depth else np.zeros(len(first), np.int64))
@@ -257,15 +258,16 @@ def phrase_nodes(found: DataFrame, work: Workspace, least: int = LEAST, budget:
     """All frequent phrases of two words and more with their counts, from stored suffixes."""
     open_rows, nodes, roots, held = found, [], [], []
     for depth in range(2, LONGEST + 1):
-        prefixes = work.save(open_rows.groupBy(*W[:depth]).agg(F.sum("n").alias("f"), F.count(F.lit(1)).alias("rows")).where(F.col("f") >= least), f"prefixes{depth}")
-        within = F.col("rows") <= budget
-        roots.append(prefixes.where(within).select(F.lit(depth).alias("root"), *W[:depth], *[F.lit(0).cast("long").alias(w) for w in W[depth:]], "rows"))
-        held.append(open_rows)
-        heavy = prefixes.where(~within)
-        nodes.append(padded_node(heavy, depth))
+        longer = F.col(W[depth]) != 0 if depth < LONGEST else F.lit(False)
+        prefixes = work.save(open_rows.groupBy(*W[:depth]).agg(F.sum("n").alias("f"), F.count_if(longer).alias("rows")).where(F.col("f") >= least), f"prefixes{depth}")
+        nodes.append(padded_node(prefixes, depth))
+        roots.append(prefixes.where(F.col("rows").between(1, budget)).select(
+            F.lit(depth).alias("root"), *W[:depth], *[F.lit(0).cast("long").alias(w) for w in W[depth:]], "rows"))
+        held.append(open_rows.where(longer))
+        heavy = prefixes.where(F.col("rows") > budget)
         if depth == LONGEST or heavy.isEmpty():
             break
-        open_rows = open_rows.where(F.col(W[depth]) != 0).join(small_side(heavy.select(*W[:depth])), W[:depth], "left_semi")
+        open_rows = held[-1].join(small_side(heavy.select(*W[:depth])), W[:depth], "left_semi")
     every = roots[0]
     for more in roots[1:]:
         every = every.unionByName(more)
