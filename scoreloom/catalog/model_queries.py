@@ -284,15 +284,31 @@ def q_fit_metadata(spark, sf):
     return R.fit_metadata(R.fit_ratings(model_input(spark, sf), BY), BY)
 
 
-@query("fit_balance", FACTS + """, sides as (
+SIDES = FACTS + """, sides as (
     select competition, home_team_id as team_id, regulation_home_goals as f, regulation_away_goals as a from facts where status = 'FINISHED'
     union all select competition, away_team_id, regulation_away_goals, regulation_home_goals from facts where status = 'FINISHED')
-  select competition, team_id, sum(f)::double as scored, sum(a)::double as conceded from sides group by all""")
+  select """
+BALANCE = "team_id, sum(f)::double as scored, sum(a)::double as conceded from sides group by all"
+
+
+@query("fit_balance", SIDES + "competition, " + BALANCE)
 def q_fit_balance(spark, sf):
     """At the optimum the fit's goals, with the ridge's share, equal those of the matches."""
     return R.fit_balance(model_input(spark, sf), BY)
 
 
+@query("fit_balance_in_passes", SIDES + "competition, " + BALANCE)
+def q_fit_balance_in_passes(spark, sf):
+    """The same, fitted by passes of joins and aggregates."""
+    return R.fit_balance(model_input(spark, sf), BY, solver="blocks")
+
+
+@query("fit_balance_one_field", SIDES + BALANCE)
+def q_fit_balance_one_field(spark, sf):
+    """All years as one competition, fitted by passes of joins and aggregates."""
+    return R.fit_balance(model_input(spark, sf), (), solver="blocks")
+
+
 @query("fit_counts", FACTS + """, ids as (
     select competition, home_team_id as id, match_id from facts where status = 'FINISHED'
     union all select competition, away_team_id, match_id from facts where status = 'FINISHED')

@@ -5,8 +5,9 @@ Poisson(exp(attack_away - defense_home)), with a ridge on attack and defence onl
 
 Matches are reduced to one row per (competition, home, away) once; nothing later reads them
 again. The caller names the solver, never the size of the data: "newton" solves every competition in
-one task and suits leagues and tournaments, whose pair rows fit a task; "blocks" takes passes of
-joins and aggregates in which no competition is ever held in one place.
+one task, suits leagues and tournaments and refuses competitions of more than ``NEWTON_TEAMS`` teams;
+"blocks" takes passes of joins and aggregates in which no competition is ever held in one place. A pass is
+one job: it writes its state to the shared folder, and the worst gradient is observed on the way.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,7 @@ from ..functions.poisson import goal_rates, outcome_probs
 from ..functions.scores import is_neutral, points_from_winner
 from ..operators.ranking import ranked
 from ..operators.reshape import match_sides
-from ..shared_store import ship_package
+from ..shared_store import Workspace, ship_package
 
 
 class FitError(Exception):
@@ -34,6 +35,7 @@ class FitError(Exception):
 
 
 TOLERANCE = 1e-7  # gradient entry over the goals behind it (or one)
+NEWTON_TEAMS = 2_000  # a dense system of twice as many unknowns, 128 MB, in one task
 NEWTON_STEPS = 12  # of an equation in one unknown, which is convex and increasing
 
 
@@ -281,6 +283,10 @@ def _fit(
     ends = sides.selectExpr(*by, "inline(array(struct(scorer as team_id), struct(conceder as team_id)))").distinct()
     counted = ends.groupBy(*by).agg(F.count(F.lit(1)).alias("_teams"))
     few = counted.where("_teams < 2").select(*by, F.lit("fewer than two teams").alias("reason"))
+    if solver == "newton":
+        crowded = counted.where(F.col("_teams") > NEWTON_TEAMS).limit(5).collect()
+        if crowded:
+            raise FitError(f"more than {NEWTON_TEAMS} teams, use the solver \"blocks\": " + ", ".join(str(r.asDict()) for r in crowded))
     usable = pairs.join(counted.where("_teams >= 2").select(*by), by, "left_semi")
     solve = {"newton": _fit_in_tasks, "blocks": _fit_in_blocks}[solver]
     fitted = materialise(solve(usable, by, ridge, tol, max_passes))
@@ -296,12 +302,17 @@ def _fit_in_blocks(pairs: DataFrame, by: list[str], ridge: float, tol: float, ma
         struct(conceder as team_id, 0L as scored, goals as conceded, 0L as home_scored, 0L as away_scored)))""").groupBy(*by, "team_id").agg(
         *[F.sum(c).alias(c) for c in ("scored", "conceded", "home_scored", "away_scored")])
     totals = per_team.groupBy(*by).agg(F.sum("home_scored").alias("home_total"), F.sum("away_scored").alias("away_total"))
-    state = materialise(per_team.join(totals, by).selectExpr(
+    work = Workspace(pairs.sparkSession, "fit")
+    sides = work.save(sides, "sides")
+    state = work.save(per_team.join(totals, by).selectExpr(
         *by, "team_id", "scored", "conceded", "0D as att", "0D as dfn", "0D as home_adv", "home_total", "away_total", "1D as gradient",
-        *[f"cast(null as double) as {k}_{x}_0" for k in "ur" for x in ("att", "dfn", "home")]))
-    for _ in range(max_passes):
-        state = materialise(_mixed(_pass(sides, state, by, ridge), state, by))
-        worst = state.agg(F.max("gradient")).first()[0]
+        *[f"cast(null as double) as {k}_{x}_0" for k in "ur" for x in ("att", "dfn", "home")]), "pass0")
+    for k in range(1, max_passes + 1):
+        seen = Observation()
+        moved = _mixed(_pass(sides, state, by, ridge), state, by)
+        state = work.save(moved.observe(seen, F.max("gradient").alias("worst")), f"pass{k}")
+        work.drop(f"pass{k - 1}")  # the new state is whole
+        worst = seen.get["worst"]
         if worst is None or worst <= tol:
             break
     sizes = pairs.groupBy(*by).agg(F.sum("n").alias("n_matches"))

@@ -46,6 +46,26 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place at once: written beside it, then renamed over what is there."""
+    fs, target = filesystem(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.new")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options
+    overwrite = spark._sc._gateway.new_array(options.Rename, 1)
+    overwrite[0] = options.Rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(beside), context.makeQualified(target), overwrite)
+
+
 BATCH_ROWS = 2000
 _shipped: set[str] = set()
 

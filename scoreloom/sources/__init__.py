@@ -1,6 +1,8 @@
 """Readers and writers."""
 
-from .archive import RowCountMismatch, archive_days, read_archive, write_archive
+from .archive import (
+    RowCountMismatch, archive_catalog, archive_days, read_archive, read_foreign_days, remove_old_loads, write_archive,
+)
 from .files import (
     read_csv_table, read_json_by_id, read_json_rows, read_statistics_csv, write_csv_table,
     write_json_list, write_json_object, write_mart, write_view,
@@ -9,7 +11,8 @@ from .payloads import match_rows, payload_row_count, read_payload, scorer_rows,
 from .run_log import read_runs, record_run
 
 __all__ = [
-    "RowCountMismatch", "archive_days", "match_rows", "payload_row_count", "read_archive",
+    "RowCountMismatch", "archive_catalog", "archive_days", "match_rows", "payload_row_count", "read_archive", "read_foreign_days",
+    "remove_old_loads",
     "read_csv_table", "read_json_by_id", "read_json_rows", "read_payload", "read_runs", "read_statistics_csv",
     "record_run", "scorer_rows", "standing_rows", "write_archive", "write_csv_table",
     "write_json_list", "write_json_object", "write_mart", "write_view",
