@@ -4,13 +4,13 @@ A text is cut into pieces at ``SEPARATORS`` and these into words at blanks, A-Z
 begins a suffix, cut off after ``LONGEST`` words or at the end of its piece. The tree of all suffixes of a
 language has a node for every phrase, and the leaves below a node tell how often it occurs.
 
-1. Words and pairs of words are counted. A phrase can be frequent only if all its words and pairs are,
+1. Prefixes of one word and of two are counted. A phrase can be frequent only if all its words and pairs are,
    so suffixes end where the next pair is not; bitmaps of fixed size tell most rare ones apart.
-2. Suffixes, equal ones of a stretch of text already combined, are written down.
-3. Vertical partitioning: prefixes of two words are counted, rare ones go, and those with more suffixes than
-   the memory budget are lengthened by a word, again and again. What is within the budget is the root of a
-   subtree; roots are dealt into groups whose suffixes fit the budget together. Suffixes that end with
-   their prefix are in its count already and go no further.
+2. Suffixes of three words and more, equal ones of a stretch of text already combined, are written down.
+3. Vertical partitioning: prefixes with more suffixes below them than the memory budget are lengthened by
+   a word, again and again, and those below which nothing can be frequent go. What is within the budget is the
+   root of a subtree; roots are dealt into groups whose suffixes fit the budget together. Suffixes that end
+   with their prefix are in its count already and go no further.
 4. Every group is sorted and its subtrees are built alone, level by level below their roots down to the
    depth of ``LONGEST``; the totals of the leaves below a node are its count.
 5. Counts of phrases and of their parts meet in joins; scores are whole-number quotients of decimals.
@@ -186,11 +186,20 @@ def pair_counts(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
             kept = frequent(key)
             at = np.flatnonzero(kept[:-1] & kept[1:] & (piece[:-1] == piece[1:]))
             at = at[at < own]
-            pair, n = np.unique(pair_keys(key[at], key[at + 1]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(n)], ["pair", "n"])
+            columns, n = combined([key[at], key[at + 1]])
+            yield pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in columns], pa.array(n)], [*W[:2], "n"])
         tidy()
 
-    return texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("f"))
+    return texts.mapInArrow(run, "w1 long, w2 long, n long").groupBy("w1", "w2").agg(F.sum("n").alias("f"))
+
+
+def with_pair_key(pairs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(w).to_numpy().view(np.uint64) for w in W[:2])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair_keys(a, b).view(np.int64))], [*batch.schema.names, "pair"])
+
+    return pairs.mapInArrow(run, "w1 long, w2 long, f long, pair long")
 
 
 def changes(columns: list[np.ndarray]) -> Iterator[np.ndarray]:
@@ -203,24 +212,29 @@ def changes(columns: list[np.ndarray]) -> Iterator[np.ndarray]:
         yield changed
 
 
+def combined(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sorted different rows, and how often each occurs."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    *_, new = changes(columns)
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.diff(np.append(first, len(order)))
+
+
 def suffixes(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
-    """Suffixes of two words and more, 0 after their end, with how often each occurs in a stretch of text."""
+    """Suffixes of three words and more, 0 after their end, with how often each occurs in a stretch of text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, piece, own in gathered(batches):
             link = np.zeros(len(key), bool)
             link[:-1] = (piece[:-1] == piece[1:]) & frequent(pair_keys(key[:-1], key[1:]))
-            at = np.flatnonzero(link[:own])
             padded, links = np.append(key, np.zeros(LONGEST, np.uint64)), np.append(link, np.zeros(LONGEST, bool))
-            columns, alive = [key[at], key[at + 1]], np.ones(len(at), bool)
-            for j in range(2, LONGEST):
+            at = np.flatnonzero(link[:own] & links[1 : own + 1])
+            columns, alive = [key[at], key[at + 1], key[at + 2]], np.ones(len(at), bool)
+            for j in range(3, LONGEST):
                 alive &= links[at + j - 1]
                 columns.append(np.where(alive, padded[at + j], np.uint64(0)))
-            order = np.lexsort(columns[::-1])
-            columns = [c[order] for c in columns]
-            *_, new = changes(columns)
-            first = np.flatnonzero(new)
-            n = np.diff(np.append(first, len(order)))
-            yield pa.RecordBatch.from_arrays([*[pa.array(c[first].view(np.int64)) for c in columns], pa.array(n)], [*W, "n"])
+            columns, n = combined(columns)
+            yield pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in columns], pa.array(n)], [*W, "n"])
         tidy()
 
     return texts.mapInArrow(run, ", ".join(f"{w} long" for w in W) + ", n long")
@@ -254,17 +268,20 @@ def padded_node(prefixes: DataFrame, depth: int) -> DataFrame:
     return prefixes.select(*W[:depth], *[F.lit(0).cast("long").alias(w) for w in W[depth:]], F.lit(depth).cast("int").alias("depth"), "f")
 
 
-def phrase_nodes(found: DataFrame, work: Workspace, least: int = LEAST, budget: int = BUDGET) -> DataFrame:
-    """All frequent phrases of two words and more with their counts, from stored suffixes."""
-    open_rows, nodes, roots, held = found, [], [], []
+def phrase_nodes(found: DataFrame, pairs: DataFrame, work: Workspace, least: int = LEAST, budget: int = BUDGET) -> DataFrame:
+    """All frequent phrases with their counts, from those of two words and from stored longer suffixes."""
+    open_rows, nodes, roots, held = found, [padded_node(pairs, 2)], [], []
     for depth in range(2, LONGEST + 1):
         longer = F.col(W[depth]) != 0 if depth < LONGEST else F.lit(False)
-        prefixes = work.save(open_rows.groupBy(*W[:depth]).agg(F.sum("n").alias("f"), F.count_if(longer).alias("rows")).where(F.col("f") >= least), f"prefixes{depth}")
-        nodes.append(padded_node(prefixes, depth))
-        roots.append(prefixes.where(F.col("rows").between(1, budget)).select(
+        prefixes = work.save(open_rows.groupBy(*W[:depth]).agg(
+            F.sum("n").alias("f"), F.coalesce(F.sum(F.when(longer, F.col("n"))), F.lit(0)).alias("below"), F.count_if(longer).alias("rows")), f"prefixes{depth}")
+        if depth > 2:
+            nodes.append(padded_node(prefixes.where(F.col("f") >= least), depth))
+        going = prefixes.where(F.col("below") >= least)
+        roots.append(going.where(F.col("rows") <= budget).select(
             F.lit(depth).alias("root"), *W[:depth], *[F.lit(0).cast("long").alias(w) for w in W[depth:]], "rows"))
         held.append(open_rows.where(longer))
-        heavy = prefixes.where(F.col("rows") > budget)
+        heavy = going.where(F.col("rows") > budget)
         if depth == LONGEST or heavy.isEmpty():
             break
         open_rows = held[-1].join(small_side(heavy.select(*W[:depth])), W[:depth], "left_semi")
@@ -327,9 +344,9 @@ def collocations(
     rows, different = words.agg(F.count(F.lit(1)), F.count_distinct("key")).first()
     if rows != different:
         raise ValueError("two frequent words have one hash; change the seed")
-    pairs = work.save(pair_counts(texts, KeyFilter(words, "key")).where(F.col("f") >= least), "pairs")
+    pairs = work.save(with_pair_key(pair_counts(texts, KeyFilter(words, "key")).where(F.col("f") >= least)), "pairs")
     found = work.save(suffixes(texts, KeyFilter(pairs, "pair")), "suffixes")
-    ranked = scored(phrase_nodes(found, work, least, budget), words, totals, work).withColumn(
+    ranked = scored(phrase_nodes(found, pairs, work, least, budget), words, totals, work).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")))
     return ranked.where(F.col("rank") <= top).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 

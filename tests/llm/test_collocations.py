@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 from cases import corpus, workspace
+from pyspark.sql import functions as F
 
 from scoreloom.llm import collocations as module
 from scoreloom.llm.collocations import STRETCH, collocations, gathered, phrase_nodes, stretches
@@ -118,13 +119,14 @@ def test_nodes_of_made_up_suffixes(spark):
     rng = random.Random(5)
     rows = [tuple(x[:k] + [0] * (5 - k)) + (rng.randint(1, 3),) for x, k in (([rng.randint(1, 3) for _ in range(5)], rng.randint(2, 5)) for _ in range(500))]
     stored = workspace(spark).save(spark.createDataFrame(rows, "w1 long, w2 long, w3 long, w4 long, w5 long, n long"), "made")
+    pairs = stored.groupBy("w1", "w2").agg(F.sum("n").alias("f")).where("f >= 4")
     want = Counter()
     for *w, n in rows:
         size = 5 - w.count(0)
         for k in range(2, size + 1):
             want[tuple(w[:k])] += n
     for budget in (1, 20, 10_000):
-        got = {tuple(r[:5])[: r["depth"]]: r["f"] for r in phrase_nodes(stored, workspace(spark), least=4, budget=budget).collect()}
+        got = {tuple(r[:5])[: r["depth"]]: r["f"] for r in phrase_nodes(stored.where("w3 <> 0"), pairs, workspace(spark), least=4, budget=budget).collect()}
         assert got == {k: v for k, v in want.items() if v >= 4}
 
 
