@@ -6,10 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ..operators.reshape import nest_rows
 from ..schemas import SCORER_ROW, ddl
 from ..shared_store import Workspace
 from ..sources import archive as A
-from .registry import query
+from ..sources import json_documents as J
+from .registry import query, table
 from .source_queries import SCORERS, raw_scorers
 
 FEED = "events"
@@ -72,3 +74,29 @@ def q_drifting_archive(spark, sf):
     days = [r[0] for r in rows.select("extraction_date").distinct().orderBy("extraction_date").collect()]  # names of folders
     found = A.read_foreign_days(spark, "scorers", root, [f"{base}/extraction_date={d.isoformat()}" for d in days])
     return found.select("extraction_date", F.col("player.id").alias("player_id"), "goals", "assists", "penalties")
+
+
+@query("json_array_round_trip", "select c_custkey, c_name, c_nationkey, case when c_acctbal < 0 then null else c_acctbal end as balance from customer")
+def q_json_array(spark, sf):
+    """Customers as one array, dearest first, written and read by many tasks."""
+    path = f"{Workspace(spark, 'array').root}/customers"
+    rows = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.when(~(F.col("c_acctbal") < 0), F.col("c_acctbal")).alias("balance"))
+    J.write_json_array(rows, path, [F.col("balance").desc_nulls_last(), F.col("c_custkey").asc()])
+    return J.read_json_array(spark, path, "c_custkey BIGINT, c_name STRING, c_nationkey INT, balance DOUBLE")
+
+
+@query("keyed_document_round_trip", """select o_orderkey::varchar as id, o_orderstatus as status, l_linenumber as number, l_partkey as part, l_quantity as quantity
+  from orders join lineitem on l_orderkey = o_orderkey""")
+def q_keyed_document(spark, sf):
+    """Orders with their nested lines as one file keyed by order, read back in ranges of bytes."""
+    root = Workspace(spark, "document").root
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").alias("number"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("status"))
+    nested = nest_rows(lines, ["l_orderkey"], ["number", "part", "quantity"], ["number", "part", "quantity"], "lines").join(orders, "l_orderkey")
+    J.write_json_by_key(nested, f"{root}/pieces", "l_orderkey")
+    J.joined(spark, f"{root}/pieces", f"{root}/orders.json")
+    read = J.read_json_by_id(
+        spark, f"{root}/orders.json", "lines ARRAY<STRUCT<number: INT, part: BIGINT, quantity: DOUBLE>>, status STRING", range_bytes=1 << 19)
+    return read.select("id", "value.status", F.explode("value.lines").alias("l")).select("id", "status", "l.*")

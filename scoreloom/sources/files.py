@@ -1,8 +1,8 @@
-"""Typed CSV tables, JSON documents and serving outputs."""
+"""Typed CSV tables, JSON arrays and serving outputs."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,37 +46,11 @@ def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
-def read_json_by_id(spark: SparkSession, path: str, value_schema: str) -> DataFrame:
-    """Files holding one JSON object keyed by id, as (id, value) rows."""
-    out = f"id STRING, value STRUCT<{value_schema.replace(' ARRAY', ': ARRAY', 1)}>"
-    if not _exists(spark, path):
-        return spark.createDataFrame([], out)
-    shape = T.MapType(T.StringType(), ddl(value_schema))
-    text = spark.read.text(path, wholetext=True)
-    parsed = text.select(F.from_json("value", shape, {"mode": "FAILFAST"}).alias("m"))
-    return parsed.select(F.explode("m").alias("id", "value"))
-
-
 def write_csv_table(df: DataFrame, path: str, key: str) -> None:
     """Key-sorted CSV with header; a serving-sized table leaves as one part file."""
     df.coalesce(1).sortWithinPartitions(key).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json_list(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    """Serving extract as JSON lines, NULL fields kept; extracts are top-k or aggregates."""
-    out = df.coalesce(1)
-    if order:
-        out = out.sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in order])
-    out.write.mode("overwrite").option("ignoreNullFields", False).json(path)
-
-
-def write_json_object(df: DataFrame, path: str) -> None:
-    """A one-row extract as one JSON object."""
-    if len(df.take(2)) > 1:
-        raise ValueError("an object extract has exactly one row")
-    write_json_list(df, path)
-
-
 def write_mart(df: DataFrame, name: str, path: str) -> None:
     """Rebuild a mart table after checking its enforced columns."""
     enforce_columns(df, mart(name), name).write.mode("overwrite").parquet(path)

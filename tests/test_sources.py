@@ -12,7 +12,7 @@ from scoreloom.schemas import EVENT_STATISTICS, archive_schema, mart, raw_rows
 from scoreloom.sources import (
     archive_days, match_rows, payload_row_count, read_archive, read_csv_table, read_json_by_id, read_payload,
     read_runs, read_statistics_csv, record_run, scorer_rows, standing_rows, write_archive, write_csv_table,
-    write_json_list, write_json_object, write_mart, write_view,
+    write_json_array, write_json_record, write_mart, write_view,
 )
 from scoreloom.sources.archive import read_foreign_days
 
@@ -158,11 +158,11 @@ def test_files(spark, tmp_path):
     lines = next((tmp_path / "sorted").glob("part-*")).read_text().splitlines()
     assert lines[0].startswith("team,") and lines[1].startswith("Abe")
     assert read_csv_table(spark, str(tmp_path / "absent.csv"), "a int").count() == 0
-    write_json_list(stats.select("team", F.lit(None).cast("int").alias("n")), str(tmp_path / "list"), ["team"])
-    docs = [json.loads(x) for x in next((tmp_path / "list").glob("part-*")).read_text().splitlines()]
+    write_json_array(stats.select("team", F.lit(None).cast("int").alias("n")), str(tmp_path / "list"), [F.col("team")])
+    docs = json.loads("".join(p.read_text() for p in sorted((tmp_path / "list").glob("part-*"))))
     assert docs == [{"team": "Abe", "n": None}, {"team": "Zed", "n": None}]
     with pytest.raises(ValueError):
-        write_json_object(stats, str(tmp_path / "object"))
+        write_json_record(stats, str(tmp_path / "object"))
     assert write_view(stats, "stats_view").count() == 2
     by_id = tmp_path / "by_id.json"
     by_id.write_text(json.dumps({"5": {"statistics": [{"groups": [{"statisticsItems": [{"name": "Total shots", "home": "4", "away": "2"}]}]}]}}))
