@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from ..shared_store import ship_package
 from .passing import tidy
@@ -31,6 +32,7 @@ from .registry import query, read
 VOCABULARY = "word_bpe_49k.json"
 REMEMBERED = 300_000  # chunks, and words, a worker keeps per generation; it changes speed only
 LAST = "</w>"
+ENDING = {bytes([b]) for b in b".,;:!?"}  # a pre-token each, behind letters
 
 
 def byte_symbols() -> list[str]:
@@ -47,15 +49,21 @@ class Generations(dict):
         super().__init__()
         self.compute, self.size, self.older = compute, size, {}
 
+    def has(self, key) -> bool:
+        return key in self or key in self.older
+
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 class FragmentEncoder:
@@ -64,52 +72,69 @@ class FragmentEncoder:
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        vocabulary = Tokenizer.from_file(path)
-        self.model = vocabulary.model
-        self.ids_of: dict[str, bytes] = {t: i.to_bytes(4, "little") for t, i in spec["model"]["vocab"].items()}
-        self.token_of = {int.from_bytes(i, "little"): t.encode("utf-8") for t, i in self.ids_of.items()}
+        merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
+        self.whole = Tokenizer(BPE(spec["model"]["vocab"], merges, end_of_word_suffix=LAST))  # of what ends a word
+        self.inner = Tokenizer(BPE(spec["model"]["vocab"], merges))  # of what does not
+        self.token_of = {i: t.encode("utf-8") for t, i in spec["model"]["vocab"].items()}
         self.token_of |= {t["id"]: t["content"].encode("utf-8") for t in spec["added_tokens"]}
-        self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(spec["model"]["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.pretokens = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
-        self.symbols = byte_symbols()
-        self.inside = inside_pairs(self.ids_of, self.symbols)
+        symbols = byte_symbols()
+        self.symbols = dict(enumerate(symbols))
+        self.symbols[32] = " "
+        self.certain = certain_cuts(spec["model"]["vocab"], symbols)
         self.chunks = Generations(self._chunk, remembered)
-        self.words = Generations(self._word, remembered)
+        self.words = Generations(lambda word: self._encoded([word])[0], remembered)
 
-    def _chunk(self, chunk: bytes) -> bytes:
+    def _words_of(self, chunk: bytes) -> list[str]:
+        if chunk.isalpha():  # ASCII letters are one pre-token
+            return [chunk.lower().decode()]
+        if chunk[-1:] in ENDING and chunk[:-1].isalpha():
+            return [chunk[:-1].lower().decode(), chunk[-1:].decode()]
         text = chunk.decode("utf-8", "replace")
         if text.isascii():
             text = text.lower()
         else:  # case is mapped character by character, without the final form of sigma
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return b"".join([self.words[w] for w in self.pretokens(text)])
-
-    def _word(self, word: str) -> bytes:
-        """Cut a pre-token where its neighbouring bytes are in no token together."""
-        codes, start, tokens = word.encode("utf-8"), 0, []
-        for at in range(1, len(codes)):
-            if codes[at - 1 : at + 1] not in self.inside:
-                tokens += self._merge([self.symbols[b] for b in codes[start:at]])
-                start = at
-        # the last fragment carries the end of the word, which is how the model takes a whole word
-        tokens += [t.value for t in self.model.tokenize("".join([self.symbols[b] for b in codes[start:]]))]
-        return b"".join([self.ids_of[t] for t in tokens])
-
-    def _merge(self, parts: list[str]) -> list[str]:
-        """Merge a fragment that does not end its word, lowest rank first."""
-        while len(parts) > 1:
-            best = min(zip(parts[:-1], parts[1:], strict=True), key=lambda p: self.rank.get(p, 1 << 30))
-            if best not in self.rank:
-                break
-            merged, i = [], 0
-            while i < len(parts):
-                both = tuple(parts[i : i + 2]) == best
-                merged.append("".join(best) if both else parts[i])
-                i += 1 + both
-            parts = merged
-        return parts
+        return self.pretokens(text)
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        return b"".join([self.words[w] for w in self._words_of(chunk)])
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Cut words where neighbouring bytes are in no token together, encode the fragments, and join their ids.
+
+        The last fragment carries the end of its word, which is how the model takes a whole word.
+        """
+        raw = " ".join(words).encode("utf-8")
+        codes, text = np.frombuffer(raw, np.uint8), raw.decode("latin-1").translate(self.symbols)
+        blank = codes == 32
+        cut = np.append(self.certain[codes[:-1], codes[1:]] & ~blank[:-1] & ~blank[1:], False)  # behind this byte
+        stop = np.append(np.flatnonzero(cut | np.append(blank[1:], False)) + 1, len(codes))
+        last = ~cut[stop - 1]
+        start = np.append(0, stop[:-1] + last[:-1])  # behind a blank, or at the cut
+        ids = np.zeros(len(stop), object)
+        for model, own in ((self.whole, np.flatnonzero(last)), (self.inner, np.flatnonzero(~last))):
+            ids[own] = fragment_ids(model, [text[a:b] for a, b in zip(start[own].tolist(), stop[own].tolist(), strict=True)])
+        ends = np.flatnonzero(last) + 1
+        return [b"".join(ids[a:b]) if b - a > 1 else ids[a] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Encode what is not remembered of the chunks, all their new words together."""
+        parts = {c: self._words_of(c) for c in chunks if not self.chunks.has(c)}
+        new = list({w for own in parts.values() for w in own if not self.words.has(w)})
+        if new:
+            values = dict(zip(new, self._encoded(new), strict=True))
+            for word, value in values.items():
+                self.words.put(word, value)
+            for chunk, own in parts.items():
+                self.chunks.put(chunk, b"".join([values[w] if w in values else self.words[w] for w in own]))
+
+    def many(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of many texts, whose new words are encoded together."""
+        self.learn({c for t in texts if b"<|" not in t for c in t.split()})
+        return [self.ids(t) for t in texts]
 
     def ids(self, text: bytes) -> bytes:
         chunks = self.chunks
@@ -128,15 +153,24 @@ class FragmentEncoder:
         return b" ".join(map(self.token_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def inside_pairs(vocab: Iterable[str], symbols: list[str]) -> set[bytes]:
-    """Pairs of bytes that are neighbours inside some token; any other pair is a certain cut."""
+def fragment_ids(model: Tokenizer, fragments: list[str]) -> list[bytes]:
+    if not fragments:
+        return []
+    found = model.encode(fragments, is_pretokenized=True, add_special_tokens=False)
+    held = np.array(found.ids, "<u4").tobytes()
+    ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(fragments)))).tolist()
+    return [held[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def certain_cuts(vocab: Iterable[str], symbols: list[str]) -> np.ndarray:
+    """Which pairs of bytes are never neighbours inside a token: between them a cut is certain."""
     byte_of = {s: b for b, s in enumerate(symbols)}
-    inside: set[bytes] = set()
+    certain = np.ones((256, 256), bool)
     for token in vocab:
         codes = [byte_of.get(s, -1) for s in token.removesuffix(LAST)]
         if -1 not in codes:
-            inside.update(bytes(codes[i : i + 2]) for i in range(len(codes) - 1))
-    return inside
+            certain[codes[:-1], codes[1:]] = False
+    return certain
 
 
 _encoders: dict[tuple[str, int], FragmentEncoder] = {}
@@ -170,7 +204,7 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [encode.ids(t) for t in part.column("text").to_pylist()]
+                ids = encode.many(part.column("text").to_pylist())
                 decoded = [encode.decode(x) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])

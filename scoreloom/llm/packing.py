@@ -27,6 +27,7 @@ from .bpe import REMEMBERED, VOCABULARY, encoder, forget_encoders, vocabulary_pa
 from .registry import query, read
 
 CAPACITY = 4096
+ENCODED_ROWS = 256  # texts whose new words are encoded together
 END_TOKEN = 1
 GROUP_ROWS = 20_000  # pieces packed together at the leaves
 MOST_ROWS = 200_000  # and at inner nodes of the tree at most
@@ -50,22 +51,24 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary_path(vocabulary), remembered)
-        for batch in batches:
-            who, piece, length, crc = [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = encode.ids(text) + end
-                for k, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    who.append(i)
-                    piece.append(k)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-            number = np.array(piece, np.int64)
-            columns = {
-                "doc_id": batch.column("doc_id").take(pa.array(who, pa.int64())), "piece": number.astype(np.int32), "start": number * capacity,
-                "length": np.array(length, np.int64), "ids_crc32": np.array(crc, np.int64),
-            }
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+        for whole in batches:
+            for at in range(0, whole.num_rows, ENCODED_ROWS):
+                batch = whole.slice(at, ENCODED_ROWS)
+                who, piece, length, crc = [], [], [], []
+                for i, ids in enumerate(encode.many(batch.column("text").to_pylist())):
+                    ids += end
+                    for k, first in enumerate(range(0, len(ids), width)):
+                        part = ids[first : first + width]
+                        who.append(i)
+                        piece.append(k)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
+                number = np.array(piece, np.int64)
+                columns = {
+                    "doc_id": batch.column("doc_id").take(pa.array(who, pa.int64())), "piece": number.astype(np.int32), "start": number * capacity,
+                    "length": np.array(length, np.int64), "ids_crc32": np.array(crc, np.int64),
+                }
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
         if forget:
             forget_encoders()
 
