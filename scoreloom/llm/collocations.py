@@ -44,7 +44,8 @@ TOP = 2000
 SEPARATORS, BLANKS = b".,;:!?\n\v\f\r", b" \t"
 NO_LANGUAGE = "und"
 STRETCH = 1 << 20  # bytes tokenised at a time
-GATHERED = 1 << 20  # words whose suffixes are combined before they leave a task
+GATHERED = 1 << 20  # words whose suffixes are combined at a time
+HELD_BYTES = 32 << 20  # of combined rows that a task holds before they leave it
 BUDGET = 400_000  # suffixes in a group of subtrees
 FILTER_BITS = 24
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -181,14 +182,15 @@ class KeyFilter:
 
 def pair_counts(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
     """How often pairs of words occur, at least those both of whose words are frequent."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for key, piece, own in gathered(batches):
             kept = frequent(key)
             at = np.flatnonzero(kept[:-1] & kept[1:] & (piece[:-1] == piece[1:]))
             at = at[at < own]
-            columns, n = combined([key[at], key[at + 1]])
-            yield pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in columns], pa.array(n)], [*W[:2], "n"])
-        tidy()
+            yield [key[at], key[at + 1], np.ones(len(at), np.int64)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from combining(pairs(batches), [*W[:2], "n"])
 
     return texts.mapInArrow(run, "w1 long, w2 long, n long").groupBy("w1", "w2").agg(F.sum("n").alias("f"))
 
@@ -212,18 +214,39 @@ def changes(columns: list[np.ndarray]) -> Iterator[np.ndarray]:
         yield changed
 
 
-def combined(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Sorted different rows, and how often each occurs."""
+def combined(columns: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
+    """Sorted different rows, and the sum of their counts as last column."""
     order = np.lexsort(columns[::-1])
     columns = [c[order] for c in columns]
     *_, new = changes(columns)
     first = np.flatnonzero(new)
-    return [c[first] for c in columns], np.diff(np.append(first, len(order)))
+    return [*[c[first] for c in columns], np.add.reduceat(n[order], first) if len(first) else n[:0]]
+
+
+def combining(parts: Iterator[list[np.ndarray]], names: list[str], most: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows with their counts, equal ones combined as far as the bytes a task may hold allow."""
+    held: list[np.ndarray] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in held], names)
+
+    for *columns, n in parts:
+        more = combined(columns, n)
+        if held:
+            *columns, n = [np.concatenate(both) for both in zip(held, more, strict=True)]
+            more = combined(columns, n)
+        held = more
+        if sum(c.nbytes for c in held) >= most:
+            yield batch()
+            held = []
+    if held:
+        yield batch()
+    tidy()
 
 
 def suffixes(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
     """Suffixes of three words and more, 0 after their end, with how often each occurs in a stretch of text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         for key, piece, own in gathered(batches):
             link = np.zeros(len(key), bool)
             link[:-1] = (piece[:-1] == piece[1:]) & frequent(pair_keys(key[:-1], key[1:]))
@@ -233,9 +256,10 @@ def suffixes(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
             for j in range(3, LONGEST):
                 alive &= links[at + j - 1]
                 columns.append(np.where(alive, padded[at + j], np.uint64(0)))
-            columns, n = combined(columns)
-            yield pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in columns], pa.array(n)], [*W, "n"])
-        tidy()
+            yield [*columns, np.ones(len(at), np.int64)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from combining(longer(batches), [*W, "n"])
 
     return texts.mapInArrow(run, ", ".join(f"{w} long" for w in W) + ", n long")
 

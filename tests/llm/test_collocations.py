@@ -10,7 +10,7 @@ from cases import corpus, workspace
 from pyspark.sql import functions as F
 
 from scoreloom.llm import collocations as module
-from scoreloom.llm.collocations import STRETCH, collocations, gathered, phrase_nodes, stretches
+from scoreloom.llm.collocations import STRETCH, collocations, combining, gathered, phrase_nodes, stretches
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -132,3 +132,18 @@ def test_nodes_of_made_up_suffixes(spark):
 
 def test_constants_name_every_separator():
     assert (module.LETTERS == 0).sum() == 12 and module.PARTS.sum() == 10
+
+
+def test_combining_loses_nothing_whatever_it_may_hold():
+    rng = np.random.default_rng(1)
+    parts = [[rng.integers(0, 5, 40), rng.integers(0, 5, 40), rng.integers(1, 4, 40)] for _ in range(7)] + [[np.zeros(0, np.int64)] * 3]
+    want = Counter()
+    for a, b, n in parts:
+        for x, y, k in zip(a.tolist(), b.tolist(), n.tolist(), strict=True):
+            want[x, y] += k
+    for most in (1, 500, 1 << 20):
+        got = Counter()
+        for batch in combining(iter(parts), ["a", "b", "n"], most):
+            for r in batch.to_pylist():
+                got[r["a"], r["b"]] += r["n"]
+        assert got == want
