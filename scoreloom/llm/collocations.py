@@ -45,7 +45,8 @@ SEPARATORS, BLANKS = b".,;:!?\n\v\f\r", b" \t"
 NO_LANGUAGE = "und"
 STRETCH = 1 << 20  # bytes tokenised at a time
 GATHERED = 1 << 20  # words whose suffixes are combined at a time
-HELD_BYTES = 32 << 20  # of combined rows that a task holds before they leave it
+HELD_BYTES = 16 << 20  # of combined suffixes that a task holds before they leave it
+SENT_ROWS = 1 << 16  # in one batch
 BUDGET = 400_000  # suffixes in a group of subtrees
 FILTER_BITS = 24
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -190,7 +191,7 @@ def pair_counts(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
             yield [key[at], key[at + 1], np.ones(len(at), np.int64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combining(pairs(batches), [*W[:2], "n"])
+        yield from combining(pairs(batches), [*W[:2], "n"], 0)  # few recur: holding them would cost memory for nothing
 
     return texts.mapInArrow(run, "w1 long, w2 long, n long").groupBy("w1", "w2").agg(F.sum("n").alias("f"))
 
@@ -227,8 +228,9 @@ def combining(parts: Iterator[list[np.ndarray]], names: list[str], most: int = H
     """Rows with their counts, equal ones combined as far as the bytes a task may hold allow."""
     held: list[np.ndarray] = []
 
-    def batch() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in held], names)
+    def sent() -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(held[0]), SENT_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + SENT_ROWS].view(np.int64)) for c in held], names)
 
     for *columns, n in parts:
         more = combined(columns, n)
@@ -237,10 +239,10 @@ def combining(parts: Iterator[list[np.ndarray]], names: list[str], most: int = H
             more = combined(columns, n)
         held = more
         if sum(c.nbytes for c in held) >= most:
-            yield batch()
+            yield from sent()
             held = []
     if held:
-        yield batch()
+        yield from sent()
     tidy()
 
 
