@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .shared_store import shared_folder
+
 
 @dataclass(frozen=True)
 class Edition:
@@ -50,10 +51,5 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="run-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

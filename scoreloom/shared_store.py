@@ -11,12 +11,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+def one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process; ``local-cluster`` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a private one only in local mode without it."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not one_machine(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     folder = tempfile.mkdtemp(prefix="run-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -79,7 +85,7 @@ def ship_package(spark: SparkSession) -> None:
     sc, batch = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
         spark.conf.set(batch, BATCH_ROWS)
-    if sc.applicationId in _shipped or sc.master.startswith("local["):
+    if sc.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent
     target = os.path.join(tempfile.mkdtemp(prefix="ship-"), f"{package.name}.zip")
