@@ -99,11 +99,11 @@ def q_involves(spark, sf):
 def _checks(spark, sf):
     rows = facts(spark, sf)
     return [
-        Q.Check("match_unique", Q.unique(rows, "match_id")),
-        Q.Check("kickoff_set", Q.not_null(rows, "kickoff_at")),
-        Q.Check("goals_set", Q.not_null(rows, "regulation_home_goals"), "warn"),
-        Q.Check("goals_range", Q.accepted_range(rows, "full_time_home_goals", 0, 5)),
-        Q.Check("regulation", Q.regulation_goals(rows)),
+        Q.TableCheck("match_unique", rows, key="match_id"),
+        Q.TableCheck("kickoff_set", rows, F.col("kickoff_at").isNull()),
+        Q.TableCheck("goals_set", rows, F.col("regulation_home_goals").isNull(), severity="warn"),
+        Q.TableCheck("goals_range", rows, Q.outside("full_time_home_goals", 0, 5)),
+        Q.TableCheck("regulation", rows, Q.regulation_fault()),
     ]
 
 

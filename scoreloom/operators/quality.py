@@ -45,12 +45,16 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[Any], where=Non
 
 def accepted_range(df: DataFrame, column: str, low=None, high=None, where=None) -> DataFrame:
     """Rows outside [low, high]; a NULL value counts as outside nothing."""
+    return _scope(df, where).where(outside(column, low, high))
+
+
+def outside(column: str, low=None, high=None) -> Column:
     bad = F.lit(False)
     if low is not None:
         bad = bad | (F.col(column) < low)
     if high is not None:
         bad = bad | (F.col(column) > high)
-    return _scope(df, where).where(bad)
+    return bad
 
 
 def relationships(
@@ -77,8 +81,8 @@ def within_window(df: DataFrame, column: str, start, end_day) -> DataFrame:
     return df.where((F.col(column) < first) | (F.col(column) >= past))
 
 
-def regulation_goals(df: DataFrame) -> DataFrame:
-    """Matches whose regulation goals are not the reported goals less shootout kicks."""
+def regulation_fault() -> Column:
+    """Whether regulation goals are not the reported goals less shootout kicks."""
     bad = F.lit(False)
     shootout = F.coalesce(F.col("duration"), F.lit("")) == V.SHOOTOUT
     for side in ("home", "away"):
@@ -86,7 +90,12 @@ def regulation_goals(df: DataFrame) -> DataFrame:
         kicks = F.coalesce(F.col(f"penalty_{side}_goals"), F.lit(0))
         expected = F.when(shootout, total - kicks).otherwise(total)
         bad = bad | (F.col(f"regulation_{side}_goals") != expected)
-    return df.where(F.col("full_time_home_goals").isNotNull() & bad)
+    return F.col("full_time_home_goals").isNotNull() & bad
+
+
+def regulation_goals(df: DataFrame) -> DataFrame:
+    """Matches whose regulation goals are not the reported goals less shootout kicks."""
+    return df.where(regulation_fault())
 
 
 def involves(df: DataFrame, subject_id: Any, home: str, away: str) -> DataFrame:
@@ -132,19 +141,19 @@ def contract_report(df: DataFrame, dataset: str) -> ContractReport:
     violations, must_fill = [], []
     for name, (kind, nullable) in core.items():
         if name not in have:
-            violations.append(f"missing core field '{name}'")
+            violations.append(f"'{name}' was not delivered")
             continue
         actual = have[name].simpleString().split("<")[0]
         if isinstance(have[name], T.NullType):
             actual = "void"
         if actual != kind and not (actual == "void" and nullable):
             want = kind + ("" if not nullable else " | null")
-            violations.append(f"field '{name}' has type {actual}, expected {want}")
+            violations.append(f"'{name}' is {actual} where {want} is agreed")
         elif not nullable:
             must_fill.append(name)
     if must_fill:
         nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in must_fill]).first()
-        violations += [f"field '{c}' is null in {nulls[c]} row(s)" for c in must_fill if nulls[c]]
+        violations += [f"'{c}' is null in {nulls[c]} row(s)" for c in must_fill if nulls[c]]
     unknown = tuple(sorted(set(have) - set(core)))
     return ContractReport(True, unknown, tuple(violations))
 
@@ -219,22 +228,82 @@ def freshness(
 
 @dataclass(frozen=True)
 class Check:
+    """Rows that must not be there: ``failing`` lists them, at the price of a pass of its own."""
+
     name: str
     failing: DataFrame
     severity: str = "error"
 
 
-def run_checks(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: failures and status, from a single job over all checks."""
-    parts = [
-        c.failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.name).alias("check"),
-            "failures",
-            F.when(F.col("failures") == 0, "pass").otherwise(c.severity).alias("status"),
-        )
-        for c in checks
-    ]
-    return reduce(DataFrame.unionByName, parts)
+@dataclass(frozen=True, eq=False)
+class TableCheck:
+    """A check as data, judged together with the others of its table.
+
+    One of: ``bad``, true for a failing row; ``key``, a column without repeats (NULL is no repeat);
+    ``rows``, the number of rows; ``values``, a column and all it may hold beside NULL (failures
+    are different other values).
+    """
+
+    name: str
+    table: DataFrame
+    bad: Column | None = None
+    key: str | None = None
+    rows: int | None = None
+    values: tuple[str, Sequence[Any]] | None = None
+    severity: str = "error"
+
+
+def _number(check: TableCheck) -> str:
+    return "_" + check.name
+
+
+def _together(table: DataFrame, checks: Sequence[TableCheck]) -> list[DataFrame]:
+    """One row with the failures of each check: a single pass, and one more for each further key or for values.
+
+    The pass groups by the first key, as its check has to, and carries the failing rows of the others along.
+    """
+    counted = [c for c in checks if c.bad is not None]
+    sized = [c for c in checks if c.rows is not None]
+    keys = [c for c in checks if c.key is not None]
+    listed = [c for c in checks if c.values is not None]
+    parts = []
+    total = {c: F.when(F.sum("_n") != c.rows, 1).otherwise(0) for c in sized}
+    if keys:
+        first = keys[0]
+        by_key = table.groupBy(F.col(first.key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n"), *[F.count_if(c.bad).alias(_number(c)) for c in counted])
+        parts.append((by_key, {first: F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1))}))
+    elif counted or sized:
+        parts.append((table.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(c.bad).alias(_number(c)) for c in counted]), {}))
+    if parts:
+        parts[0][1].update(total | {c: F.sum(_number(c)) for c in counted})
+    for c in keys[1:]:
+        repeats = table.groupBy(F.col(c.key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append((repeats, {c: F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1))}))
+    if listed:
+        parts.append((table, {c: F.count_distinct(F.when(~F.col(c.values[0]).isin(*c.values[1]), F.col(c.values[0]))) for c in listed}))
+    out = []
+    for rows, found in parts:
+        judged = [F.struct(F.lit(c.name).alias("check"), F.coalesce(F.col(_number(c)), F.lit(0)).cast("long").alias("failures"), F.lit(c.severity).alias("severity"))
+                  for c in found]
+        out.append(rows.agg(*[e.alias(_number(c)) for c, e in found.items()]).select(F.inline(F.array(*judged))))
+    return out
+
+
+def run_checks(checks: Sequence[Check | TableCheck]) -> DataFrame:
+    """One row per check: failures and status. Checks of one table share a pass over it."""
+    tables: dict[int, list[TableCheck]] = {}
+    parts = []
+    for c in checks:
+        if isinstance(c, TableCheck):
+            tables.setdefault(id(c.table), []).append(c)
+        else:
+            parts.append(c.failing.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.name).alias("check"), "failures", F.lit(c.severity).alias("severity")))
+    for own in tables.values():
+        parts += _together(own[0].table, own)
+    return reduce(DataFrame.unionByName, parts).select(
+        "check", "failures", F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity")).alias("status"))
 
 
 def passed_and_total(results: DataFrame) -> DataFrame:
@@ -246,45 +315,45 @@ def passed_and_total(results: DataFrame) -> DataFrame:
 
 def mart_checks(
     marts: Mapping[str, DataFrame], expected: Mapping[str, int], group_codes: Sequence[str]
-) -> list[Check]:
+) -> list[Check | TableCheck]:
     """The standing assertions over the star schema."""
     teams, facts = marts["dim_teams"], marts["fct_matches"]
     table, scorers = marts["fct_group_standings"], marts["mart_top_scorers"]
-    checks = [Check(f"{m}_rows", row_count_equals(marts[m], n)) for m, n in expected.items()]
-    for mart, key in (
-        (teams, "team_id"), (facts, "match_id"), (scorers, "rank"), (scorers, "player_id"),
-    ):
-        label = next(k for k, v in marts.items() if v is mart)
-        checks.append(Check(f"{label}_{key}_unique", unique(mart, key)))
-        checks.append(Check(f"{label}_{key}_not_null", not_null(mart, key)))
+    def label(mart: DataFrame) -> str:
+        return next(k for k, v in marts.items() if v is mart)
+
+    checks: list[Check | TableCheck] = [TableCheck(f"{m}_rows", marts[m], rows=n) for m, n in expected.items()]
+    for mart, key in ((teams, "team_id"), (facts, "match_id"), (scorers, "rank"), (scorers, "player_id")):
+        checks.append(TableCheck(f"{label(mart)}_{key}_unique", mart, key=key))
+        checks.append(TableCheck(f"{label(mart)}_{key}_not_null", mart, F.col(key).isNull()))
     checks += [
-        Check(f"fct_matches_{c}_range", accepted_range(facts, c, 0, 12))
+        TableCheck(f"fct_matches_{c}_range", facts, outside(c, 0, 12))
         for c in (
             "full_time_home_goals", "full_time_away_goals",
             "regulation_home_goals", "regulation_away_goals",
         )
     ]
     checks += [
-        Check("fct_matches_kickoff_not_null", not_null(facts, "kickoff_at")),
-        Check("fct_matches_winner", accepted_values(facts, "winner", V.WINNERS)),
-        Check("fct_matches_stage", accepted_values(facts, "stage", V.STAGES)),
-        Check("fct_matches_status", accepted_values(facts, "status", V.STATUSES)),
-        Check("fct_matches_regulation", regulation_goals(facts)),
+        TableCheck("fct_matches_kickoff_not_null", facts, F.col("kickoff_at").isNull()),
+        TableCheck("fct_matches_winner", facts, values=("winner", V.WINNERS)),
+        TableCheck("fct_matches_stage", facts, values=("stage", V.STAGES)),
+        TableCheck("fct_matches_status", facts, values=("status", V.STATUSES)),
+        TableCheck("fct_matches_regulation", facts, regulation_fault()),
         Check("fct_matches_home_team", relationships(facts, "home_team_id", teams, "team_id")),
         Check("fct_matches_away_team", relationships(facts, "away_team_id", teams, "team_id")),
         Check("standings_key", unique(table, ["group_code", "team_id"])),
         Check("standings_team", relationships(table, "team_id", teams, "team_id")),
-        Check("standings_group", accepted_values(table, "group_code", group_codes)),
-        Check("standings_position", accepted_values(table, "position", (1, 2, 3, 4))),
-        Check("standings_points", accepted_range(table, "points", 0, 9)),
+        TableCheck("standings_group", table, values=("group_code", group_codes)),
+        TableCheck("standings_position", table, values=("position", (1, 2, 3, 4))),
+        TableCheck("standings_points", table, outside("points", 0, 9)),
         Check("scorers_team", relationships(scorers, "team_id", teams, "team_id")),
-        Check("scorers_goals_not_null", not_null(scorers, "goals")),
+        TableCheck("scorers_goals_not_null", scorers, F.col("goals").isNull()),
     ]
     if "mart_edition_comparison" in marts:
         editions = marts["mart_edition_comparison"]
         checks += [
-            Check("editions_year", unique(editions, "year")),
-            Check("editions_rate", accepted_range(editions, "goals_per_match", 1.5, 6.0)),
-            Check("editions_rank", unique(editions, "goals_per_match_rank")),
+            TableCheck("editions_year", editions, key="year"),
+            TableCheck("editions_rate", editions, outside("goals_per_match", 1.5, 6.0)),
+            TableCheck("editions_rank", editions, key="goals_per_match_rank"),
         ]
     return checks

@@ -128,3 +128,28 @@ def test_metadata_and_output_contract(spark):
     assert Q.output_contract(df, ["id", "x"], "d") == ["d: missing column 'x'"]
     assert Q.output_contract(df.where("false"), ["id"], "d") == ["d: empty"]
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_checks_of_a_table_share_a_pass_and_equal_those_apart(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", None), (None, "c", 500), (None, "c", 7), (2, None, 8)], "k INT, s STRING, v INT")
+    other = spark.createDataFrame([(1,), (1,), (1,)], "k INT")
+    together = [
+        Q.TableCheck("unique", df, key="k"), Q.TableCheck("null", df, F.col("v").isNull(), severity="warn"),
+        Q.TableCheck("range", df, Q.outside("v", 0, 99)), Q.TableCheck("rows", df, rows=5), Q.TableCheck("wrong_rows", df, rows=4),
+        Q.TableCheck("values", df, values=("s", ("a", "x"))), Q.TableCheck("second_key", df, key="s"), Q.TableCheck("other_rows", other, rows=3),
+        Q.TableCheck("other_key", other, key="k"), Q.TableCheck("empty", df.limit(0), F.col("v") > 0), Q.TableCheck("empty_key", df.limit(0), key="k"),
+    ]
+    apart = [
+        Q.Check("unique", Q.unique(df, "k")), Q.Check("null", Q.not_null(df, "v"), "warn"), Q.Check("range", Q.accepted_range(df, "v", 0, 99)),
+        Q.Check("rows", Q.row_count_equals(df, 5)), Q.Check("wrong_rows", Q.row_count_equals(df, 4)), Q.Check("values", Q.accepted_values(df, "s", ("a", "x"))),
+        Q.Check("second_key", Q.unique(df, "s")), Q.Check("other_rows", Q.row_count_equals(other, 3)), Q.Check("other_key", Q.unique(other, "k")),
+        Q.Check("empty", df.limit(0)), Q.Check("empty_key", Q.unique(df.limit(0), "k")),
+    ]
+    assert sorted(map(tuple, Q.run_checks(together).collect())) == sorted(map(tuple, Q.run_checks(apart).collect()))
+
+
+def test_checks_of_one_key_read_the_table_once(spark, tmp_path):
+    spark.range(10).selectExpr("id as k", "id % 3 as v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = Q.run_checks([Q.TableCheck("key", df, key="k"), *[Q.TableCheck(f"v{i}", df, F.col("v") == i) for i in range(5)]])
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
