@@ -158,6 +158,7 @@ def alike_to_earlier(distinct: DataFrame, texts: DataFrame, work: Workspace) ->
                 nodes += [w["node"] for w in asked]
                 found += [lines[w["line"]] for w in asked]
             yield pd.DataFrame({"node": np.array(nodes, np.int64), "content": found})
+        tidy()
 
     fetched = texts.select("t1", "t2", "content").join(small_side(wanted, "wanted"), ["t1", "t2"]).select("content", "wanted").mapInPandas(
         fetch, "node long, content binary")
@@ -169,6 +170,7 @@ def alike_to_earlier(distinct: DataFrame, texts: DataFrame, work: Workspace) ->
             for part in chunks(everything):
                 of, place, key = variants(everything[part])
                 yield pd.DataFrame({"node": node[part][of], "place": place.astype(np.int32), "v": key.view(np.int64)})
+        tidy()
 
     emitted = work.save(lines.mapInPandas(emit, "node long, place int, v long"), "variants")
     by_place = emitted.groupBy("v", "place").agg(F.min("node").alias("alone"), F.count(F.lit(1)).alias("n"))
@@ -183,6 +185,7 @@ def alike_to_earlier(distinct: DataFrame, texts: DataFrame, work: Workspace) ->
         for batch in batches:
             ok = [within_one(plain_words(a), plain_words(b)) for a, b in zip(batch["content"], batch["other"], strict=True)]
             yield batch[["node"]][ok]
+        tidy()
 
     other = lines.select(F.col("node").alias("earlier"), F.col("content").alias("other"))
     verified = links.join(lines, "node").join(other, "earlier").mapInPandas(verify, "node long").distinct()
@@ -223,6 +226,7 @@ def without_repeated_lines(docs: DataFrame, work: Workspace, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names.values()], pa.array(kept, pa.binary()), pa.array(count, pa.int64()), pa.array(gone, pa.int64())],
                 [*names.values(), *new])
+        tidy()
 
     return back(joined.mapInArrow(run, schema), *new)
 
