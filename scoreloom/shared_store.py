@@ -73,18 +73,22 @@ def replace_file(spark: SparkSession, path: str, text: str) -> None:
 
 
 BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application, so that workers can import it.
 
-    Rows that workers take are texts of some KB, so batches are kept to ``BATCH_ROWS`` of them unless
-    the session asks for fewer.
+    Rows that workers take are texts, some of them very long, so batches are kept to ``BATCH_ROWS`` and
+    ``BATCH_BYTES`` unless the session asks for less.
     """
-    sc, batch = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
-        spark.conf.set(batch, BATCH_ROWS)
+    sc = spark.sparkContext
+    for kind, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{kind}"
+        asked = spark.conf.get(name)
+        if not asked.isdigit() or not 0 < int(asked) <= most:
+            spark.conf.set(name, most)
     if sc.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent
