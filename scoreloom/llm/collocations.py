@@ -8,9 +8,9 @@ language has a node for every phrase, and the leaves below a node tell how often
    so suffixes end where the next pair is not; bitmaps of fixed size tell most rare ones apart.
 2. Suffixes of three words and more, equal ones of a stretch of text already combined, are written down.
 3. Vertical partitioning: prefixes with more suffixes below them than the memory budget are lengthened by
-   a word, again and again, and those below which nothing can be frequent go. What is within the budget is the
-   root of a subtree; roots are dealt into groups whose suffixes fit the budget together. Suffixes that end
-   with their prefix are in its count already and go no further.
+   a word, again and again. What is within the budget is the root of a subtree; roots are dealt by hash into
+   as many groups as the budget asks for. Suffixes that end with their prefix are in its count already and go
+   no further.
 4. Every group is sorted and its subtrees are built alone, level by level below their roots down to the
    depth of ``LONGEST``; the totals of the leaves below a node are its count.
 5. Counts of phrases and of their parts meet in joins; scores are whole-number quotients of decimals.
@@ -296,34 +296,33 @@ def padded_node(prefixes: DataFrame, depth: int) -> DataFrame:
 
 def phrase_nodes(found: DataFrame, pairs: DataFrame, work: Workspace, least: int = LEAST, budget: int = BUDGET) -> DataFrame:
     """All frequent phrases with their counts, from those of two words and from stored longer suffixes."""
-    open_rows, nodes, roots, held = found, [padded_node(pairs, 2)], [], []
+    open_rows, nodes, dealt, roots = found, [padded_node(pairs, 2)], [], []
     for depth in range(2, LONGEST + 1):
         longer = F.col(W[depth]) != 0 if depth < LONGEST else F.lit(False)
-        prefixes = work.save(open_rows.groupBy(*W[:depth]).agg(
-            F.sum("n").alias("f"), F.coalesce(F.sum(F.when(longer, F.col("n"))), F.lit(0)).alias("below"), F.count_if(longer).alias("rows")), f"prefixes{depth}")
+        prefixes = work.save(open_rows.groupBy(*W[:depth]).agg(F.sum("n").alias("f"), F.count_if(longer).alias("rows")), f"prefixes{depth}")
         if depth > 2:
             nodes.append(padded_node(prefixes.where(F.col("f") >= least), depth))
-        going = prefixes.where(F.col("below") >= least)
-        roots.append(going.where(F.col("rows") <= budget).select(
-            F.lit(depth).alias("root"), *W[:depth], *[F.lit(0).cast("long").alias(w) for w in W[depth:]], "rows"))
-        held.append(open_rows.where(longer))
-        heavy = going.where(F.col("rows") > budget)
+        within, heavy = prefixes.where(F.col("rows").between(1, budget)), prefixes.where(F.col("rows") > budget)
+        roots.append(within.select(F.lit(depth).alias("root"), *W[:depth], *[F.lit(0).cast("long").alias(w) for w in W[depth:]], "rows"))
+        going = open_rows.where(longer)
         if depth == LONGEST or heavy.isEmpty():
+            dealt.append(going)
             break
-        open_rows = held[-1].join(small_side(heavy.select(*W[:depth])), W[:depth], "left_semi")
+        lengthened = small_side(heavy.select(*W[:depth]))
+        dealt.append(going.join(lengthened, W[:depth], "left_anti"))
+        open_rows = going.join(lengthened, W[:depth], "left_semi")
     every = roots[0]
     for more in roots[1:]:
         every = every.unionByName(more)
     total = every.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    cells = max(1, -(-total // (8 * budget)))
-    own = F.xxhash64("root", *W)
-    running = F.sum("rows").over(Window.partitionBy("cell").orderBy("mark", "root", *W))
-    grouped = work.save(every.withColumn("mark", own).withColumn("cell", F.pmod(F.shiftright("mark", 8), F.lit(cells))).withColumn(
-        "grp", F.col("cell") * (1 << 20) + F.floor((running - F.col("rows")) / budget)).drop("mark", "cell", "rows"), "groups")
-    for at, rows in enumerate(held):
-        depth = at + 2
-        dealt = rows.join(small_side(grouped.where(F.col("root") == depth).select("grp", "root", *W[:depth])), W[:depth])
-        nodes.append(dealt.select("grp", "root", *W, "n").groupBy("grp").applyInArrow(
+    # no root has more suffixes than the budget, so that groups of half as many on average stay near it
+    groups = max(1, -(-2 * total // budget))
+
+    def group(depth: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(depth), *W[:depth]), F.lit(groups)).alias("grp")
+
+    for depth, rows in enumerate(dealt, 2):
+        nodes.append(rows.select(group(depth), F.lit(depth).alias("root"), *W, "n").groupBy("grp").applyInArrow(
             subtrees(least), ", ".join(f"{w} long" for w in W) + ", depth int, f long").select(*NODE))
     whole = nodes[0]
     for more in nodes[1:]:
