@@ -151,6 +151,19 @@ def q_title_odds(spark, sf):
     return B.title_odds(advance(best), best.join(teams(spark, sf), "team_id"), BY).drop("reach")
 
 
+@query("title_progression", DISTRIBUTIONS + """, ranked as (
+    select competition, team_id, p, cast(row_number() over (partition by competition order by p desc, team_id) as integer) as title_rank from dist3),
+  levels as (select r.*, unnest([1.0::double, d0.p, d0.p, d1.p, d2.p, r.p]) as probability, unnest(range(6)) as k
+    from ranked r join dist0 d0 using (competition, team_id) join dist1 d1 using (competition, team_id) join dist2 d2 using (competition, team_id)
+    where title_rank <= 12)
+  select competition, team_id, team_name, title_rank, cast(k as integer) as level_order,
+    (['Entrée', '8es', 'Quarts', 'Demies', 'Finale', 'Titre'])[k + 1] as level, round(probability, 3) as probability
+  from levels join teams using (team_id)""")
+def q_title_progression(spark, sf):
+    best = seeds(spark, sf)
+    return B.title_progression(B.title_odds(advance(best), best.join(teams(spark, sf), "team_id"), BY), BY)
+
+
 @query("win_table", SEEDS + WIN + """ select a.competition, w.i as team_id, w.j as opponent_id, round(w.w, 6) as win_prob
   from win w join seeds a on a.team_id = w.i join seeds b on b.team_id = w.j and b.competition = a.competition""")
 def q_win_table(spark, sf):

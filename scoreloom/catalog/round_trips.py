@@ -6,13 +6,19 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ..operators.quality import run_checks
 from ..operators.reshape import nest_rows
+from ..plans import extracts as X
+from ..plans.staging import stage_matches
 from ..schemas import SCORER_ROW, ddl
 from ..shared_store import Workspace
 from ..sources import archive as A
 from ..sources import json_documents as J
+from ..sources.run_log import split_runs
+from .contests import raw_matches, teams
+from .quality_queries import CHECKS, _checks
 from .registry import query, table
-from .source_queries import SCORERS, raw_scorers
+from .source_queries import SCORERS, raw_scorers, runs
 
 FEED = "events"
 
@@ -100,3 +106,42 @@ def q_keyed_document(spark, sf):
     read = J.read_json_by_id(
         spark, f"{root}/orders.json", "lines ARRAY<STRUCT<number: INT, part: BIGINT, quantity: DOUBLE>>, status STRING", range_bytes=1 << 19)
     return read.select("id", "value.status", F.explode("value.lines").alias("l")).select("id", "status", "l.*")
+
+
+@query("metadata", CHECKS + """, runs as (
+    select user_id || '/' || cast(ts as date) as run_id, max(case when event_type = 'error' then 1 else 0 end) as failed from events group by 1)
+  select '2024-03-01T06:00:00Z' as generated_at,
+    (select strftime(max(snapshot_date)::timestamp, '%Y-%m-%dT%H:%M:%SZ') from facts) as last_ingestion, 'orders' as source, 'nations' as competition,
+    (select count(*) filter (where status in ('pass', 'success')) from results) as checks_passed, (select count(*) from results) as checks_total,
+    (select count(distinct cast(ts as date)) from events) as ingestion_days, (select n || '/' || n from (select count(*) as n from teams)) as reconciliation,
+    (select count(*) from runs) as runs_total, (select count(*) from runs where failed = 0) as runs_ok""")
+def q_metadata(spark, sf):
+    """The freshness banner: loads, runs, checks and the archive's days, which are counted without reading a column."""
+    path = f"{Workspace(spark, 'footprint').root}/events"
+    table(spark, sf, "events").select("event_id", F.col("ts").cast("date").alias("extraction_date")).write.partitionBy("extraction_date").parquet(path)
+    banner = X.metadata(
+        stage_matches(raw_matches(spark, sf)), teams(spark, sf), runs(spark, sf), run_checks(_checks(spark, sf)),
+        X.archive_footprint(spark.read.parquet(path)), "orders", "nations", datetime(2024, 3, 1, 6))
+    return banner.select(*[c for c in banner.columns if c != "ops"], "ops.*")
+
+
+@query("archive_footprint", "select count(distinct cast(ts as date)) as ingestion_days, count(*) as archived_rows from events")
+def q_archive_footprint(spark, sf):
+    path = f"{Workspace(spark, 'footprint').root}/events"
+    table(spark, sf, "events").select("event_id", F.col("ts").cast("date").alias("extraction_date")).write.partitionBy("extraction_date").parquet(path)
+    return X.archive_footprint(spark.read.parquet(path))
+
+
+@query("run_log_scan", """select case when event_type = 'error' then null else event_type end as stage,
+    cast(sum(event_id % 7) as bigint) as rows, count(*) as lines, event_type = 'error' as malformed from events where event_type <> 'view' group by all""")
+def q_run_log_scan(spark, sf):
+    """A log with planted faults: lines of errors are cut short, those of views are blank."""
+    path = f"{Workspace(spark, 'log').root}/runs"
+    kind = F.col("event_type")
+    record = F.to_json(F.struct(F.col("event_id").cast("string").alias("run_id"), kind.alias("stage"), (F.col("event_id") % 7).alias("rows"), F.lit("ok").alias("status")))
+    line = F.when(kind == "view", F.lit("  ")).when(kind == "error", F.concat(F.lit('{"rows": '), (F.col("event_id") % 7).cast("string"), F.lit(', "run'))).otherwise(record)
+    table(spark, sf, "events").select(line.alias("value")).write.text(path)
+    good, bad = split_runs(spark, path)
+    cut = bad.select(F.lit(None).cast("string").alias("stage"), F.regexp_extract("line", r"(\d+)", 1).cast("long").alias("rows"), F.lit(True).alias("malformed"))
+    every = good.select("stage", "rows", F.lit(False).alias("malformed")).unionByName(cut)
+    return every.groupBy("stage", "malformed").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("lines"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -88,3 +88,19 @@ def chronological(
 ) -> DataFrame:
     """Sequence number of every event of an entity; an entity may hold most of the rows."""
     return ranked(df, order, out, by=entity)
+
+
+def lagged(df: DataFrame, order: Sequence[Column], values: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows with values of the row before them within ``by``, new name -> column, for groups of any size.
+
+    Rows are numbered over the cluster and meet their predecessor by number, so no task holds a group.
+    ``order`` must be total within a group; the first row of a group has NULLs.
+    """
+    by = list(by)
+    numbered = materialise(ranked(df, order, "_n", by))
+    before = numbered.select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], (F.col("_n") + 1).alias("_before"), *[F.col(c).alias(new) for new, c in values.items()])
+    same = F.col("_n") == F.col("_before")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return numbered.join(before, same, "left").select(*df.columns, *values)

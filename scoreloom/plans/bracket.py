@@ -188,3 +188,10 @@ def title_odds(advance: DataFrame, teams: DataFrame, by: Sequence[str], k: int =
         "title_prob": F.round("title_prob", 4),
         "reach": F.transform("reach", lambda x: F.round(x, 3)),
     })
+
+
+def title_progression(odds: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Level by level, how likely the listed teams get there: from ``title_odds``, one row per team and level."""
+    names = F.array(*[F.lit(x) for x in V.REACH_LEVELS])
+    levels = odds.select(*by, "team_id", "team_name", "title_rank", F.posexplode("reach").alias("level_order", "probability"))
+    return levels.select(*by, "team_id", "team_name", "title_rank", "level_order", F.get(names, F.col("level_order")).alias("level"), "probability")

@@ -13,7 +13,7 @@ from .. import fixed_values as V
 from ..functions.display import iso_utc
 from ..functions.scores import decided_by_side, score_label
 from ..operators.quality import passed_and_total
-from ..operators.ranking import top_k, top_k_per_key
+from ..operators.ranking import lagged, top_k, top_k_per_key
 from ..operators.reshape import nest_rows, with_group_values
 
 
@@ -245,13 +245,13 @@ def run_summary(runs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def metadata(
     staged_matches: DataFrame, standings: DataFrame, runs: DataFrame, checks: DataFrame,
-    archive_day_count: DataFrame, source: str, competition: str, now: datetime,
+    footprint: DataFrame, source: str, competition: str, now: datetime,
 ) -> DataFrame:
     """Freshness banner: one row from five one-row aggregates."""
     newest = staged_matches.agg(F.max("extracted_at").alias("last_at"))
     teams = standings.agg(F.count(F.lit(1)).cast("string").alias("n"))
     parts = newest.crossJoin(teams).crossJoin(run_summary(runs))
-    parts = parts.crossJoin(passed_and_total(checks)).crossJoin(archive_day_count)
+    parts = parts.crossJoin(passed_and_total(checks)).crossJoin(footprint)
     return parts.select(
         iso_utc(F.lit(now)).alias("generated_at"), iso_utc(F.col("last_at")).alias("last_ingestion"),
         F.lit(source).alias("source"), F.lit(competition).alias("competition"),
@@ -348,7 +348,11 @@ def decided_teams(facts: DataFrame, by: Sequence[str] = (), *keep: str) -> DataF
 
 def previous_edition(editions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Every edition beside the one before it; one row per edition and competition."""
-    before = W.partitionBy(*by).orderBy("year")
-    return editions.withColumn("previous_year", F.lag("year").over(before)).withColumn(
-        "matches_delta", (F.col("matches") - F.lag("matches").over(before)).cast("long")
-    )
+    beside = lagged(editions, [F.col("year").asc_nulls_last()], {"previous_year": "year", "_matches": "matches"}, by)
+    return beside.withColumn("matches_delta", (F.col("matches") - F.col("_matches")).cast("long")).drop("_matches")
+
+
+def archive_footprint(archive: DataFrame) -> DataFrame:
+    """Days and rows of an archive partitioned by day, from partition names and footers alone: no column is read."""
+    per_day = archive.groupBy("extraction_date").agg(F.count(F.lit(1)).alias("rows"))
+    return per_day.agg(F.count(F.lit(1)).alias("ingestion_days"), F.coalesce(F.sum("rows"), F.lit(0)).alias("archived_rows"))

@@ -120,7 +120,6 @@ def mart_edition_comparison(history: DataFrame, facts: DataFrame, edition: Editi
 
 
 def with_edition_rank(editions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    order = W.partitionBy(*by).orderBy(
-        F.col("goals_per_match").desc_nulls_last(), F.col("year").asc_nulls_last()
-    )
-    return editions.withColumn("goals_per_match_rank", F.row_number().over(order).cast("int"))
+    """Rank by goals per match; numbered over the cluster, so no task holds all editions."""
+    order = [F.col("goals_per_match").desc_nulls_last(), F.col("year").asc_nulls_last()]
+    return ranked(editions, order, "goals_per_match_rank", by).withColumn("goals_per_match_rank", F.col("goals_per_match_rank").cast("int"))

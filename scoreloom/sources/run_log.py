@@ -40,20 +40,26 @@ def record_run(
     return record
 
 
+MALFORMED = "_malformed"
+
+
+def split_runs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The records of a log, and the lines that are none (column ``line``); blank lines are neither."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    shape = T.StructType([*ddl(RUN_LOG).fields, T.StructField(MALFORMED, T.StringType())])
+    parsed = lines.select("value", F.from_json("value", shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}).alias("r"))
+    broken = F.col("r").isNull() | F.col(f"r.{MALFORMED}").isNotNull()
+    return parsed.where(~broken).select("r.*").drop(MALFORMED), parsed.where(broken).select(F.col("value").alias("line"))
+
+
 def read_runs(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Records in order of time; blank and malformed lines are skipped.
+    """Records in order of time; blank and malformed lines are skipped, ``split_runs`` has the latter.
 
     ``limit`` keeps the last records. A missing log is an empty table.
     """
     if not _exists(spark, path):
         return spark.createDataFrame([], RUN_LOG)
-    bad = "_corrupt_record"
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    shape = T.StructType([*ddl(RUN_LOG).fields, T.StructField(bad, T.StringType())])
-    parsed = lines.select(
-        F.from_json("value", shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}).alias("r")
-    ).select("r.*")
-    runs = parsed.where(F.col(bad).isNull()).drop(bad)
+    runs = split_runs(spark, path)[0]
     if limit:
         newest = [F.col(c).desc_nulls_last() for c in ("recorded_at", "run_id", "stage", "dataset")]
         runs = runs.orderBy(*newest).limit(limit)

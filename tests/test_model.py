@@ -184,3 +184,16 @@ def test_names_fall_back_to_the_id(spark):
     df = league(spark).withColumn("home_team_name", F.when(F.col("home_team_id") != 1, F.col("home_team_name")))
     names = {r.team_id: r.team_name for r in R.team_names(df.where("away_team_id <> 1"), ["c"]).collect()}
     assert names[1] == "1" and names[2] == "T2"
+
+
+def test_newton_refuses_crowded_competitions_and_passes_leave_one_state(spark, monkeypatch):
+    monkeypatch.setattr(R, "NEWTON_TEAMS", 3)
+    with pytest.raises(R.FitError, match="blocks.*'c': 1"):
+        R.fit_ratings(league(spark), ["c"])
+    saved, dropped = [], []
+    keep, drop = R.Workspace.save, R.Workspace.drop
+    monkeypatch.setattr(R.Workspace, "save", lambda self, df, name: saved.append(name) or keep(self, df, name))
+    monkeypatch.setattr(R.Workspace, "drop", lambda self, *names: dropped.extend(names) or drop(self, *names))
+    fit = R.fit_ratings(league(spark), ["c"], solver="blocks").collect()
+    assert len(fit) == 4
+    assert [n for n in saved if n.startswith("pass") and n not in dropped] == [saved[-1]]

@@ -1,8 +1,9 @@
 import random
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scoreloom.operators.ranking import chronological, latest_per_key, ranked, top_k_per_key
+from scoreloom.operators.ranking import chronological, lagged, latest_per_key, ranked, top_k_per_key
 
 
 def test_rank_matches_sorting_with_a_hot_group(spark):
@@ -47,3 +48,16 @@ def test_top_k_and_sequence(spark):
     assert [r.e for r in chronological(df, ["who"], [F.col("at").asc()]).orderBy("step").collect()] == ["e1", "e3", "e5", "e9"]
     top = top_k_per_key(df, ["who"], [F.col("at").desc()], 2).collect()
     assert {(r.e, r["rank"]) for r in top} == {("e9", 1), ("e5", 2)}
+
+
+def test_lagged_equals_a_window_without_putting_a_group_in_one_task(spark):
+    rows = spark.range(200).selectExpr("id", "nullif(id % 3, 2) as g", "id * 37 % 200 as o", "nullif(id % 5, 0) as v")
+    window = W.partitionBy("g").orderBy("o")
+    want = rows.select("id", F.lag("v").over(window).alias("before"), F.lag("o").over(window).alias("place"))
+    got = lagged(rows, [F.col("o").asc()], {"before": "v", "place": "o"}, ["g"]).select("id", "before", "place")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    whole = lagged(rows, [F.col("o").asc()], {"before": "v"})
+    assert sorted(map(str, whole.select("id", "before").collect())) == sorted(
+        map(str, rows.select("id", F.lag("v").over(W.orderBy("o")).alias("before")).collect()))
+    assert "SinglePartition" not in whole._jdf.queryExecution().executedPlan().toString()
+    assert lagged(rows.limit(0), [F.col("o").asc()], {"before": "v"}).count() == 0

@@ -14,7 +14,8 @@ from scoreloom.sources import (
     read_runs, read_statistics_csv, record_run, scorer_rows, standing_rows, write_archive, write_csv_table,
     write_json_array, write_json_record, write_mart, write_view,
 )
-from scoreloom.sources.archive import read_foreign_days
+from scoreloom.sources.archive import RowCountMismatch, archive_catalog, publish, read_foreign_days, remove_old_loads
+from scoreloom.sources.run_log import split_runs
 
 AT = datetime(2026, 6, 20, 8, 30, tzinfo=UTC)
 
@@ -204,3 +205,38 @@ def test_malformed_timestamp_fails_loudly(spark):
     bad = rows(spark, {**match(1), "utcDate": "tomorrow"}).withColumns({"extracted_at": F.lit(AT), "extraction_date": F.lit(AT.date())})
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         stage_matches(bad).collect()
+
+
+def test_malformed_log_lines_are_kept_aside(spark, tmp_path):
+    good = {"run_id": "r", "stage": "s", "dataset": "d", "rows": 1, "duration_s": 0.5, "status": "ok"}
+    lines = [json.dumps(good), "", "   ", '{"run_id": "x", "rows": ', "not json", json.dumps({**good, "rows": "many"})]
+    (tmp_path / "runs.jsonl").write_text("\n".join(lines))
+    runs, malformed = split_runs(spark, str(tmp_path / "runs.jsonl"))
+    assert [r.run_id for r in runs.collect()] == ["r"]
+    assert sorted(r.line for r in malformed.collect()) == sorted(lines[3:])
+
+
+def test_a_failed_delivery_leaves_the_day_as_it_was(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    write_archive(rows(spark, match(1), match(2)), "matches", root, AT, "feed")
+    before = sorted(map(str, read_archive(spark, "matches", root).collect()))
+    load = f"extraction_date={AT.date().isoformat()}/load=broken"
+    rows(spark, match(3)).write.parquet(f"{root}/matches/{load}")
+    with pytest.raises(RowCountMismatch):
+        publish(spark, "matches", root, AT.date(), load, 5, AT)
+    assert sorted(map(str, read_archive(spark, "matches", root).collect())) == before
+    assert [(r.extraction_date, r.rows) for r in archive_catalog(spark, "matches", root).collect()] == [(AT.date(), 2)]
+    assert remove_old_loads(spark, "matches", root) == [load]
+    assert sorted(map(str, read_archive(spark, "matches", root).collect())) == before
+
+
+def test_plan_grows_with_layouts_and_not_with_days(spark, tmp_path):
+    base = tmp_path / "scorers"
+    for d in range(1, 7):
+        frame = spark.createDataFrame([(d, 1)], "goals long, playedMatches long")
+        (frame if d % 2 else frame.drop("playedMatches")).write.parquet(str(base / f"extraction_date=2026-06-0{d}"))
+    days = [str(base / f"extraction_date=2026-06-0{d}") for d in range(1, 7)]
+    got = read_foreign_days(spark, "scorers", str(tmp_path), days)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    assert sorted((r.goals, r.playedMatches) for r in got.collect()) == [(d, 1 if d % 2 else None) for d in range(1, 7)]
+    assert read_foreign_days(spark, "scorers", str(tmp_path), []).count() == 0
