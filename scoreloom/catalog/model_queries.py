@@ -247,6 +247,56 @@ def q_correlation(spark, sf):
     return P.correlation(joined, "defense", "save_pct", BY)
 
 
+MEASURED = """, measured as (
+  select cast(year(o_orderdate) as integer) as competition, n_name as team_name, round(max(o_totalprice), 2) as possession,
+    count(*)::integer as shots, count(*) filter (where o_orderstatus = 'F')::integer as sot, max(o_orderkey)::integer as sota,
+    count(distinct o_custkey)::integer as ga, round(min(o_totalprice), 2) as save_pct, count(*) filter (where o_orderstatus = 'O')::integer as cs
+  from orders join customer on o_custkey = c_custkey join nation on n_nationkey = c_nationkey group by all)"""
+
+
+@query("team_reality", STRENGTH + MEASURED + """
+  select competition, team_id, team_name, team_tla, crest, rank_overall, rank_attack, rank_defense, attack, defense, rating,
+    possession, shots, sot, round(sot / shots, 4) as sot_pct, sota, ga, save_pct, cs, round(ga / shots, 4) as conversion
+  from strength join measured using (competition, team_name)""")
+def q_team_reality(spark, sf):
+    """Ratings beside what was measured of each nation in its year; one nation is spelled otherwise there."""
+    joined = (
+        table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    spelled = F.when(F.col("n_name") == "NATION_7", "Nation Seven").otherwise(F.col("n_name")).alias("team")
+    n = F.count(F.lit(1)).cast("int")
+    measured = joined.groupBy(F.year("o_orderdate").alias("competition"), spelled).agg(
+        F.round(F.max("o_totalprice"), 2).alias("possession"), n.alias("shots"), F.count_if(F.col("o_orderstatus") == "F").cast("int").alias("sot"),
+        F.max("o_orderkey").cast("int").alias("sota"), F.countDistinct("o_custkey").cast("int").alias("ga"),
+        F.round(F.min("o_totalprice"), 2).alias("save_pct"), F.count_if(F.col("o_orderstatus") == "O").cast("int").alias("cs"),
+    ).withColumns({"sot_pct": F.round(F.col("sot") / F.col("shots"), 4), "g_per_sh": F.round(F.col("ga") / F.col("shots"), 4)})
+    return P.team_reality(strength(spark, sf), measured, BY, {"Nation Seven": "NATION_7"})
+
+
+@query("real_vs_model", PATHS + """, own as (
+    select match_id, regulation_home_goals as f, regulation_away_goals as a, full_time_home_goals as s from facts where home_team_id = 7
+    union all select match_id, regulation_away_goals, regulation_home_goals, full_time_away_goals from facts where away_team_id = 7)
+  select row_number() over (order by kickoff_at, match_id) as step, stage, opponent, score, null::double as possession, f::double as xg_for,
+    a::double as xg_against, s::double as shots, null::double as sot, null::double as big_chances, model_xg_for, model_xg_against
+  from paths join own using (match_id) where team_id = 7""")
+def q_real_vs_model(spark, sf):
+    """Every match of one nation beside its measured statistics, paired by time; unequal lengths would stop the query."""
+    played = R.finished_with_score(facts(spark, sf)).where("home_team_id = 7 or away_team_id = 7")
+    events = played.select(
+        F.col("match_id").alias("id"), F.unix_seconds(F.col("kickoff_at").cast("timestamp")).alias("startTimestamp"),
+        F.struct(F.col("home_team_name").alias("name")).alias("homeTeam"))
+
+    def item(name, what):
+        return F.struct(F.lit(name).alias("name"), *[F.col(f"{what}_{s}_goals").cast("string").alias(s) for s in ("home", "away")])
+
+    items = F.array(item("Expected goals", "regulation"), item("Total shots", "full_time"))
+    groups = F.array(F.struct(items.alias("statisticsItems")))
+    statistics = played.select(
+        F.col("match_id").cast("string").alias("id"), F.struct(F.array(F.struct(groups.alias("groups"))).alias("statistics")).alias("value"))
+    return P.real_vs_model(paths(spark, sf, F.lit(7)), events, statistics, "NATION_7")
+
+
 @query("holds_maximum", STRENGTH + """ select competition, team_name,
     points = max(points) over (partition by competition) as has_top from strength""")
 def q_holds_maximum(spark, sf):
