@@ -376,4 +376,5 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return without_repeats(docs, Workspace(spark, "suffixes")).select(
         "doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
-        F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+        F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"),
+        (F.col("_n_bytes") - F.col("_n_removed")).alias("n_kept"))
