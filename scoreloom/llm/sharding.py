@@ -5,9 +5,12 @@ from slots to shards, a table of ``SLOTS`` rows per version, is edited until the
 are near equal. Only the map changes when shards are added or weights move; records never hash
 anew, and unmoved slots stay where they are.
 
-Defined results: a null id hashes by the record's text, a null text has no bytes, equal records
-are placed one after the other, an empty table gives an empty result, further columns are left
-out and may have any names.
+An id that many records share would fill a slot that no map can divide. Where the records of one
+key outweigh half a mean slot, in bytes or in number, they are spread over all slots by the row
+number stored with them; at most four such keys per slot can exist, so their list is bounded.
+
+Defined results: a null id hashes by the record's text, a null text has no bytes, an empty table
+gives an empty result, further columns are left out and may have any names.
 """
 
 from __future__ import annotations
@@ -25,13 +28,15 @@ MAP_SCHEMA = "version INT, vslot INT, shard INT, first_place BIGINT"
 
 
 def slotted(records: DataFrame, id_col: str, text_col: str, slots: int = SLOTS) -> DataFrame:
-    """One narrow row per record: id, size, checksum of the text, virtual slot."""
+    """One narrow row per record: id, size, checksum of the text, key, number of the row, virtual slot."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     key = F.xxhash64(F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)))
     return records.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
+        key.alias("key"),
+        F.monotonically_increasing_id().alias("row_no"),
         F.pmod(key, F.lit(slots)).cast("int").alias("vslot"),
     )
 
@@ -41,6 +46,37 @@ def slot_weights(rows: DataFrame) -> DataFrame:
     return rows.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
 
 
+def totals(rows: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    weight, count = np.zeros(slots), np.zeros(slots, np.int64)
+    for r in slot_weights(rows).collect():  # at most SLOTS rows
+        weight[r["vslot"]], count[r["vslot"]] = r["bytes"], r["rows"]
+    return weight, count
+
+
+def hot_keys(rows: DataFrame, weight: np.ndarray, count: np.ndarray) -> DataFrame | None:
+    """Keys of several records that outweigh half a mean slot; None where no slot is heavy.
+
+    Only records of slots of over twice the mean are counted, per key and before the shuffle.
+    """
+    bytes_, number = weight.mean(), count.mean()
+    heavy = np.flatnonzero((weight > 2 * bytes_) | (count > 2 * number))
+    if not len(heavy):
+        return None
+    keys = rows.where(F.col("vslot").isin(heavy.tolist())).groupBy("key").agg(
+        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    return keys.where(
+        (F.col("rows") > 1) & ((F.col("bytes") > float(bytes_ / 2)) | (F.col("rows") > float(number / 2)))
+    ).select("key")
+
+
+def spread(rows: DataFrame, keys: DataFrame, slots: int) -> DataFrame:
+    """Deal the records of the listed keys over all slots, by the stored number of the row."""
+    listed = keys.withColumn("hot", F.lit(True))  # at most four keys per slot
+    dealt = F.pmod(F.xxhash64("key", "row_no"), F.lit(slots)).cast("int")
+    return rows.join(F.broadcast(listed), "key", "left").withColumn(
+        "vslot", F.when(F.col("hot"), dealt).otherwise(F.col("vslot"))).drop("hot")
+
+
 def even_map(slots: int, shards: int) -> np.ndarray:
     """First version of a map: slots dealt out in turn."""
     return np.arange(slots) % shards
@@ -103,7 +139,7 @@ def placed(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     Rows are numbered within a virtual slot, which holds one part in ``SLOTS`` of the records, and
     follow the slot's first place; no task numbers a whole shard.
     """
-    within = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "row_no")
     mapped = rows.join(F.broadcast(slot_map), "vslot")  # the map has SLOTS rows
     return mapped.withColumn("slot", F.col("first_place") + F.row_number().over(within) - 1)
 
@@ -114,9 +150,11 @@ def shard_by_bytes(
     """Near equal bytes per shard; both map versions are stored in the workspace."""
     spark = records.sparkSession
     rows = work.save(slotted(records, id_col, text_col, slots), "slotted")
-    weight, count = np.zeros(slots), np.zeros(slots, np.int64)
-    for r in slot_weights(rows).collect():  # at most SLOTS rows
-        weight[r["vslot"]], count[r["vslot"]] = r["bytes"], r["rows"]
+    weight, count = totals(rows, slots)
+    keys = hot_keys(rows, weight, count)
+    if keys is not None and (keys := work.save(keys.coalesce(1), "hot_keys")).take(1):
+        rows = spread(rows, keys, slots)
+        weight, count = totals(rows, slots)
     first = even_map(slots, shards)
     edited = rebalance(first, weight, shards)
     versions = map_version(spark, 1, first, count).unionByName(map_version(spark, 2, edited, count))

@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -113,6 +113,26 @@ def test_shards_have_near_equal_bytes(spark):
     assert shard_by_bytes(documents(spark, []), 8, workspace(spark)).count() == 0
 
 
+def test_repeated_ids_do_not_fill_one_shard(spark):
+    rows = [(7, f"text {i} " * 9) for i in range(1500)] + [(None, "the same text again")] * 1500 + [(i, "x" * (i % 90)) for i in range(100, 1600)]
+    got = shard_by_bytes(documents(spark, rows), 8, workspace(spark)).collect()
+    assert len(got) == len(rows)
+    load, places = defaultdict(int), defaultdict(list)
+    for r in got:
+        load[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    assert max(load.values()) - min(load.values()) < 0.01 * sum(load.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(Counter(r["vslot"] for r in got).values()) < 12  # records of one slot are numbered by one task
+
+
+def test_only_repeated_ids_leave_their_slots(spark):
+    rows = [(i, "x" * 40) for i in range(4000)]
+    slots = lambda given: {r["doc_id"]: r["vslot"] for r in shard_by_bytes(documents(spark, given), 8, workspace(spark), slots=64).collect()}
+    alone, crowded = slots(rows), slots([*rows, *[(-1, "y")] * 2000])
+    assert all(crowded[i] == alone[i] for i in alone)
+
+
 def test_a_map_is_edited_not_dealt_anew():
     weight = np.random.default_rng(1).integers(1, 1000, 2000).astype(float)
     first = rebalance(even_map(2000, 10), weight, 10)
