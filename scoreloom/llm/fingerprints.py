@@ -7,7 +7,9 @@ that both have, by the edit distance of their symbols.
 
 Defined results: null and empty texts have the fingerprint ``4::``, like each other (1.0) and unlike
 all else (0.0); equal texts have equal fingerprints; whole texts are read, whatever their length;
-equal ids follow each other in the order of their texts; the document after the last is the first.
+equal ids, nulls included, follow each other in the order of a 64-bit hash of their texts; the document
+after the last is the first. Ranges are cut by id, hash and number of the row, so that an id or a whole
+row that is repeated very often fills many ranges.
 """
 
 from __future__ import annotations
@@ -125,6 +127,7 @@ def with_next(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col
     ship_package(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumns({"text_hash": F.xxhash64("text"), "row_no": F.monotonically_increasing_id()})
     columns = ["doc_id", "n_chars", "text", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "range", "place"]
     schema = f"doc_id {kind}, n_chars long, text string, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, range int, place string"
 
@@ -152,11 +155,13 @@ def with_next(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_col
         types = [kind, pa.int64(), text, text, text, text, number, number, pa.int32(), text]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], columns)
 
-    walked = work.save(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(walk, schema), "walked")
+    order = ["doc_id", "text_hash", "row_no"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    walked = work.save(ordered.mapInArrow(walk, schema), "walked")
     firsts = walked.where("place = 'first'")
     # one number per range: which range comes after it; the first after the last
-    order = Window.orderBy("range")
-    after = firsts.select("range").withColumn("next", F.lead("range").over(order)).withColumn(
+    numbered = Window.orderBy("range")
+    after = firsts.select("range").withColumn("next", F.lead("range").over(numbered)).withColumn(
         "next", F.coalesce("next", F.min("range").over(Window.partitionBy())))
     seams = (
         walked.where("place = 'last'").select("doc_id", "text", "fingerprint", "range")

@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+import xxhash
 from cases import corpus, documents, workspace
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,12 +71,35 @@ def test_likeness_follows_edits():
     assert likeness(fingerprint(b""), fingerprint(b"")) == 1 and likeness(fingerprint(b""), fingerprint(text)) == 0
 
 
+def in_order(rows):
+    """Nulls first, ids ascending, equal ids by the signed 64-bit hash of the text."""
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + 2**63) % 2**64
+    return sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
+
+
+HOT = [(None, "the same row again and again")] * 400 + [(7, f"text {i}") for i in range(400)] + [(i, f"row {i}") for i in range(400)]
+
+
+def test_repeated_ids_fill_many_ranges(spark):
+    work = workspace(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    got = with_next(documents(spark, HOT), work).collect()
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    ranges = spark.read.parquet(f"{work.root}/walked").where("place <> 'last'").groupBy("range").count().collect()
+    assert len(ranges) == 12 and max(r["count"] for r in ranges) < 200
+    order = in_order(HOT)
+    want = sorted(hashlib.sha256(edited(t, n).encode()).hexdigest() for (_, t), (_, n) in zip(order, [*order[1:], order[0]], strict=True))
+    assert sorted(r["edited_sha256"] for r in got) == want
+
+
 def test_every_document_meets_the_next(spark):
     rows = corpus()
     spark.conf.set("spark.sql.shuffle.partitions", "5")
     got = with_next(documents(spark, rows), workspace(spark)).collect()
     spark.conf.set("spark.sql.shuffle.partitions", "4")
-    order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    order = in_order(rows)
     want = []
     for (d, t), (_, n) in zip(order, [*order[1:], order[0]], strict=True):
         e = edited(t, n).encode()
