@@ -189,3 +189,96 @@ def q_bracket_from_results(spark, sf):
     members = match_sides(rows, home={"team_id": "home_team_id"}, away={"team_id": "away_team_id"}, keep=BY).distinct()
     chances = B.advancement(nodes, fixed_ratings(members, *BY), BY)
     return chances.groupBy(*BY).agg(F.round(F.sum("title_prob"), 9).alias("total"))
+
+
+# The trees of the played knockout matches: any side can win, a side may have no earlier match, a
+# competition may have many finals (its first counts), and a match may feed two others.
+PLAYED = FACTS + """, played as (
+  select competition, match_id, (list_position(['LAST_32', 'LAST_16', 'QUARTER_FINALS', 'SEMI_FINALS', 'FINAL'], stage) - 1)::integer as round_idx,
+    home_team_id, away_team_id, case winner when 'HOME_TEAM' then home_team_id when 'AWAY_TEAM' then away_team_id end as won
+  from facts where stage <> 'GROUP_STAGE'
+), feeders as (
+  select competition, round_idx + 1 as round_idx, won as team_id, max(match_id) as fed from played where won is not null group by all
+), nodes as (
+  select p.competition, p.match_id, p.round_idx, p.home_team_id, p.away_team_id,
+    case when a.fed is not null then h.fed end as home_feeder, case when h.fed is not null then a.fed end as away_feeder
+  from played p
+  left join feeders h on h.competition = p.competition and h.round_idx = p.round_idx and h.team_id = p.home_team_id
+  left join feeders a on a.competition = p.competition and a.round_idx = p.round_idx and a.team_id = p.away_team_id
+), links as (
+  select competition, match_id, 0 as slot, home_feeder as child from nodes where home_feeder is not null
+  union all select competition, match_id, 1, away_feeder from nodes where away_feeder is not null)"""
+
+# Places in each tree (1 is the final), and the teams that enter at its leaves.
+ENTRANTS = PLAYED + """, place4 as (
+  select competition, min(match_id) as match_id, 1 as place from nodes where round_idx = 4 group by competition
+)""" + "".join(f""", place{r} as (
+  select competition, l.child as match_id, p.place * 2 + l.slot as place from place{r + 1} p join links l using (competition, match_id)
+)""" for r in (3, 2, 1, 0)) + """, entrants as (
+  select competition, place, round_idx, unnest([0, 1]) as slot, unnest([home_team_id, away_team_id]) as team_id
+  from (from place4 union all from place3 union all from place2 union all from place1 union all from place0)
+  join nodes using (competition, match_id) where home_feeder is null)"""
+
+
+def _played_round(r: int) -> str:
+    """Who comes out of each place of a round, with the chance of every round up to it (``f1`` is the first)."""
+    before = [f"f{i}" for i in range(1, r + 1)]
+    columns = "".join(f", {f}" for f in before)
+    none = "".join(f", null::double as {f}" for f in before)
+    either = "".join(
+        f", coalesce(case when count({f}) > 0 then 1 - (1 - coalesce(max({f}) filter (slot = 0), 0)) * (1 - coalesce(max({f}) filter (slot = 1), 0)) end, sum(p)) as {f}"
+        for f in before)
+    arrived = f" union all select competition, place // 2, place % 2, team_id, p{columns} from out{r - 1}" if r else ""
+    mine = "".join(f", a.{f}" for f in before)
+    return f""", in{r} as (
+  select competition, place, slot, team_id, 1::double as p{none} from entrants where round_idx = {r}{arrived}
+), met{r} as (
+  select a.competition, a.place, a.slot, a.team_id, a.p * sum(b.p * coalesce(w.w, 0.5)) as p{mine}
+  from in{r} a join in{r} b on b.competition = a.competition and b.place = a.place and b.slot <> a.slot
+  left join win w on w.i = a.team_id and w.j = b.team_id group by a.competition, a.place, a.slot, a.team_id, a.p{mine}
+), out{r} as (
+  select competition, place, team_id, sum(p) as p{either}, sum(p) as f{r + 1} from met{r} group by competition, place, team_id)"""
+
+
+def played_nodes(spark, sf):
+    return materialise(B.bracket_nodes(facts(spark, sf), BY))
+
+
+def rated(nodes):
+    sides = nodes.select(*BY, F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    return fixed_ratings(sides.distinct(), *BY)
+
+
+@query("played_nodes", PLAYED + " from nodes")
+def q_played_nodes(spark, sf):
+    return played_nodes(spark, sf)
+
+
+@query("played_edges", PLAYED + """ select competition, match_id as parent_match_id, round_idx, cast(slot as integer) as slot,
+    child as child_match_id from links join nodes using (competition, match_id)""")
+def q_played_edges(spark, sf):
+    return B.bracket_edges(played_nodes(spark, sf), BY)
+
+
+@query("played_advancement", ENTRANTS + WIN + "".join(_played_round(r) for r in range(5)) + """, listed as (
+    select competition, home_team_id as team_id from nodes union select competition, away_team_id from nodes)
+  select competition, team_id, 1::double as reach_0, """ + ", ".join(f"round(coalesce(f{i}, 0), 6) as reach_{i}" for i in range(1, 6)) + """
+  from listed semi join place4 using (competition) left join out4 using (competition, team_id)""")
+def q_played_advancement(spark, sf):
+    """Every team's chance to reach every round of the trees that the played matches give."""
+    nodes = played_nodes(spark, sf)
+    return B.advancement(nodes, rated(nodes), BY).select(
+        *BY, "team_id", *[F.round(F.get("reach", F.lit(i)), 6).alias(f"reach_{i}") for i in range(6)])
+
+
+@query("played_win_table", ENTRANTS + WIN + """, stands as (
+    select distinct competition, team_id, place >> k as at, case when k = 0 then slot else (place >> (k - 1)) % 2 end as side
+    from entrants, range(5) r(k) where place >> k >= 1)
+  select distinct a.competition, w.i as team_id, w.j as opponent_id, round(w.w, 6) as win_prob
+  from stands a join stands b on b.competition = a.competition and b.at = a.at and b.side <> a.side
+  join win w on w.i = a.team_id and w.j = b.team_id""")
+def q_played_win_table(spark, sf):
+    """Chances of all pairs of teams that can meet in the trees that the played matches give."""
+    nodes = played_nodes(spark, sf)
+    rows = B.win_table(nodes, rated(nodes), BY)
+    return rows.withColumn("win_prob", F.round("win_prob", 6)).distinct()
