@@ -259,14 +259,15 @@ def q_shot_rows(spark, sf):
         "event_id", F.col("player").cast("long").alias("part"), "xg", "goal", "own")
 
 
-@query("drifting_union", """select event_id, user_id, case when event_id % 2 = 0 then value end as value,
-    case when event_id % 2 <> 0 then props end as props from events""")
+@query("drifting_union", """select event_id, user_id, event_type, case when event_type in ('purchase', 'click') then value end as value,
+    case when event_type is null or event_type not in ('purchase', 'click') then props end as props from events""")
 def q_drifting_union(spark, sf):
-    """Two layouts, that of even and that of odd events, united by name; what one lacks is NULL."""
+    """Two layouts, each of its own event types, united by name; what a type's layout lacks is NULL."""
     rows = table(spark, sf, "events")
+    valued = F.coalesce(F.col("event_type").isin("purchase", "click"), F.lit(False))
     return union_by_name(
-        rows.where("event_id % 2 = 0").select("event_id", "user_id", "value"),
-        rows.where("event_id % 2 <> 0").select("props", "event_id", "user_id"),
+        rows.where(valued).select("event_id", "user_id", "event_type", "value"),
+        rows.where(~valued).select("props", "event_type", "event_id", "user_id"),
     )
 
 
