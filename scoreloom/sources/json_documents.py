@@ -33,6 +33,7 @@ ENDS = {"array": ("[\n", "\n]\n"), "object": ("{\n", "\n}\n"), "record": ("", "\
 BETWEEN = ",\n"
 BLOCK = 1 << 20
 RANGE = 64 << 20
+MANY_RANGES = 256  # small ranges grow rather than being more, up to RANGE
 
 
 # --- writing ---------------------------------------------------------------------------------
@@ -169,6 +170,9 @@ _BODY = rb'[^"\\]*(?:\\.[^"\\]*)*'
 BODY = re.compile(_BODY, re.S)
 STRING = re.compile(rb'"' + _BODY + rb'"', re.S)
 TOKEN = re.compile(rb'"' + _BODY + rb'"|[][{},"]', re.S)
+# inside an entry only the next bracket counts that does not belong to an object without others in it
+_PLAIN = rb'[^]["{}]*+(?:"' + rb'[^"\\]*+(?:\\.[^"\\]*+)*+' + rb'"[^]["{}]*+)*+'
+DEEP = re.compile(_PLAIN + rb'(?:\{' + _PLAIN + rb'\}' + _PLAIN + rb')*+([]["{}])', re.S)
 
 
 def state_after(block: bytes, state: int) -> tuple[int, int]:
@@ -198,9 +202,9 @@ def range_states(source, start: int, stop: int) -> tuple[list[int], list[int]]:
         if not block:
             break
         left -= len(block)
-        for k in range(3):
-            states[k], more = state_after(block, states[k])
-            depths[k] += more
+        found = {s: state_after(block, s) for s in set(states)}
+        depths = [d + found[s][1] for d, s in zip(depths, states, strict=True)]
+        states = [found[s][0] for s in states]
     return states, depths
 
 
@@ -222,10 +226,11 @@ def range_entries(source, start: int, stop: int, state: int, depth: int) -> Iter
                 at, state = (at, INSIDE) if at <= len(data) else (len(data), INSIDE)
                 continue
             at, state = at + 1, OUTSIDE
-        for m in TOKEN.finditer(data, at):
-            token, place = m.group(), base + m.start()
+        while m := DEEP.match(data, at) if depth > 1 else TOKEN.search(data, at):
+            begin = m.start(m.lastindex or 0)
+            token, place = data[begin : m.end()], base + begin
             if token == b'"':  # a string whose end is not read yet
-                at = m.start()
+                at = begin
                 break
             at = m.end()
             if len(token) > 1:
@@ -240,7 +245,7 @@ def range_entries(source, start: int, stop: int, state: int, depth: int) -> Iter
                 depth -= token in b"}]"
                 if depth > (token == b","):
                     continue
-                if entry is not None and (text := data[entry - base : m.start()].strip()):
+                if entry is not None and (text := data[entry - base : begin].strip()):
                     yield text
                 entry = place + 1 if token == b"," and place < stop else None
                 if place >= stop:
@@ -268,7 +273,8 @@ def read_json_by_id(spark: SparkSession, path: str, value_schema: str, range_byt
     ship_package(spark)
     found = store(path)
     files = [(f"{path.rstrip('/')}/{name}".rstrip("/"), system.get_file_info(place).size) for name, system, place in found.files()]
-    ranges = [(f, a, min(a + range_bytes, size)) for f, size in files for a in range(0, size, range_bytes)]
+    width = max(range_bytes, min(RANGE, sum(size for _, size in files) // MANY_RANGES))
+    ranges = [(f, a, min(a + width, size)) for f, size in files for a in range(0, size, width)]
     kind = f"STRUCT<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in ddl(value_schema))}>"
     if not ranges:
         return spark.createDataFrame([], f"id STRING, value {kind}")
@@ -284,7 +290,7 @@ def read_json_by_id(spark: SparkSession, path: str, value_schema: str, range_byt
     dealt = spark.createDataFrame(ranges, "file STRING, start BIGINT, stop BIGINT").repartition(len(ranges))
     looked = dealt.mapInArrow(look, "file STRING, start BIGINT, stop BIGINT, states ARRAY<INT>, depths ARRAY<BIGINT>")
     known, now = [], {}
-    for r in looked.orderBy("file", "start").collect():  # one row a range
+    for r in sorted(looked.collect(), key=lambda r: (r["file"], r["start"])):  # one row a range; a sort by Spark would look twice
         state, depth = now.get(r["file"], (OUTSIDE, 0))
         known.append((r["file"], r["start"], r["stop"], state, depth))
         now[r["file"]] = (r["states"][state], depth + r["depths"][state])

@@ -89,6 +89,14 @@ def test_object_keyed_by_id_and_back_in_ranges(spark, tmp_path):
         assert sorted((r.id, r.value.n, r.value.tags) for r in got) == sorted(rows)
 
 
+def test_small_ranges_grow_with_the_document(spark, tmp_path):
+    held = {str(i): {"t": "}{" * (i % 5)} for i in range(2000)}
+    (tmp_path / "d.json").write_text(json.dumps(held))
+    found = read_json_by_id(spark, str(tmp_path / "d.json"), "t STRING", 8)
+    assert found.rdd.getNumPartitions() <= 300
+    assert {r.id: r.value.t for r in found.collect()} == {k: v["t"] for k, v in held.items()}
+
+
 def test_one_long_entry_and_whole_folders(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.json").write_text(json.dumps({"long": {"t": "x" * 3_000_000}, "b": {"t": None}}))
