@@ -13,17 +13,20 @@ written in a text get their own id, as in the library; texts of any length are e
 from __future__ import annotations
 
 import json
+import os
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from ..shared_store import ship_package
 from .passing import tidy
@@ -31,8 +34,11 @@ from .registry import query, read
 
 VOCABULARY = "word_bpe_49k.json"
 REMEMBERED = 300_000  # chunks, and words, a worker keeps per generation; it changes speed only
+ENCODED_BYTES = 1 << 20  # of texts whose chunks are looked up together
+COMPUTED = 20_000  # new chunks, or words, encoded together; it bounds memory only
 LAST = "</w>"
-ENDING = {bytes([b]) for b in b".,;:!?"}  # a pre-token each, behind letters
+ENDED = 0xE000  # added to the last character of a word
+ENDING = set(".,;:!?")  # a pre-token each, behind letters
 
 
 def byte_symbols() -> list[str]:
@@ -49,8 +55,25 @@ class Generations(dict):
         super().__init__()
         self.compute, self.size, self.older = compute, size, {}
 
-    def has(self, key) -> bool:
-        return key in self or key in self.older
+    def values_of(self, keys: list, compute: Callable[[list], list]) -> list:
+        """Values of distinct keys; those not remembered are computed together."""
+        values = list(map(self.get, keys))
+        gone = [i for i, v in enumerate(values) if v is None]
+        if gone and self.older:
+            for i, value in zip(gone, map(self.older.get, [keys[i] for i in gone]), strict=True):
+                values[i] = value
+        new = [i for i in gone if values[i] is None]
+        for at in range(0, len(new), COMPUTED):
+            some = new[at : at + COMPUTED]
+            for i, value in zip(some, compute([keys[i] for i in some]), strict=True):
+                values[i] = value
+        for at in range(0, len(gone), COMPUTED):
+            some = gone[at : at + COMPUTED]
+            if len(self) + len(some) > self.size:
+                self.older = dict(self)
+                self.clear()
+            self.update(zip([keys[i] for i in some], [values[i] for i in some], strict=True))
+        return values
 
     def __missing__(self, key):
         value = self.older.get(key)
@@ -72,69 +95,85 @@ class FragmentEncoder:
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        vocab = spec["model"]["vocab"]
         merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
-        self.whole = Tokenizer(BPE(spec["model"]["vocab"], merges, end_of_word_suffix=LAST))  # of what ends a word
-        self.inner = Tokenizer(BPE(spec["model"]["vocab"], merges))  # of what does not
-        self.token_of = {i: t.encode("utf-8") for t, i in spec["model"]["vocab"].items()}
+        # what ends a word is one character more to the model, so that it takes fragments with and without an end
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
+        self.model = Tokenizer(BPE({ended(t): i for t, i in vocab.items()}, [(ended(a), ended(b)) for a, b in merges], cache_capacity=0))
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocab.items() if ended(t) != t]] = True
+        self.token_of = {i: t.encode("utf-8") for t, i in vocab.items()}
         self.token_of |= {t["id"]: t["content"].encode("utf-8") for t in spec["added_tokens"]}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.pretokens = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         symbols = byte_symbols()
-        self.symbols = dict(enumerate(symbols))
-        self.symbols[32] = " "
-        self.certain = certain_cuts(spec["model"]["vocab"], symbols)
-        self.chunks = Generations(self._chunk, remembered)
+        if lacking := [c for c in symbols if c not in vocab or c + LAST not in vocab]:
+            raise ValueError(f"bytes without a token: {lacking}")
+        self.symbols = np.array([ord(c) for c in symbols], "<u4")
+        self.symbols[32] = 32
+        self.certain = certain_cuts(vocab, symbols)
+        self.chunks = Generations(lambda chunk: self._chunk_ids([chunk])[0], remembered)
         self.words = Generations(lambda word: self._encoded([word])[0], remembered)
 
-    def _words_of(self, chunk: bytes) -> list[str]:
-        if chunk.isalpha():  # ASCII letters are one pre-token
-            return [chunk.lower().decode()]
-        if chunk[-1:] in ENDING and chunk[:-1].isalpha():
-            return [chunk[:-1].lower().decode(), chunk[-1:].decode()]
-        text = chunk.decode("utf-8", "replace")
+    def _words_of(self, chunks: list[bytes]) -> tuple[list[str], list[int]]:
+        """The words of all chunks in order, and how many each has; the blanks between chunks are in no word."""
+        text = b" ".join(chunks).decode("utf-8", "replace")
         if text.isascii():
             text = text.lower()
         else:  # case is mapped character by character, without the final form of sigma
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self.pretokens(text)
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        return b"".join([self.words[w] for w in self._words_of(chunk)])
+        words, counts, pretokens = [], [], self.pretokens
+        for part in text.split(" "):
+            if part.isalpha() and part.isascii():  # ASCII letters are one pre-token
+                words.append(part)
+                counts.append(1)
+            elif part[-1:] in ENDING and part[:-1].isalpha() and part.isascii():
+                words += (part[:-1], part[-1])
+                counts.append(2)
+            else:
+                own = pretokens(part)
+                words += own
+                counts.append(len(own))
+        return words, counts
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         """Cut words where neighbouring bytes are in no token together, encode the fragments, and join their ids.
 
-        The last fragment carries the end of its word, which is how the model takes a whole word.
+        The last fragment carries the end of its word, which is how the model takes a whole word, and so does its last id.
         """
-        raw = " ".join(words).encode("utf-8")
-        codes, text = np.frombuffer(raw, np.uint8), raw.decode("latin-1").translate(self.symbols)
+        codes = np.frombuffer(" ".join(words).encode("utf-8"), np.uint8)
         blank = codes == 32
-        cut = np.append(self.certain[codes[:-1], codes[1:]] & ~blank[:-1] & ~blank[1:], False)  # behind this byte
-        stop = np.append(np.flatnonzero(cut | np.append(blank[1:], False)) + 1, len(codes))
-        last = ~cut[stop - 1]
-        start = np.append(0, stop[:-1] + last[:-1])  # behind a blank, or at the cut
-        ids = np.zeros(len(stop), object)
-        for model, own in ((self.whole, np.flatnonzero(last)), (self.inner, np.flatnonzero(~last))):
-            ids[own] = fragment_ids(model, [text[a:b] for a, b in zip(start[own].tolist(), stop[own].tolist(), strict=True)])
-        ends = np.flatnonzero(last) + 1
-        return [b"".join(ids[a:b]) if b - a > 1 else ids[a] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-
-    def learn(self, chunks: set[bytes]) -> None:
-        """Encode what is not remembered of the chunks, all their new words together."""
-        parts = {c: self._words_of(c) for c in chunks if not self.chunks.has(c)}
-        new = list({w for own in parts.values() for w in own if not self.words.has(w)})
-        if new:
-            values = dict(zip(new, self._encoded(new), strict=True))
-            for word, value in values.items():
-                self.words.put(word, value)
-            for chunk, own in parts.items():
-                self.chunks.put(chunk, b"".join([values[w] if w in values else self.words[w] for w in own]))
-
-    def many(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of many texts, whose new words are encoded together."""
-        self.learn({c for t in texts if b"<|" not in t for c in t.split()})
-        return [self.ids(t) for t in texts]
+        last = np.append(blank[1:], True)  # this byte ends a word
+        cut = np.flatnonzero(self.certain[codes[:-1], codes[1:]] & ~blank[:-1] & ~blank[1:]) + 1
+        letters = self.symbols[codes]
+        letters[last] += ENDED
+        text = np.insert(letters, cut, 32).tobytes().decode("utf-32-le")
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        return cut_up(ids.tobytes(), 4 * (np.flatnonzero(self.ends_word[ids]) + 1))
+
+    def _chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks, whose new words are encoded together."""
+        words, counts = self._words_of(chunks)
+        place = pa.array(words, pa.string()).dictionary_encode()
+        values = self.words.values_of(listed(place.dictionary), self._encoded)
+        held, ends = laid_out(values, place.indices)
+        return cut_up(held, ends[np.cumsum(counts)])
+
+    def many(self, texts: pa.Array) -> list[bytes]:
+        """Ids of many UTF-8 texts, in ``binary``: each distinct chunk of them is looked up once, new ones together."""
+        special = pc.match_substring(texts, "<|")
+        plain = pc.if_else(special, pa.scalar(b"", texts.type), texts)
+        parts = pc.ascii_split_whitespace(plain.view(pa.string()))
+        place = parts.flatten().view(pa.binary()).dictionary_encode()
+        values = self.chunks.values_of(listed(place.dictionary), self._chunk_ids)
+        held, ends = laid_out(values, place.indices)
+        first = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        ids = cut_up(held, ends[first[1:]])
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            ids[i] = self.ids(texts[i].as_py())
+        return ids
 
     def ids(self, text: bytes) -> bytes:
         chunks = self.chunks
@@ -153,13 +192,28 @@ class FragmentEncoder:
         return b" ".join(map(self.token_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def fragment_ids(model: Tokenizer, fragments: list[str]) -> list[bytes]:
-    if not fragments:
-        return []
-    found = model.encode(fragments, is_pretokenized=True, add_special_tokens=False)
-    held = np.array(found.ids, "<u4").tobytes()
-    ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(fragments)))).tolist()
-    return [held[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+def ended(token: str) -> str:
+    """A token whose last character also says that a word ends there."""
+    bare = token.removesuffix(LAST)
+    return token if bare == token or not bare else bare[:-1] + chr(ord(bare[-1]) + ENDED)
+
+
+def listed(values: pa.Array) -> list:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def cut_up(held: bytes, ends: np.ndarray) -> list[bytes]:
+    """Consecutive pieces by where each ends."""
+    ends = ends.tolist()
+    return [held[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def laid_out(values: list[bytes], indices: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The values at the indices one after the other, and where each begins and the last ends."""
+    taken = pa.array(values, pa.large_binary()).take(indices)
+    begins = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+    data = taken.buffers()[2]
+    return (data.to_pybytes()[begins[0] : begins[-1]] if data is not None else b""), begins - begins[0]
 
 
 def certain_cuts(vocab: Iterable[str], symbols: list[str]) -> np.ndarray:
@@ -190,6 +244,17 @@ def forget_encoders() -> None:
     tidy()
 
 
+def slices(batch: pa.RecordBatch, most: int = ENCODED_BYTES) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch whose texts are looked up together."""
+    sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
@@ -202,9 +267,8 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary_path(vocabulary))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = encode.many(part.column("text").to_pylist())
+            for part in slices(batch):
+                ids = encode.many(part.column("text"))
                 decoded = [encode.decode(x) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])

@@ -23,11 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared_store import Workspace, ship_package
-from .bpe import REMEMBERED, VOCABULARY, encoder, forget_encoders, vocabulary_path
+from .bpe import REMEMBERED, VOCABULARY, encoder, forget_encoders, slices, vocabulary_path
 from .registry import query, read
 
 CAPACITY = 4096
-ENCODED_ROWS = 256  # texts whose new words are encoded together
 END_TOKEN = 1
 GROUP_ROWS = 20_000  # pieces packed together at the leaves
 MOST_ROWS = 200_000  # and at inner nodes of the tree at most
@@ -52,10 +51,9 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary_path(vocabulary), remembered)
         for whole in batches:
-            for at in range(0, whole.num_rows, ENCODED_ROWS):
-                batch = whole.slice(at, ENCODED_ROWS)
+            for batch in slices(whole):
                 who, piece, length, crc = [], [], [], []
-                for i, ids in enumerate(encode.many(batch.column("text").to_pylist())):
+                for i, ids in enumerate(encode.many(batch.column("text"))):
                     ids += end
                     for k, first in enumerate(range(0, len(ids), width)):
                         part = ids[first : first + width]

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import corpus, documents, workspace
 from hypothesis import given, settings
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from scoreloom.llm.bpe import encoded, encoder, vocabulary_path
+from scoreloom.llm.bpe import FragmentEncoder, encoded, encoder, slices, vocabulary_path
 from scoreloom.llm.packing import best_fit, pack, packed_documents
 from scoreloom.llm.sharding import even_map, rebalance, shard_by_bytes
 
@@ -50,6 +51,16 @@ def test_encoded_rows(spark):
     assert encoded(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("remembered", "at_once"), [(1000, 1 << 20), (3, 40), (1, 1)])
+def test_texts_looked_up_together_equal_the_library(remembered, at_once):
+    rng = random.Random(3)
+    texts = [*HARD, " \t\n", *[" ".join(rng.choices([*HARD, "Ba.", "ba", "é!", "x1"], k=rng.randrange(9))) for _ in range(60)]]
+    ours = FragmentEncoder(vocabulary_path(), remembered)
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts], pa.binary())], ["text"]).slice(1)
+    got = [ids for part in slices(batch, at_once) for ids in ours.many(part.column("text"))]
+    assert got == [library(t)[0] for t in texts[1:]]
+
+
 @given(st.lists(st.integers(1, 50), max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_best_fit_fills_sequences_without_gaps(sizes):
