@@ -80,7 +80,7 @@ def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences."""
     # workers of the earlier stages still live, so each remembers less here
-    return packed_documents(docs, Workspace(spark, "pipeline-packing"), remembered=60_000, forget=True).select(
+    return packed_documents(docs, Workspace(spark, "pipeline-packing"), remembered=20_000, forget=True).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
