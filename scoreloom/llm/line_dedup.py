@@ -33,7 +33,7 @@ from ..shared_store import Workspace, ship_package
 from .near_dup import chunks, mixed, text_key, word_hashes
 from .passing import tidy, veiled
 from .registry import query, read
-from .sides import small_side
+from .sides import maybe_among, sieved, small_side
 
 LEAST_WORDS = 8
 _random = np.random.default_rng(33)
@@ -144,9 +144,9 @@ def alike_to_earlier(distinct: DataFrame, texts: DataFrame, work: Workspace) ->
     keys = distinct.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("k")).where("k <> 0")
     # aggregates are written down before a join, so that the join can split the rows of a hot key
     shared = work.save(keys.groupBy("k").agg((F.min("h1") != F.max("h1")).alias("several")).where("several").drop("several"), "shared")
-    candidates = keys.join(shared, "k").select("h1", "h2").distinct()
+    candidates = work.save(sieved(keys, "k", shared).join(shared, "k").select("h1", "h2").distinct(), "candidate_keys")
     # sorted by place, so that ids are in the order of places
-    chosen = work.save(distinct.join(candidates, ["h1", "h2"]).select("h1", "h2", *PLACE).orderBy(*PLACE).withColumn(
+    chosen = work.save(sieved(distinct, "h1", candidates).join(candidates, ["h1", "h2"]).select("h1", "h2", *PLACE).orderBy(*PLACE).withColumn(
         "node", F.monotonically_increasing_id()), "candidates")
     wanted = work.save(chosen.groupBy("t1", "t2").agg(F.collect_list(F.struct("line", "node")).alias("wanted")), "wanted")
 
@@ -201,11 +201,12 @@ def without_repeated_lines(docs: DataFrame, work: Workspace, id_col: str = "doc_
     distinct = work.save(lines.groupBy("h1", "h2").agg(
         F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"), *[F.first(f"k{i}").alias(f"k{i}") for i in range(4)]
     ).select("h1", "h2", "first.*", "n", *[f"k{i}" for i in range(4)]), "distinct")
-    alike = alike_to_earlier(distinct, texts, work).withColumn("near", F.lit(True))
-    judged = work.save(distinct.join(alike, ["h1", "h2"], "left").where("n > 1 or near").select(
+    alike = alike_to_earlier(distinct, texts, work)
+    repeated = maybe_among(distinct, "h1", alike).where("n > 1 or _maybe")
+    judged = work.save(repeated.join(alike.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("n > 1 or near").select(
         "h1", "h2", F.coalesce("near", F.lit(False)).alias("near"), F.struct(*PLACE).alias("first")), "judged")
     own = F.struct(*PLACE)
-    dropped = lines.select("h1", "h2", *PLACE).join(small_side(judged), ["h1", "h2"]).where(F.col("near") | (own != F.col("first")))
+    dropped = sieved(lines.select("h1", "h2", *PLACE), "h1", judged).join(small_side(judged), ["h1", "h2"]).where(F.col("near") | (own != F.col("first")))
     by_doc = work.save(dropped.groupBy("doc_id", "t1", "t2").agg(F.array_sort(F.collect_set("line")).alias("dropped")), "dropped")
     rows, names, back = veiled(docs)
     keyed = rows.select("*", *text_key(names[text_col]), F.coalesce(F.col(names[text_col]).cast("binary"), F.lit(b"")).alias("content"))

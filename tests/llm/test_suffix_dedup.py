@@ -8,7 +8,8 @@ import pytest
 from cases import corpus, documents, workspace
 
 from scoreloom.llm.lyndon_grouping import suffix_array
-from scoreloom.llm.suffix_dedup import anchors, passage_spans, word_bytes, without_repeats
+from scoreloom.llm.sides import sieved
+from scoreloom.llm.suffix_dedup import anchor_rows, anchors, keyed, passage_spans, word_bytes, without_repeats
 
 
 def test_suffix_array_equals_sorting():
@@ -32,6 +33,22 @@ def test_anchors_own_every_start_once_and_depend_on_the_string_alone():
         assert anchors(text[s : s + 60], 60, 16)[2].tolist() == [owned[s]]
 
 
+def test_a_text_that_repeats_itself_gives_one_row_for_each_context(spark):
+    text = "begins " + "same words. " * 200 + "ends"
+    rows = anchor_rows(keyed(documents(spark, [(1, text)]).select("doc_id", "text"), "text"), 60, 16).collect()
+    place, near, far = anchors(text.encode(), 60, 16)
+    assert len({(r["key"], r["context"]) for r in rows}) == len(rows) < len(place) / 5
+    assert sorted((p, r["near"], r["far"]) for r in rows for p in r["places"]) == list(zip(place.tolist(), near.tolist(), far.tolist(), strict=True))
+
+
+def test_a_sieve_loses_no_key_and_leaves_out_most_others(spark):
+    rows = spark.range(20000).selectExpr("id", "xxhash64(id) as k")
+    keys = rows.where("id % 1000 = 0").select("k")
+    kept = {r["id"] for r in sieved(rows, "k", keys).collect()}
+    assert set(range(0, 20000, 1000)) <= kept and len(kept) < 40
+    assert sieved(rows, "k", keys.limit(0)).count() == 0
+
+
 def brute(texts: list[bytes], length: int) -> list[tuple[int, int, bytes]]:
     count = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
