@@ -72,9 +72,9 @@ PASSAGE_WORDS = 51
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove strings of 400 bytes, and passages of over 50 words, that also occur elsewhere; characters cut in two go wholly."""
     rows, names, back = veiled(docs)
-    kept = without_repeats(rows, Workspace(spark, "pipeline-suffixes"), names["text"], passage_words=PASSAGE_WORDS)
-    whole = F.pandas_udf(lambda s: s.map(lambda b: bytes(b).decode("utf-8", "ignore")), "string")
-    return back(with_text(names, kept, whole("_kept"), F.col("_n_removed") > 0))
+    # one worker cuts and mends a text: a second one beside it would hold its libraries until the end of the job
+    kept = without_repeats(rows, Workspace(spark, "pipeline-suffixes"), names["text"], passage_words=PASSAGE_WORDS, characters=True)
+    return back(with_text(names, kept, F.col("_kept").cast("string"), F.col("_n_removed") > 0))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -123,6 +123,19 @@ def test_stages_that_change_texts(spark, stage, brute):
     assert {tuple(r)[3:] for r in got} == {("x", 1, 2, "y", 3)}
 
 
+def test_one_worker_a_task_cuts_and_mends_texts(spark):
+    plan = corpus_pipeline.suffixes(spark, table(spark, [(1, "a b"), (2, "é" * 900)]), "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert "EvalPython" not in plan
+
+
+def test_characters_cut_in_two_go_wholly(spark):
+    rows = [(1, "xé" + "ab" * 300 + "éx"), (2, "yè" + "ab" * 300 + "èy")]  # a byte of é and è is the same
+    got = corpus_pipeline.suffixes(spark, table(spark, rows), "").collect()
+    assert in_order([(r["doc_id"], r["text"]) for r in got]) == in_order(after_suffixes(rows))
+    assert {r["n_chars"] for r in got} == {len(r["text"]) for r in got}
+
+
 def test_all_stages_in_a_row(spark, tmp_path):
     rows = shared_cases()
     # one label only: the classifier keeps all
