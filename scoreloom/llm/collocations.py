@@ -24,7 +24,8 @@ stop the job.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import itertools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,9 @@ RANK_PARTS = 64  # parts of a language that are ranked apart first
 SEPARATORS, BLANKS = b".,;:!?\n\v\f\r", b" \t"
 NO_LANGUAGE = "und"
 STRETCH = 1 << 20  # bytes tokenised at a time
-GATHERED = 1 << 20  # words whose suffixes are combined at a time
+SHORT_STRETCH = 1 << 18  # the same where words are gathered afterwards
+BLOCK = 1 << 16  # keys looked up at a time
+GATHERED = 1 << 19  # words whose suffixes are combined at a time
 HELD_BYTES = 16 << 20  # of combined suffixes that a task holds before they leave it
 SENT_ROWS = 1 << 16  # in one batch
 BUDGET = 400_000  # suffixes in a group of subtrees
@@ -136,16 +139,29 @@ def gathered(batches: Iterator[pa.RecordBatch], words: int = GATHERED) -> Iterat
     keys: list[np.ndarray] = []
     pieces: list[np.ndarray] = []
     over = LONGEST - 1
-    for _, found in stretches(batches):
+
+    def whole(kept: int) -> tuple[np.ndarray, np.ndarray, int]:
+        key, piece = taken(keys), taken(pieces)
+        if kept:  # copied, as a slice would hold all of them
+            keys.append(key[-kept:].copy())
+            pieces.append(piece[-kept:].copy())
+        return key, piece, len(key) - kept
+
+    for _, found in stretches(batches, SHORT_STRETCH):
         keys.append(found.key)
         pieces.append(found.piece)
+        del found
         if sum(map(len, keys)) >= words + over:
-            key, piece = np.concatenate(keys), np.concatenate(pieces)
-            yield key, piece, len(key) - over
-            keys, pieces = [key[-over:]], [piece[-over:]]
+            yield whole(over)
     if keys:
-        key = np.concatenate(keys)
-        yield key, np.concatenate(pieces), len(key)
+        yield whole(0)
+
+
+def taken(parts: list[np.ndarray]) -> np.ndarray:
+    """All of them as one; the list is empty afterwards, so that nothing is held twice."""
+    one = np.concatenate(parts)
+    parts.clear()
+    return one
 
 
 def given_texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -177,22 +193,26 @@ class KeyFilter:
             self.bits[r["at"]] = r["bits"]
         self.bits = self.bits.view(np.uint64)
 
-    def __call__(self, key: np.ndarray) -> np.ndarray:
-        slot = key >> np.uint64(64 - FILTER_BITS)
-        return (self.bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    def __call__(self, key: np.ndarray, after: np.ndarray | None = None) -> np.ndarray:
+        """Of every key, or of the pair that it is with the key in the same place of ``after``."""
+        kept = np.empty(len(key), bool)
+        for at in range(0, len(key), BLOCK):  # what is computed on the way is some times as large as the keys
+            own = slice(at, at + BLOCK)
+            slot = (key[own] if after is None else pair_keys(key[own], after[own])) >> np.uint64(64 - FILTER_BITS)
+            kept[own] = (self.bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+        return kept
 
 
 def pair_counts(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
     """How often pairs of words occur, at least those both of whose words are frequent."""
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-        for key, piece, own in gathered(batches):
-            kept = frequent(key)
-            at = np.flatnonzero(kept[:-1] & kept[1:] & (piece[:-1] == piece[1:]))
-            at = at[at < own]
-            yield [key[at], key[at + 1], np.ones(len(at), np.int64)]
+    def pairs(key: np.ndarray, piece: np.ndarray, own: int) -> list[np.ndarray]:
+        kept = frequent(key)
+        at = np.flatnonzero(kept[:-1] & kept[1:] & (piece[:-1] == piece[1:]))
+        at = at[at < own]
+        return [key[at], key[at + 1], np.ones(len(at), np.int64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combining(pairs(batches), [*W[:2], "n"], 0)  # few recur: holding them would cost memory for nothing
+        yield from combining(itertools.starmap(pairs, gathered(batches)), [*W[:2], "n"], 0)  # few recur: holding them would cost memory for nothing
 
     return texts.mapInArrow(run, "w1 long, w2 long, n long").groupBy("w1", "w2").agg(F.sum("n").alias("f"))
 
@@ -206,23 +226,23 @@ def with_pair_key(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "w1 long, w2 long, f long, pair long")
 
 
-def changes(columns: list[np.ndarray]) -> Iterator[np.ndarray]:
+def changes(columns: Iterable[np.ndarray]) -> Iterator[np.ndarray]:
     """For sorted rows and every number of leading columns: where these differ from the row before."""
-    changed = np.zeros(len(columns[0]), bool)
-    changed[:1] = True
+    changed = None
     for c in columns:
-        changed = changed.copy()
+        changed = np.arange(len(c)) == 0 if changed is None else changed.copy()
         changed[1:] |= c[1:] != c[:-1]
         yield changed
 
 
 def combined(columns: list[np.ndarray], n: np.ndarray) -> list[np.ndarray]:
-    """Sorted different rows, and the sum of their counts as last column."""
+    """Sorted different rows, and the sum of their counts as last column; one column is sorted at a time."""
     order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    *_, new = changes(columns)
+    *_, new = changes(c[order] for c in columns)
     first = np.flatnonzero(new)
-    return [*[c[first] for c in columns], np.add.reduceat(n[order], first) if len(first) else n[:0]]
+    total = np.add.reduceat(n[order], first) if len(first) else n[:0]
+    order = order[first]
+    return [*[c[order] for c in columns], total]
 
 
 def combining(parts: Iterator[list[np.ndarray]], names: list[str], most: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
@@ -235,9 +255,11 @@ def combining(parts: Iterator[list[np.ndarray]], names: list[str], most: int = H
 
     for *columns, n in parts:
         more = combined(columns, n)
+        del columns, n
         if held:
-            *columns, n = [np.concatenate(both) for both in zip(held, more, strict=True)]
+            *columns, n = [taken([held.pop(0), more.pop(0)]) for _ in range(len(held))]
             more = combined(columns, n)
+            del columns, n
         held = more
         if sum(c.nbytes for c in held) >= most:
             yield from sent()
@@ -249,20 +271,19 @@ def combining(parts: Iterator[list[np.ndarray]], names: list[str], most: int = H
 
 def suffixes(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
     """Suffixes of three words and more, 0 after their end, with how often each occurs in a stretch of text."""
-    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-        for key, piece, own in gathered(batches):
-            link = np.zeros(len(key), bool)
-            link[:-1] = (piece[:-1] == piece[1:]) & frequent(pair_keys(key[:-1], key[1:]))
-            padded, links = np.append(key, np.zeros(LONGEST, np.uint64)), np.append(link, np.zeros(LONGEST, bool))
-            at = np.flatnonzero(link[:own] & links[1 : own + 1])
-            columns, alive = [key[at], key[at + 1], key[at + 2]], np.ones(len(at), bool)
-            for j in range(3, LONGEST):
-                alive &= links[at + j - 1]
-                columns.append(np.where(alive, padded[at + j], np.uint64(0)))
-            yield [*columns, np.ones(len(at), np.int64)]
+    def longer(key: np.ndarray, piece: np.ndarray, own: int) -> list[np.ndarray]:
+        link = np.zeros(len(key), bool)
+        link[:-1] = (piece[:-1] == piece[1:]) & frequent(key[:-1], key[1:])
+        padded, links = np.append(key, np.zeros(LONGEST, np.uint64)), np.append(link, np.zeros(LONGEST, bool))
+        at = np.flatnonzero(link[:own] & links[1 : own + 1])
+        columns, alive = [key[at], key[at + 1], key[at + 2]], np.ones(len(at), bool)
+        for j in range(3, LONGEST):
+            alive &= links[at + j - 1]
+            columns.append(np.where(alive, padded[at + j], np.uint64(0)))
+        return [*columns, np.ones(len(at), np.int64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combining(longer(batches), [*W, "n"])
+        yield from combining(itertools.starmap(longer, gathered(batches)), [*W, "n"])
 
     return texts.mapInArrow(run, ", ".join(f"{w} long" for w in W) + ", n long")
 

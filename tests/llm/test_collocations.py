@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,7 +11,7 @@ from cases import corpus, workspace
 from pyspark.sql import functions as F
 
 from scoreloom.llm import collocations as module
-from scoreloom.llm.collocations import STRETCH, collocations, combining, gathered, phrase_nodes, stretches
+from scoreloom.llm.collocations import STRETCH, KeyFilter, collocations, combined, combining, gathered, phrase_nodes, stretches
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -147,3 +148,33 @@ def test_combining_loses_nothing_whatever_it_may_hold():
             for r in batch.to_pylist():
                 got[r["a"], r["b"]] += r["n"]
         assert got == want
+
+
+def peak(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_what_a_worker_computes_on_the_way_is_small():
+    rng, n = np.random.default_rng(2), 400_000
+    columns = [rng.integers(0, 3, n) for _ in range(5)]
+    assert peak(lambda: combined(columns, np.ones(n, np.int64))) < 5 * 8 * n  # less than the rows again
+    frequent, keys = KeyFilter.__new__(KeyFilter), rng.integers(0, 2**63, n, dtype=np.uint64)
+    frequent.bits = np.zeros(1 << 18, np.uint64)
+    assert peak(lambda: frequent(keys)) < 8 * n
+
+
+def test_gathered_words_are_not_held_once_they_are_given_out():
+    parts = gathered(batches(["a b c d e f g " * 5_000] * 4), words=100_000)
+    tracemalloc.start()
+    try:
+        got = next(parts)
+        size, before = got[0].nbytes + got[1].nbytes, tracemalloc.get_traced_memory()[0]
+        del got
+        assert before - tracemalloc.get_traced_memory()[0] > 0.9 * size
+    finally:
+        tracemalloc.stop()
