@@ -6,7 +6,9 @@ language has a node for every phrase, and the leaves below a node tell how often
 
 1. Prefixes of one word and of two are counted. A phrase can be frequent only if all its words and pairs are,
    so suffixes end where the next pair is not; bitmaps of fixed size tell most rare ones apart.
-2. Suffixes of three words and more, equal ones of a stretch of text already combined, are written down.
+2. Prefixes of three words up to ``LONGEST`` - 1 are counted by slots of a hash, whose number is fixed. None in a slot
+   with too small a total is frequent, so suffixes end there too; their last word is left to the tree. Those of three
+   words and more are written down, equal ones of a stretch of text already combined.
 3. Vertical partitioning: prefixes with more suffixes below them than the memory budget are lengthened by
    a word, again and again. What is within the budget is the root of a subtree; roots are dealt by hash into
    as many groups as the budget asks for. Suffixes that end with their prefix are in its count already and go
@@ -53,6 +55,8 @@ HELD_BYTES = 16 << 20  # of combined suffixes that a task holds before they leav
 SENT_ROWS = 1 << 16  # in one batch
 BUDGET = 400_000  # suffixes in a group of subtrees
 FILTER_BITS = 24
+SLOT_BITS = 26
+IN_BLOCK = 16  # bits of a slot's place in its block
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(12)
 STEP = _random.integers(1, 2**63, 1, dtype=np.uint64)[0] | np.uint64(1)
@@ -195,10 +199,10 @@ class KeyFilter:
 
     def __call__(self, key: np.ndarray, after: np.ndarray | None = None) -> np.ndarray:
         """Of every key, or of the pair that it is with the key in the same place of ``after``."""
-        kept = np.empty(len(key), bool)
+        kept, below = np.empty(len(key), bool), np.uint64(65 - (64 * len(self.bits)).bit_length())
         for at in range(0, len(key), BLOCK):  # what is computed on the way is some times as large as the keys
             own = slice(at, at + BLOCK)
-            slot = (key[own] if after is None else pair_keys(key[own], after[own])) >> np.uint64(64 - FILTER_BITS)
+            slot = (key[own] if after is None else pair_keys(key[own], after[own])) >> below
             kept[own] = (self.bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
         return kept
 
@@ -269,18 +273,68 @@ def combining(parts: Iterator[list[np.ndarray]], names: list[str], most: int = H
     tidy()
 
 
-def suffixes(texts: DataFrame, frequent: KeyFilter) -> DataFrame:
-    """Suffixes of three words and more, 0 after their end, with how often each occurs in a stretch of text."""
+def chains(key: np.ndarray, piece: np.ndarray, own: int, frequent: KeyFilter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For three words and more: where so many begin whose pairs may all be frequent, and the hash of these words."""
+    link = np.zeros(len(key) + LONGEST, bool)
+    link[: len(key) - 1] = (piece[:-1] == piece[1:]) & frequent(key[:-1], key[1:])
+    at = np.flatnonzero(link[:own] & link[1 : own + 1])
+    hashes = pair_keys(pair_keys(key[at], key[at + 1]), key[at + 2])
+    yield at, hashes
+    for j in range(3, LONGEST):
+        on = link[at + j - 1]
+        at, hashes = at[on], hashes[on]
+        hashes = pair_keys(hashes, key[at + j])
+        yield at, hashes
+
+
+class SlotFilter(KeyFilter):
+    """A bitmap of the slots that hold ``least`` and more of the prefixes of three words and longer ones, but the longest."""
+
+    def __init__(self, texts: DataFrame, frequent: KeyFilter, least: int) -> None:
+        self.bits = np.zeros(1 << (SLOT_BITS - 6), np.int64)
+        words = 1 << (IN_BLOCK - 6)
+        for r in slot_totals(texts, frequent, least).collect():  # of fixed size
+            self.bits[r["block"] * words : (r["block"] + 1) * words] = np.frombuffer(r["bits"], np.int64)
+        self.bits = self.bits.view(np.uint64)
+
+
+def slot_totals(texts: DataFrame, frequent: KeyFilter, least: int) -> DataFrame:
+    """For every block of slots a bitmap of those whose total is ``least`` or more."""
+    def slots(key: np.ndarray, piece: np.ndarray, own: int) -> list[np.ndarray]:
+        counted = itertools.islice(chains(key, piece, own, frequent), LONGEST - 3)
+        found = np.concatenate([hashes >> np.uint64(64 - SLOT_BITS) for _, hashes in counted])
+        return [found, np.ones(len(found), np.int64)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in combining(itertools.starmap(slots, gathered(batches)), ["slot", "n"]):
+            slot, n = rows.column("slot").to_numpy(), rows.column("n").to_numpy()
+            block, place, n = slot >> IN_BLOCK, (slot & ((1 << IN_BLOCK) - 1)).astype("<u2"), np.minimum(n, 2**32 - 1).astype("<u4")
+            first = np.flatnonzero(np.diff(block, prepend=-1))
+            bounds = list(itertools.pairwise([*first.tolist(), len(block)]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block[first]), *[pa.array([c[a:b].tobytes() for a, b in bounds], pa.binary()) for c in (place, n)]], ["block", "places", "counts"])
+
+    def total(rows: pa.Table) -> pa.Table:
+        place, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (("places", "<u2"), ("counts", "<u4")))
+        often = np.bincount(place, weights=n, minlength=1 << IN_BLOCK) >= least  # whole numbers below 2 ** 53
+        return pa.table({"block": rows.column("block")[:1], "bits": pa.array([np.packbits(often, bitorder="little").tobytes()], pa.binary())})
+
+    return texts.mapInArrow(run, "block long, places binary, counts binary").groupBy("block").applyInArrow(total, "block long, bits binary")
+
+
+def suffixes(texts: DataFrame, frequent: KeyFilter, often: KeyFilter) -> DataFrame:
+    """Suffixes of three words and more, 0 after their end, with how often each occurs in a stretch of text.
+
+    Their prefixes of three words up to ``LONGEST`` - 1 may all be frequent.
+    """
     def longer(key: np.ndarray, piece: np.ndarray, own: int) -> list[np.ndarray]:
-        link = np.zeros(len(key), bool)
-        link[:-1] = (piece[:-1] == piece[1:]) & frequent(key[:-1], key[1:])
-        padded, links = np.append(key, np.zeros(LONGEST, np.uint64)), np.append(link, np.zeros(LONGEST, bool))
-        at = np.flatnonzero(link[:own] & links[1 : own + 1])
-        columns, alive = [key[at], key[at + 1], key[at + 2]], np.ones(len(at), bool)
-        for j in range(3, LONGEST):
-            alive &= links[at + j - 1]
-            columns.append(np.where(alive, padded[at + j], np.uint64(0)))
-        return [*columns, np.ones(len(at), np.int64)]
+        size = np.zeros(own, np.int8)
+        for depth, (at, hashes) in enumerate(chains(key, piece, own, frequent), 3):
+            at = at[often(hashes)] if depth < LONGEST else at
+            size[at[size[at] == depth - 1] if depth > 3 else at] = depth
+        at, padded = np.flatnonzero(size), np.append(key, np.zeros(LONGEST, np.uint64))
+        size = size[at]
+        return [*[np.where(size > j, padded[at + j], np.uint64(0)) for j in range(LONGEST)], np.ones(len(at), np.int64)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from combining(itertools.starmap(longer, gathered(batches)), [*W, "n"])
@@ -392,7 +446,8 @@ def collocations(
     if rows != different:
         raise ValueError("two frequent words have one hash; change the seed")
     pairs = work.save(with_pair_key(pair_counts(texts, KeyFilter(words, "key")).where(F.col("f") >= least)), "pairs")
-    found = work.save(suffixes(texts, KeyFilter(pairs, "pair")), "suffixes")
+    frequent = KeyFilter(pairs, "pair")
+    found = work.save(suffixes(texts, frequent, SlotFilter(texts, frequent, least)), "suffixes")
     best_first = [F.desc("score"), F.desc("a"), F.col("phrase")]
     part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
     # the first of every part of a language hold its first, so one task ranks RANK_PARTS * top rows at most

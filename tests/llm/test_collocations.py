@@ -80,6 +80,18 @@ def test_heavy_prefixes_are_lengthened_and_groups_hold_the_budget(spark):
     assert held.where("rows > 40").count() > 0  # some were lengthened
 
 
+def test_stored_suffixes_end_where_they_are_no_longer_frequent(spark):
+    rows = prose(4, 300, 20, 60)
+    work = workspace(spark)
+    want = brute(rows, 40)
+    assert sorted(tuple(r) for r in collocations(table(spark, rows), work, least=40).collect()) == want and max(len(r[2].split()) for r in want) == 5
+    stored = [tuple(r) for r in spark.read.parquet(f"{work.root}/suffixes").collect()]
+    totals = Counter()
+    for *w, n in stored:
+        totals.update({tuple(w[:k]): n for k in (3, 4) if w[k - 1]})
+    assert stored and min(totals.values()) >= 40
+
+
 def test_shared_cases_with_ties(spark):
     rows = [("en", t) for _, t in corpus()]
     assert found(spark, rows, least=3) == brute(rows, 3)
